@@ -8,23 +8,23 @@ from posada.functions.text import strip
 
 _CLOCK = r"(?:[T ](?:[01]?\d|2[0-3]):?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
 
-# (shape of the text, rearrangement to year-month-day); the first that yields a date wins, so
-# day/month ambiguity is settled month first.
-_NUMERIC_SHAPES = [
-    (rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}){_CLOCK}$", "$1-$2-$3"),
-    (rf"^(\d{{4}})(\d{{2}})(\d{{2}}){_CLOCK}$", "$1-$2-$3"),
-    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$", "$3-$1-$2"),
-    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$", "$3-$2-$1"),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),
-    (r"^(\d{4})(?:[-/](\d{2}))?$", "$1-$2"),
-]
-_NAMED_SHAPES = [
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+# Accepted numeric shapes. An ambiguous day and month is read month first, and day first only where
+# the first number cannot be a month.
+_SHAPES = [
+    rf"(?<y1>\d{{4}})[-/.](?<m1>\d{{1,2}})[-/.](?<d1>\d{{1,2}}){_CLOCK}",
+    rf"(?<y2>\d{{4}})(?<m2>\d{{2}})(?<d2>\d{{2}}){_CLOCK}",
+    r"(?<m3>0?[1-9]|1[0-2])[-/.](?<d3>\d{1,2})[-/.](?<y3>\d{4})",
+    r"(?<d4>\d{1,2})[-/.](?<m4>\d{1,2})[-/.](?<y4>\d{4})",
+    r"(?<y5>\d{4})(?:[-/](?<m5>\d{2}))?(?<d5>)",
 ]
+_ANY_SHAPE = f"^(?:{'|'.join(_SHAPES)})$"
+# Only the groups of the matching shape hold text, so this is year-month-day for each of them.
+_YEAR_MONTH_DAY = "-".join("".join(f"${{{part}{i}}}" for i in range(1, 6)) for part in "ymd")
+_REARRANGED = r"^(\d{4}(?:-\d{1,2}){0,2})-*$"
+_SHORT_YEAR = r"^(\d{1,2}/\d{1,2}/)(\d{2})$"
+
+_MONTH_WORD = r"(?i)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b"
+_WORDED = "[MMM d, yyyy][MMMM d, yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][MMM yyyy][MMMM yyyy]"
 
 
 def parse_date(text: Column) -> Column:
@@ -33,16 +33,14 @@ def parse_date(text: Column) -> Column:
     Nearly all rows are already yyyy-mm-dd: they take a cast without any regular expression, and the
     other shapes are only tried on what is left.
     """
-    value = strip(text)
-    iso = ((F.length(value) == 10) & (F.substring(value, 5, 1) == "-")
-           & (F.substring(value, 8, 1) == "-"))
-    attempts = [F.when(iso, value.try_cast("date"))]
-    for shape, order in _NUMERIC_SHAPES:
-        rearranged = F.rtrim(F.regexp_replace(value, shape, order), F.lit("-"))
-        attempts.append(F.when(value.rlike(shape), rearranged.try_cast("date")))
-    for shape, pattern in _NAMED_SHAPES:
-        attempts.append(F.when(value.rlike(shape), F.try_to_date(value, pattern)))
-    return F.coalesce(*attempts)
+    iso = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-")
+           & (F.substring(text, 8, 1) == "-"))
+    full_year = F.regexp_replace(strip(text), _SHORT_YEAR, "$120$2")
+    rearranged = F.regexp_replace(full_year, _ANY_SHAPE, _YEAR_MONTH_DAY)
+    return F.coalesce(
+        F.when(iso, text.try_cast("date")),
+        F.regexp_extract(rearranged, _REARRANGED, 1).try_cast("date"),
+        F.when(text.rlike(_MONTH_WORD), F.try_to_date(strip(text), _WORDED)))
 
 
 def iso_text(date: Column) -> Column:
@@ -58,8 +56,10 @@ def date_parts(date: Column) -> dict[str, Column]:
         "mes": F.month(date).cast("long"),
         "dia": F.day(date).cast("long"),
         "trimestre": F.quarter(date).cast("long"),
-        "nombre_mes": F.element_at(names, F.month(date)),
-        "dia_semana": F.element_at(days, F.weekday(date) + 1),
+        # The explicit test is needed: a literal array reports its elements as never null, and a null
+        # index would then come out as a label.
+        "nombre_mes": F.when(date.isNotNull(), F.element_at(names, F.month(date))),
+        "dia_semana": F.when(date.isNotNull(), F.element_at(days, F.weekday(date) + 1)),
     }
 
 

@@ -6,17 +6,15 @@ from pyspark.sql import functions as F
 from posada.fixed_values import NO_PRICE, PRICE_CLASSES
 from posada.functions.text import SPACE_CLASS
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INFINITE = r"^(?i)[+-]?inf(inity)?$"
+_NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))$"
 
 
 def to_number(text: Column) -> Column:
     """Text -> double; anything that is not wholly a number is null.
 
-    The guard is needed because a plain cast also takes '12d' and 'NaN'.
+    The pattern is needed because a plain cast also takes '12d' and 'NaN'.
     """
-    value = F.trim(text)
-    return F.when(value.rlike(_NUMBER) | value.rlike(_INFINITE), value.try_cast("double"))
+    return F.regexp_extract(F.trim(text), _NUMBER, 0).try_cast("double")
 
 
 def money(text: Column) -> Column:

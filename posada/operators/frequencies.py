@@ -37,15 +37,14 @@ def group_size_range(df: DataFrame, key: str) -> DataFrame:
 
 
 def group_count(df: DataFrame, keys: list[str | Column]) -> DataFrame:
-    """Number of groups; rows with a null key belong to none."""
-    groups = df.select(*keys).dropna().distinct()
-    return groups.agg(F.count(F.lit(1)).alias("grupos"))
+    """Number of groups; rows with a null key belong to none. Keys are names or expressions."""
+    return df.agg(F.count_distinct(*keys).alias("grupos"))
 
 
 def per_year(df: DataFrame, date: Column) -> DataFrame:
     """anio, n in order of year."""
-    return (df.select(F.year(date).cast("long").alias("anio")).dropna()
-            .groupBy("anio").agg(F.count(F.lit(1)).alias("n")).orderBy("anio"))
+    return (df.select(F.year(date).cast("long").alias("anio"))
+            .groupBy("anio").agg(F.count("anio").alias("n")).where("n > 0").orderBy("anio"))
 
 
 def year_over_year(per_year_counts: DataFrame) -> DataFrame:
@@ -66,7 +65,8 @@ def availability_rates(calendar: DataFrame, by: str) -> DataFrame:
     if by == "total":
         return days.agg(rate)
     labels = {"mes": year_month(F.col("fecha")), "dia_semana": F.weekday("fecha").cast("long")}
-    return days.dropna(subset=["fecha"]).groupBy(labels[by].alias(by)).agg(rate)
+    return (days.groupBy(labels[by].alias(by)).agg(rate, F.count("fecha").alias("dias"))
+            .where("dias > 0").drop("dias"))
 
 
 def text_matches(df: DataFrame, column: str, tests: dict[str, Column]) -> DataFrame:

@@ -144,7 +144,7 @@ def _review_metrics(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def _calendar_metrics(df: DataFrame) -> dict[str, DataFrame]:
-    month = year_month(parse_date(F.col("date"))).alias("mes")
+    month = year_month(parse_date(F.col("date")))
     return {
         "calendar_nulos": null_counts(df),
         "calendar_clave_duplicados": duplicate_count(df, ["listing_id", "date"]),

@@ -124,9 +124,9 @@ oracle("price_thresholds", """
 SELECT count(*) FILTER (precio > 1e5) AS mayor_100k, count(*) FILTER (precio > 4e5) AS mayor_400k,
   count(*) FILTER (precio > 1e6) AS "mayor_1M" FROM P""", PRICED)
 oracle("price_metrics_record", """
-SELECT round(q[2], 4) AS mediana, round((SELECT avg(precio) FROM P), 4) AS media,
-  round(q[1], 4) AS q1, round(q[3], 4) AS q3, round(q[4], 4) AS p99,
-  (SELECT max(precio) FROM P) AS max, round(q[3] + 1.5 * (q[3] - q[1]), 4) AS limite_iqr,
+SELECT round(q[2], 6) AS mediana, round((SELECT avg(precio) FROM P), 6) AS media,
+  round(q[1], 6) AS q1, round(q[3], 6) AS q3, round(q[4], 6) AS p99,
+  (SELECT max(precio) FROM P) AS max, round(q[3] + 1.5 * (q[3] - q[1]), 6) AS limite_iqr,
   (SELECT count(*) FROM P WHERE precio > q[3] + 1.5 * (q[3] - q[1])) AS atipicos_iqr,
   (SELECT count(*) FROM P WHERE precio > 1e7) AS "mayor_10M",
   (SELECT count(*) FROM P WHERE precio IS NULL) AS sin_precio
@@ -375,7 +375,8 @@ oracle("min_nights_modes", "SELECT " + ", ".join(
 oracle("share_ratios", "SELECT room_type, round_even(count(*) / (SELECT count(*) FROM L)::DOUBLE * 100, "
        "1) AS pct FROM L WHERE room_type IS NOT NULL GROUP BY 1")
 oracle("spearman_matrix", "\nUNION ALL ".join(f"""
-SELECT '{a}' AS variable_a, '{b}' AS variable_b, count(*) AS n, round(corr(ra, rb), 6) AS rho FROM (
+SELECT '{a}' AS variable_a, '{b}' AS variable_b, count(*) AS n,
+  CASE WHEN abs(corr(ra, rb)) < 5e-7 THEN 0 ELSE round(corr(ra, rb), 6) END AS rho FROM (
   SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS ra,
     rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS rb
   FROM P WHERE {a} IS NOT NULL AND {b} IS NOT NULL)""" for a, b in combinations(RPT_COLUMNS, 2)), PRICED)
@@ -476,7 +477,7 @@ SELECT host_id, host_name, host_segment, regexp_replace({clean("coalesce(host_lo
   '\bBogota\b', 'Bogotá', 'g') AS host_location, {_tf('host_is_superhost')} AS host_is_superhost
 FROM L QUALIFY {FIRST}""")
 oracle("run_all_tables", f"""
-SELECT 'listings' AS tabla, count(*) AS filas, 27::BIGINT AS columnas FROM L
+SELECT 'listings' AS tabla, count(*) AS filas, 29::BIGINT AS columnas FROM L
 UNION ALL SELECT 'hosts', count(DISTINCT host_id), 5 FROM L
 UNION ALL SELECT 'listing_amenities', count(*), 2 FROM (
   SELECT DISTINCT id, unnest({ITEMS}) FROM A WHERE id IN (SELECT id FROM L))

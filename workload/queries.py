@@ -164,7 +164,7 @@ def price_thresholds(spark, sf_dir):
 @query
 def price_metrics_record(spark, sf_dir):
     return rounded(price_metrics(priced(spark, sf_dir), "precio"),
-                   ["mediana", "media", "q1", "q3", "p99", "max", "limite_iqr"], 4)
+                   ["mediana", "media", "q1", "q3", "p99", "max", "limite_iqr"])
 
 
 @query
@@ -282,7 +282,7 @@ def date_parts(spark, sf_dir):
 def date_period(spark, sf_dir):
     periods = view(spark, sf_dir, "C").select(
         "listing_id", dates.year_month(dates.parse_date(F.col("date"))).alias("mes"))
-    return periods.dropna().groupBy("listing_id", "mes").agg(F.count(F.lit(1)).alias("n"))
+    return periods.groupBy("listing_id", "mes").agg(F.count("mes").alias("n")).where("n > 0")
 
 
 @query
@@ -488,7 +488,7 @@ def group_size_range(spark, sf_dir):
 
 @query
 def group_count(spark, sf_dir):
-    month = dates.year_month(dates.parse_date(F.col("date"))).alias("mes")
+    month = dates.year_month(dates.parse_date(F.col("date")))
     return freq.group_count(view(spark, sf_dir, "C"), ["listing_id", month])
 
 
@@ -549,7 +549,8 @@ def share_ratios(spark, sf_dir):
 
 @query
 def spearman_matrix(spark, sf_dir):
-    return rounded(spearman_pairs(priced(spark, sf_dir), RANKED), ["rho"])
+    rho = F.when(F.abs("rho") < 5e-7, 0.0).otherwise(F.round("rho", 6))  # no negative zero
+    return spearman_pairs(priced(spark, sf_dir), RANKED).withColumn("rho", rho)
 
 
 # ---------------------------------------------------------------- rows
