@@ -8,23 +8,25 @@ from posada.operators.lookup import lookup_join
 from posada.operators.quantiles import exact_quantiles, quantile_struct
 
 
-def impute_group_median(df: DataFrame, columns: list[str], group: str | None) -> DataFrame:
-    """Null -> median of its group, then -> median of the column as filled so far.
+def fill_group_median(df: DataFrame, columns: list[str], group: str) -> DataFrame:
+    """Null -> median of the row's group; rows without a group stay as they are."""
+    columns = present(df, columns)
+    as_double = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    if not columns or group not in df.columns:
+        return as_double
+    medians = exact_quantiles(as_double, columns, [0.5], [group])
+    wide = medians.groupBy(group).agg(
+        *[F.max(F.when(F.col("columna") == c, F.col("q")[0])).alias(f"_median_{c}")
+          for c in columns])
+    joined = lookup_join(as_double, wide, [group])
+    return joined.withColumns({c: F.coalesce(c, f"_median_{c}") for c in columns}).select(*df.columns)
 
-    Rows without a group only get the second fill.
-    """
+
+def impute_group_median(df: DataFrame, columns: list[str], group: str) -> DataFrame:
+    """Null -> median of its group, then -> median of the column as filled so far."""
     columns = present(df, columns)
+    filled = fill_group_median(df, columns, group)
     if not columns:
-        return df
-    as_double = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    filled = as_double
-    if group and group in df.columns:
-        medians = exact_quantiles(as_double, columns, [0.5], [group])
-        wide = medians.groupBy(group).agg(
-            *[F.max(F.when(F.col("columna") == c, F.col("q")[0])).alias(f"_median_{c}")
-              for c in columns])
-        filled = lookup_join(as_double, wide, [group])
-        filled = filled.withColumns({c: F.coalesce(c, f"_median_{c}") for c in columns})
-        filled = filled.select(*df.columns)
+        return filled
     overall = quantile_struct(filled, columns, [0.5]).select(F.struct("*")).scalar()
     return filled.withColumns({c: F.coalesce(F.col(c), overall.getField(c)[0]) for c in columns})

@@ -1,6 +1,6 @@
 """Listings, their hosts and their amenities."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from posada import audit as steps
@@ -16,10 +16,11 @@ from posada.functions.numbers import first_number, integer_text, money
 from posada.operators.columns import (empty_columns, host_columns, is_boolean, is_numeric, present)
 from posada.operators.dedup import keep_first
 from posada.operators.hosts import split_hosts
-from posada.operators.impute import impute_group_median
+from posada.operators.impute import fill_group_median
 from posada.operators.nested import add_amenity_count, amenity_pairs, flatten_quote
 from posada.operators.nulls import null_cells
-from posada.operators.outliers import iqr_outlier
+from posada.operators.outliers import fences
+from posada.operators.quantiles import quantile_struct
 
 
 def unique_listings(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -42,21 +43,23 @@ def standardise_dates(df: DataFrame, columns: list[str] = LISTING_DATE_COLUMNS)
                            for c in present(df, columns)})
 
 
+def bathroom_number(df: DataFrame) -> Column:
+    """Stated number, else the number in the text ('half' alone is 0.5)."""
+    words = F.lower("bathrooms_text")
+    stated = F.coalesce(first_number(words), F.when(text.holds(words, "half"), 0.5))
+    return F.coalesce(*[F.col(c).cast("double") for c in present(df, ["bathrooms"])], stated)
+
+
 def convert_bathrooms(df: DataFrame) -> DataFrame:
-    """bathrooms from its text where missing ('half' alone is 0.5), and the shared flag."""
+    """bathrooms completed from its text, and the shared flag."""
     if "bathrooms_text" not in df.columns:
         return df
-    words = F.lower("bathrooms_text")
-    number = first_number(words)
-    stated = F.coalesce(number, F.when(text.holds(words, "half"), 0.5))
-    known = [F.col("bathrooms").cast("double")] if "bathrooms" in df.columns else []
-    return df.withColumns({"bathrooms": F.coalesce(*known, stated),
-                           "bano_compartido": text.holds(words, "shared")})
+    return df.withColumns({"bathrooms": bathroom_number(df),
+                           "bano_compartido": text.holds(F.lower("bathrooms_text"), "shared")})
 
 
-def fill_missing(df: DataFrame, imputed: list[str] = IMPUTED_COLUMNS) -> DataFrame:
-    """Missing values by their meaning; prices and review scores stay null."""
-    df = impute_group_median(df, imputed, "room_type")
+def fill_defaults(df: DataFrame) -> DataFrame:
+    """Missing values that have a meaning; prices and review scores stay null."""
     new = {}
     if "number_of_reviews" in df.columns:
         new["tiene_reviews"] = certainly(F.col("number_of_reviews") > 0)
@@ -84,7 +87,7 @@ def standardise_text(df: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def quality_flags(df: DataFrame, price_outlier=None) -> DataFrame:
+def quality_flags(df: DataFrame, price_outlier: Column | None = None) -> DataFrame:
     """Price class and the quality flags whose source columns are present."""
     new = {}
     if "price" in df.columns:
@@ -101,26 +104,44 @@ def quality_flags(df: DataFrame, price_outlier=None) -> DataFrame:
 def clean_listings(unique: DataFrame) -> DataFrame:
     """Every cleaning step on already unique listings; amenities and host columns still inside.
 
-    All steps but the medians and the quartiles are row-wise expressions, so the result adds no
-    shuffle of the wide rows: statistics are aggregated apart and come back as small values. `unique`
+    All steps are row-wise expressions, so the wide rows are not shuffled again: counts, medians and
+    quartiles are aggregated apart over the columns they need and come back as small values. `unique`
     is scanned several times for them and should be a staged table.
     """
-    df = unique.drop(*empty_columns(unique), *VALUELESS_COLUMNS)
+    held = _value_counts(unique)
+    rows = held["_rows"]
+    empty = [c for c in unique.columns if rows and held[c] == 0]
+    df = unique.drop(*empty, *VALUELESS_COLUMNS)
     df = standardise_dates(convert_flags(flatten_quote(normalise_prices(df))))
     df = convert_bathrooms(df)
-    incomplete = _with_missing(df, IMPUTED_COLUMNS)
-    df = standardise_text(fill_missing(df, incomplete))
-    outlier = iqr_outlier(df, "price") if "price" in df.columns else None
-    return quality_flags(df, outlier)
-
-
-def _with_missing(df: DataFrame, columns: list[str]) -> list[str]:
-    """Complete columns keep their type and need no median."""
-    columns = present(df, columns)
-    if not columns:
-        return []
-    found = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    return [c for c in columns if found[c]]
+
+    # A complete column keeps its type and needs no median.
+    completed = "_bathrooms" if "bathrooms_text" in df.columns else "bathrooms"
+    incomplete = [c for c in present(df, IMPUTED_COLUMNS)
+                  if held[completed if c == "bathrooms" else c] < rows]
+    df = fill_group_median(df, incomplete, "room_type")
+    measured = incomplete + present(df, ["price"])
+    quartiles = quantile_struct(df, measured, [0.25, 0.5, 0.75]).first() if measured else None
+    medians = {c: quartiles[c][1] for c in incomplete if quartiles[c]}
+    df = fill_defaults(df.fillna(medians) if medians else df)
+    return quality_flags(standardise_text(df), _outside_fences(df, quartiles))
+
+
+def _value_counts(unique: DataFrame) -> Row:
+    """Rows, values per column, and bathrooms once completed from their text: one job."""
+    after_text = [F.count(bathroom_number(unique)).alias("_bathrooms")] \
+        if "bathrooms_text" in unique.columns else []
+    return unique.agg(F.count(F.lit(1)).alias("_rows"),
+                      *[F.count(c).alias(c) for c in unique.columns], *after_text).first()
+
+
+def _outside_fences(df: DataFrame, quartiles: Row | None) -> Column | None:
+    if "price" not in df.columns:
+        return None
+    if not quartiles["price"]:
+        return F.lit(False)
+    low, high = fences(F.lit(quartiles["price"][0]), F.lit(quartiles["price"][2]))
+    return certainly((F.col("price") < low) | (F.col("price") > high))
 
 
 def listing_tables(clean: DataFrame) -> dict[str, DataFrame]:

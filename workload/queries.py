@@ -229,7 +229,7 @@ def bool_from_tf(spark, sf_dir):
 @query
 def has_availability_fill(spark, sf_dir):
     df = listings.convert_flags(view(spark, sf_dir, "L"))
-    return listings.fill_missing(df, []).select("id", "has_availability")
+    return listings.fill_defaults(df).select("id", "has_availability")
 
 
 @query
@@ -240,26 +240,26 @@ def baths_from_text(spark, sf_dir):
 
 @query
 def license_text(spark, sf_dir):
-    return listings.fill_missing(view(spark, sf_dir, "L").select("id", "license"), [])
+    return listings.fill_defaults(view(spark, sf_dir, "L").select("id", "license"))
 
 
 @query
 def quality_flags(spark, sf_dir):
-    df = listings.fill_missing(priced(spark, sf_dir).drop("price"), [])
+    df = listings.fill_defaults(priced(spark, sf_dir).drop("price"))
     return listings.quality_flags(df).select(
         "id", "tiene_reviews", "tiene_licencia", "es_estancia_larga", "sin_disponibilidad_anual")
 
 
 @query
 def text_defaults(spark, sf_dir):
-    return listings.fill_missing(
-        view(spark, sf_dir, "L").select("id", "description", "host_location"), [])
+    return listings.fill_defaults(
+        view(spark, sf_dir, "L").select("id", "description", "host_location"))
 
 
 @query
 def reviews_per_month_fill(spark, sf_dir):
     df = view(spark, sf_dir, "L").select("id", "reviews_per_month")
-    return rounded(listings.fill_missing(df, []), ["reviews_per_month"])
+    return rounded(listings.fill_defaults(df), ["reviews_per_month"])
 
 
 # ---------------------------------------------------------------- dates
