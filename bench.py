@@ -14,7 +14,7 @@ from workload.queries import QUERIES  # noqa: E402
 HEADLINE = ["calendar_monthly", "calendar_weekly", "calendar_daily", "avail_by_month",
             "dedup_keep_first", "reviews_clean", "listings_full", "listings_hosts", "price_normalize",
             "price_outliers", "impute_median_by_group", "amenities_long", "quote_flatten",
-            "host_concentration_record", "null_pct", "describe_numeric_columns", "quantiles_by_group",
+            "host_concentration", "null_pct", "describe_numeric", "quantiles_by_group",
             "spearman_matrix", "matched_reviews", "step_audit"]
 
 

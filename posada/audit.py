@@ -9,6 +9,9 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from posada.functions.numbers import format_es
 
 STEP_SCHEMA = ("orden long, paso string, tabla string, filas_antes long, filas_despues long, "
                "detalle string")
@@ -74,3 +77,18 @@ class Audit:
 
     def timing_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.timings, TIMING_SCHEMA)
+
+
+def step_report(steps: DataFrame) -> DataFrame:
+    """Printable steps: rows before and after in thousands notation."""
+    return steps.select("orden", "tabla", "paso", format_es(F.col("filas_antes")).alias("antes"),
+                        format_es(F.col("filas_despues")).alias("despues"))
+
+
+def verification_report(report: DataFrame) -> DataFrame:
+    """Printable verification: counts in thousands notation and OK or ERROR."""
+    return report.select(
+        "tabla", format_es(F.col("esperado")).alias("esperado"),
+        format_es(F.col("almacenado")).alias("almacenado"),
+        F.coalesce(format_es(F.col("exportado")), F.lit("no exportado")).alias("exportado"),
+        F.when(F.col("ok"), "OK").otherwise("ERROR").alias("resultado"))

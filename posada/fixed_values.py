@@ -28,6 +28,12 @@ CLEANED_TEXT_COLUMNS = ["name", "description", "host_about"]
 IMPUTED_COLUMNS = ["bedrooms", "beds", "bathrooms", "minimum_nights"]
 HOST_PREFIXES = ["host_", "hosts_", "calculated_host_listings_count"]
 
+# Columns known to hold text, so that landing need not test their values for numbers.
+KNOWN_TEXT_COLUMNS = ["date", "available", "comments", "reviewer_name", "name", "description",
+                      "amenities", "price", "price_quote_raw", "room_type", "neighbourhood_cleansed",
+                      "bathrooms_text", "host_name", "host_about", "host_location", "picture_url",
+                      *FLAG_COLUMNS, *LISTING_DATE_COLUMNS]
+
 # Tokens that count as missing in raw CSV text.
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]

@@ -67,6 +67,12 @@ def profile(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return metrics
 
 
+def write_profile(metrics: dict[str, DataFrame], root: str) -> None:
+    """One folder of JSON lines per metric."""
+    for name, df in metrics.items():
+        df.write.mode("overwrite").json(f"{root.rstrip('/')}/{name}")
+
+
 def _listing_metrics(raw: DataFrame) -> dict[str, DataFrame]:
     df = raw
     if "price" in raw.columns:

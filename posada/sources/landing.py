@@ -2,12 +2,12 @@
 
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from posada.audit import LandingCount
-from posada.fixed_values import LANDING_ORDER, NA_TOKENS
+from posada.fixed_values import KNOWN_TEXT_COLUMNS, LANDING_ORDER, NA_TOKENS
 from posada.operators.columns import normalise_nan
 from posada.staging import Stage, folder_exists
 
@@ -32,15 +32,14 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
                            for c in df.columns})
 
 
-def infer_types(df: DataFrame) -> DataFrame:
+def infer_types(df: DataFrame, known_text: list[str] = KNOWN_TEXT_COLUMNS) -> DataFrame:
     """Text columns -> long, double or text, without the columns that have no value.
 
-    One aggregate over all columns: a column is a number only if every value is.
+    One aggregate over all columns: a column is a number only if every value is. Of the columns known
+    to be text only the values are counted.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    tests = df.agg(*[F.struct(
-        F.count(c).alias("held"), F.count_if(F.col(c).rlike(_WHOLE)).alias("whole"),
-        F.count_if(F.col(c).rlike(_REAL)).alias("real")).alias(c) for c in text]).first()
+    tests = df.agg(*[_kind_counts(c, c in known_text) for c in text]).first()
     chosen = []
     for name in df.columns:
         column = F.col(name)
@@ -56,6 +55,16 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(*chosen) if chosen else df
 
 
+def _kind_counts(name: str, is_text: bool) -> Column:
+    """Values of a column, and how many of them are whole and real numbers."""
+    value = F.col(name)
+    none = F.lit(0).cast("long")
+    return F.struct(
+        F.count(value).alias("held"),
+        (none if is_text else F.count_if(value.rlike(_WHOLE))).alias("whole"),
+        (none if is_text else F.count_if(value.rlike(_REAL))).alias("real")).alias(name)
+
+
 def land(spark: SparkSession, source: str, target: str, order: list[str] | None = None,
          multi_line: bool = True, max_records_per_file: int = 5_000_000) -> LandingCount:
     """Replace the collection at `target` by the content of a CSV file; returns both row counts.

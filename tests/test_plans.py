@@ -1,5 +1,3 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,7 +210,7 @@ def test_failed_run_returns_one(spark, tmp_path):
     assert run.run(spark, str(tmp_path / "nowhere"), str(tmp_path / "out")) == 1
 
 
-def test_profile(spark, listings_raw, days_raw):
+def test_profile(spark, listings_raw, days_raw, tmp_path):
     review_rows = spark.createDataFrame(
         [(1, 10, "2019-01-05", 1, "Ana", "Muy<br/>bueno"), (1, 11, "2020-02-01", 2, "B", None)],
         "listing_id long, id long, date string, reviewer_id long, reviewer_name string, comments string")
@@ -227,4 +225,5 @@ def test_profile(spark, listings_raw, days_raw):
     assert values["comentario_ejemplo"] == [("Muy<br/>bueno",)]
     assert values["disponibilidad_global"] == [(pytest.approx(400 / 6),)]
     assert values["texto_bogota"] == [(1,)]
-    json.dumps({k: [str(v) for v in rows] for k, rows in values.items()})
+    profile.write_profile({"hosts": metrics["hosts"]}, str(tmp_path))
+    assert spark.read.json(str(tmp_path / "hosts")).first()["distintos"] == 2

@@ -115,15 +115,14 @@ oracle("price_category_counts", f"SELECT {CLASS} AS categoria_precio, count(*) A
        PRICED)
 QUART = ("F AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (SELECT "
          "quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM S))")
-oracle("price_outliers", "SELECT id, round(v, 4) AS precio, coalesce(v < lo OR v > hi, false) "
-       "AS es_outlier_precio FROM S, F", PRICED, SPREAD, QUART)
+oracle("price_outliers", "SELECT id, coalesce(v < lo OR v > hi, false) AS es_outlier_precio FROM S, F", PRICED, SPREAD, QUART)
 oracle("price_outliers_upper", """
 SELECT round(max(hi), 4) AS limite_iqr, count(*) FILTER (v > hi) AS atipicos,
   round(avg(coalesce(v > hi, false)::INT), 4) AS proporcion FROM S, F""", PRICED, SPREAD, QUART)
 oracle("price_thresholds", """
 SELECT count(*) FILTER (precio > 1e5) AS mayor_100k, count(*) FILTER (precio > 4e5) AS mayor_400k,
   count(*) FILTER (precio > 1e6) AS "mayor_1M" FROM P""", PRICED)
-oracle("price_metrics_record", """
+oracle("price_metrics", """
 SELECT round(q[2], 6) AS mediana, round((SELECT avg(precio) FROM P), 6) AS media,
   round(q[1], 6) AS q1, round(q[3], 6) AS q3, round(q[4], 6) AS p99,
   (SELECT max(precio) FROM P) AS max, round(q[3] + 1.5 * (q[3] - q[1]), 6) AS limite_iqr,
@@ -233,12 +232,12 @@ L_COLUMNS = ["id", "host_id", "host_name", "host_segment", "host_location", "hos
 oracle("null_pct", "SELECT columna, round_even(pct, 2) AS pct FROM (" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS columna, avg(({c} IS NULL)::INT) * 100 AS pct FROM L" for c in L_COLUMNS)
     + ") WHERE pct > 0")
-oracle("null_counts_by_column", "\nUNION ALL ".join(
+oracle("null_counts", "\nUNION ALL ".join(
     f"SELECT '{c}' AS columna, count(*) FILTER ({c} IS NULL) AS nulos FROM R"
     for c in ("listing_id", "id", "reviewer_name", "reviewer_id", "date", "comments")), views="R")
-oracle("null_cells_total", "SELECT cast(sum(" + " + ".join(
+oracle("null_cells", "SELECT cast(sum(" + " + ".join(
     f"({c} IS NULL)::INT" for c in L_COLUMNS) + ") AS BIGINT) AS celdas_nulas FROM L")
-oracle("drop_empty", "SELECT * EXCLUDE (picture_url, host_thumbnail_url, price_raw, "
+oracle("drop_empty_columns", "SELECT * EXCLUDE (picture_url, host_thumbnail_url, price_raw, "
        "reviews_per_month) FROM L")
 oracle("select_by_prefix", "SELECT id, host_id, host_name, host_segment, host_location, "
        "host_is_superhost FROM L")
@@ -276,7 +275,7 @@ FIRST = "row_number() OVER (PARTITION BY host_id ORDER BY id) = 1"
 oracle("hosts_dimension", "SELECT host_id, host_name, host_segment, host_location, host_is_superhost "
        f"FROM L QUALIFY {FIRST}")
 oracle("listings_without_hosts", "SELECT id, host_id, room_type, price, availability_365 FROM L")
-oracle("host_concentration_record", """
+oracle("host_concentration", """
 SELECT count(*) AS distintos, count(*) FILTER (n = 1) AS con_uno,
   cast(coalesce(sum(n) FILTER (n >= 10), 0) AS BIGINT) AS alojamientos_grandes,
   max(n) AS max_alojamientos,
@@ -302,19 +301,19 @@ oracle("matched_reviews", "SELECT l_orderkey, count(*) AS filas FROM lineitem WH
        "(SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) GROUP BY 1", views="")
 
 # ---------------------------------------------------------------- summaries
-oracle("describe_numeric_columns", "\nUNION ALL ".join(f"""
+oracle("describe_numeric", "\nUNION ALL ".join(f"""
 SELECT '{c}' AS columna, count({c}) AS count, round(avg({c}), 4) AS mean,
   round(stddev_samp({c}), 4) AS std, round(min({c})::DOUBLE, 4) AS min,
   round(max({c})::DOUBLE, 4) AS max, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS p25,
   round(quantile_cont({c}::DOUBLE, 0.5), 4) AS p50,
   round(quantile_cont({c}::DOUBLE, 0.75), 4) AS p75 FROM P"""
     for c in ("precio", "bedrooms", "minimum_nights", "availability_365", "reviews_per_month")), PRICED)
-oracle("describe_text_columns", "\nUNION ALL ".join(f"""
+oracle("describe_text", "\nUNION ALL ".join(f"""
 SELECT '{c}' AS columna, cast(sum(n) AS BIGINT) AS count, count(*) AS "unique",
   first(v ORDER BY n DESC, v) AS top, max(n) AS freq
 FROM (SELECT {c} AS v, count(*) AS n FROM L WHERE {c} IS NOT NULL GROUP BY 1)"""
     for c in ("room_type", "host_location", "neighbourhood_cleansed", "bathrooms_text")))
-oracle("percentile_list_price", "\nUNION ALL ".join(
+oracle("percentile_list", "\nUNION ALL ".join(
     f"SELECT {p}::DOUBLE AS prob, round(quantile_cont(precio, {p}), 4) AS valor FROM P"
     for p in (0.01, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)), PRICED)
 oracle("quantiles_by_group", "\nUNION ALL ".join(
@@ -393,7 +392,7 @@ oracle("host_location_top", "SELECT host_location, count(*) AS n FROM L WHERE ho
        "GROUP BY 1 ORDER BY n DESC, host_location LIMIT 6")
 oracle("first_match_sample", "SELECT substring(html, 1, 200) AS muestra FROM pages "
        "WHERE contains(html, '<br') ORDER BY page_id LIMIT 1", views="")
-oracle("union_batches_by_name", f"""
+oracle("union_batches", f"""
 SELECT * EXCLUDE (o_orderdate, o_orderpriority), {iso('o_orderdate')} AS o_orderdate,
   CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders""", views="")
 oracle("scan_filter_project", "SELECT event_id, event_type, value FROM events "
@@ -410,7 +409,7 @@ oracle("land_csv_roundtrip", "SELECT p_partkey, p_name, p_brand, p_type, p_size:
 oracle("load_verify", "\nUNION ALL ".join(
     f"SELECT '{t}' AS tabla, count(*) AS esperado, count(*) AS almacenado, true AS ok, "
     f"count(*) <= 1048575 AS en_extracto FROM {t}" for t in ("orders", "customer", "nation")), views="")
-oracle("export_row_cap", "SELECT * FROM (" + "\nUNION ALL ".join(
+oracle("export_capped", "SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT '{t}' AS tabla, count(*) AS filas FROM {t}" for t in ("nation", "region", "lineitem"))
     + ") WHERE filas <= 1000", views="")
 oracle("structure_report", "\nUNION ALL ".join(
@@ -437,6 +436,25 @@ UNION ALL SELECT 4, 'Resumen mensual del calendario', 'calendar_mensual', filas,
   'agrupado por listing_id, anio, mes' FROM N
 UNION ALL SELECT 5, 'Resumen semanal del calendario', 'calendar_semanal', filas, semanal,
   'agrupado por semana ISO' FROM N""", DAYS, _COUNTS, views="C")
+def _thousands(column: str) -> str:
+    return f"translate(format('{{:,.0f}}', {column}::DOUBLE), ',', '.')"
+
+
+oracle("step_report", f"""
+SELECT 1::BIGINT AS orden, 'calendar' AS tabla, 'Eliminación de duplicados' AS paso,
+  {_thousands('antes')} AS antes, {_thousands('filas')} AS despues FROM N
+UNION ALL SELECT 2, 'calendar', 'Estandarización de fechas a YYYY-MM-DD', {_thousands('filas')},
+  {_thousands('filas')} FROM N
+UNION ALL SELECT 3, 'calendar', 'Variables de fecha derivadas', {_thousands('filas')},
+  {_thousands('filas')} FROM N
+UNION ALL SELECT 4, 'calendar_mensual', 'Resumen mensual del calendario', {_thousands('filas')},
+  {_thousands('mensual')} FROM N
+UNION ALL SELECT 5, 'calendar_semanal', 'Resumen semanal del calendario', {_thousands('filas')},
+  {_thousands('semanal')} FROM N""", DAYS, _COUNTS, views="C")
+oracle("verification_report", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS tabla, {_thousands('count(*)')} AS esperado, {_thousands('count(*)')} "
+    f"AS almacenado, 'no exportado' AS exportado, 'OK' AS resultado FROM {t}"
+    for t in ("part", "supplier", "region")), views="")
 oracle("dq_warnings", """
 SELECT 'calendar' AS tabla, 'duplicados' AS regla,
   (SELECT count(*) FROM C) - (SELECT count(*) FROM D) AS n
@@ -446,7 +464,7 @@ UNION ALL SELECT 'calendar', 'sin fecha', count(*) FROM D WHERE fecha IS NULL"""
 oracle("log_parse", r"""
 SELECT pos, string_split(value, ' | ')[1] AS momento, string_split(value, ' | ')[2] AS nivel,
   string_split(value, ' | ')[3] AS origen, string_split(value, ' | ')[4] AS mensaje FROM G""", views="G")
-oracle("log_excerpt_lines", """
+oracle("log_excerpt", """
 SELECT pos, value FROM (
   SELECT pos, value, row_number() OVER (ORDER BY pos) AS rn, count(*) OVER () AS n FROM G
   WHERE pos >= (SELECT max(pos) FROM G WHERE contains(value, 'INICIO DEL PROCESO ETL'))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posada.audit import Audit
+from posada.audit import Audit, step_report, verification_report
 from posada.fixed_values import AVAILABILITY_EDGES, HOST_PREFIXES
 from posada.functions import dates, documents, flags, numbers, text
 from posada.operators import frequencies as freq
@@ -43,7 +43,8 @@ PROBS = [0.01, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a closing underscore only avoids a clash with an import."""
+    QUERIES[function.__name__.removesuffix("_")] = function
     return function
 
 
@@ -143,10 +144,9 @@ def price_category_counts(spark, sf_dir):
 
 @query
 def price_outliers(spark, sf_dir):
-    # A second currency spreads the prices enough for both fences to matter.
+    # Squared prices are skewed enough for the fences to matter.
     df = priced(spark, sf_dir).select("id", (F.col("precio") * F.col("precio") / 1e5).alias("precio"))
-    return df.select("id", F.round("precio", 4).alias("precio"),
-                     iqr_outlier(df, "precio").alias("es_outlier_precio"))
+    return df.select("id", iqr_outlier(df, "precio").alias("es_outlier_precio"))
 
 
 @query
@@ -162,7 +162,7 @@ def price_thresholds(spark, sf_dir):
 
 
 @query
-def price_metrics_record(spark, sf_dir):
+def price_metrics_(spark, sf_dir):
     return rounded(price_metrics(priced(spark, sf_dir), "precio"),
                    ["mediana", "media", "q1", "q3", "p99", "max", "limite_iqr"])
 
@@ -305,17 +305,17 @@ def null_pct(spark, sf_dir):
 
 
 @query
-def null_counts_by_column(spark, sf_dir):
+def null_counts_(spark, sf_dir):
     return null_counts(view(spark, sf_dir, "R"))
 
 
 @query
-def null_cells_total(spark, sf_dir):
+def null_cells_(spark, sf_dir):
     return null_cells(view(spark, sf_dir, "L"))
 
 
 @query
-def drop_empty(spark, sf_dir):
+def drop_empty_columns_(spark, sf_dir):
     return drop_empty_columns(view(spark, sf_dir, "L"), ["picture_url"]).select(
         "*").drop("price_raw", "reviews_per_month")
 
@@ -392,7 +392,7 @@ def listings_without_hosts(spark, sf_dir):
 
 
 @query
-def host_concentration_record(spark, sf_dir):
+def host_concentration_(spark, sf_dir):
     return rounded(host_concentration(view(spark, sf_dir, "L")),
                    ["proporcion_con_uno", "proporcion_grandes"])
 
@@ -435,20 +435,20 @@ def matched_reviews(spark, sf_dir):
 # ---------------------------------------------------------------- summaries
 
 @query
-def describe_numeric_columns(spark, sf_dir):
+def describe_numeric_(spark, sf_dir):
     summary = describe_numeric(priced(spark, sf_dir), ["precio", "bedrooms", "minimum_nights",
                                                        "availability_365", "reviews_per_month"])
     return rounded(summary, ["mean", "std", "min", "max", "p25", "p50", "p75"], 4)
 
 
 @query
-def describe_text_columns(spark, sf_dir):
+def describe_text_(spark, sf_dir):
     return describe_text(view(spark, sf_dir, "L"), ["room_type", "host_location",
                                                     "neighbourhood_cleansed", "bathrooms_text"])
 
 
 @query
-def percentile_list_price(spark, sf_dir):
+def percentile_list_(spark, sf_dir):
     return rounded(percentile_list(priced(spark, sf_dir), "precio", PROBS), ["valor"], 4)
 
 
@@ -586,7 +586,7 @@ def first_match_sample(spark, sf_dir):
 
 
 @query
-def union_batches_by_name(spark, sf_dir):
+def union_batches_(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("date").cast("string"))
     return union_batches([orders.where("o_orderkey % 2 = 0"),
@@ -637,7 +637,7 @@ def load_verify(spark, sf_dir):
 
 
 @query
-def export_row_cap(spark, sf_dir):
+def export_capped_(spark, sf_dir):
     stage = Stage(spark)
     names = ["nation", "region", "lineitem"]
     tables = {n: table(spark, sf_dir, n) for n in names}
@@ -667,6 +667,23 @@ def step_audit(spark, sf_dir):
     return audit.step_table(spark)
 
 
+@query
+def step_report_(spark, sf_dir):
+    audit = Audit()
+    raw = view(spark, sf_dir, "C")
+    staged = Stage(spark).put(calendar.clean_days(raw, CALENDAR_ORDER), "days")
+    calendar.audit_calendar(audit, raw, staged, calendar.monthly(staged).count(),
+                            calendar.weekly(staged).count())
+    return step_report(audit.step_table(spark))
+
+
+@query
+def verification_report_(spark, sf_dir):
+    stage = Stage(spark)
+    tables = {n: table(spark, sf_dir, n) for n in ("part", "supplier", "region")}
+    return verification_report(publish(spark, tables, stage.path("tables")))
+
+
 @query
 def dq_warnings(spark, sf_dir):
     return calendar.calendar_findings(view(spark, sf_dir, "C"), days(spark, sf_dir))
@@ -678,7 +695,7 @@ def log_parse(spark, sf_dir):
 
 
 @query
-def log_excerpt_lines(spark, sf_dir):
+def log_excerpt_(spark, sf_dir):
     return log_excerpt(view(spark, sf_dir, "G"))
 
 
