@@ -10,7 +10,7 @@ from posada.audit import Audit
 from posada.fixed_values import EXPORT_GROUPS, LOOKUP_COLUMNS, SHEET_MAX_CHARS, SHEET_MAX_ROWS
 from posada.functions.text import truncate
 from posada.operators.columns import present
-from posada.staging import folder_exists
+from posada.staging import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -108,7 +108,7 @@ def verify(spark: SparkSession, expected: dict[str, int], root: str,
     records = []
     for name, rows in expected.items():
         path = f"{root.rstrip('/')}/{name}"
-        stored = spark.read.parquet(path).count() if folder_exists(spark, path) else None
+        stored = spark.read.parquet(path).count() if path_exists(spark, path) else None
         extract = None
         if name in exported:
             extract = spark.read.csv(exported[name], header=True, multiLine=True,

@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 from posada.audit import LandingCount
 from posada.fixed_values import KNOWN_TEXT_COLUMNS, LANDING_ORDER, NA_TOKENS
 from posada.operators.columns import normalise_nan
-from posada.staging import Stage, folder_exists
+from posada.staging import Stage, path_exists
 
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
 _REAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -22,7 +22,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
     A multi-line or gzip file is read by one task per file; calendars have no free text and can be
     read with multi_line=False, which splits uncompressed files.
     """
-    if not folder_exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     df = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False,
                         enforceSchema=False)

@@ -21,9 +21,11 @@ def staging_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True for a file, a folder or a pattern that matches something."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:

@@ -31,6 +31,10 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN"}
+
+
 def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
     """Empty when both sides agree, otherwise what differs."""
     df = QUERIES[name](spark, sf_dir)
@@ -41,6 +45,10 @@ def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
     want_columns, want = rows_of(cursor.fetchall(), [d[0] for d in cursor.description])
     if got_columns != want_columns:
         return f"columns {got_columns} / {want_columns}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    off = {c: (t, types[c]) for c, t in df.dtypes if _TYPES.get(t) != types[c]}
+    if off:
+        return f"types {off}"
     if len(got) != len(want):
         return f"rows {len(got)} / {len(want)}"
     differing = [(g, w) for g, w in zip(got, want) if repr(g) != repr(w)]

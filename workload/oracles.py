@@ -101,8 +101,8 @@ oracle("dup_key_count", """
 SELECT cast(sum(n - 1) AS BIGINT) AS duplicados FROM (
   SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""", views="")
 oracle("dup_row_count", """
-SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (
-  SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem)) AS duplicados""", views="")
+SELECT (SELECT count(*) FROM C) - (SELECT count(*) FROM (SELECT DISTINCT listing_id, date, available,
+  minimum_nights, maximum_nights FROM C)) AS duplicados""", views="C")
 
 # ---------------------------------------------------------------- prices
 CLASS = """CASE WHEN precio >= 0 AND precio < 100000 THEN 'Económico'
