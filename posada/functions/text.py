@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"\s\x1c-\x1f"
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-# Possessive, so that a run of any length is matched without recursion.
-_BREAK_OR_SPACE = rf"(?U)(?:<br[{SPACE_CLASS}]*/?>|[{SPACE_CLASS}]++)++"
+# A run of breaks and white space. A single blank between words needs no change and does not start a
+# run, which spares most replacements. Possessive, so that a run of any length takes no recursion.
+_BREAK = f"<br[{SPACE_CLASS}]*/?>"
+_BREAK_OR_SPACE = (f"(?U)(?:[{SPACE_CLASS}&&[^ ]]| (?=[{SPACE_CLASS}<])|{_BREAK})"
+                   f"(?:{_BREAK}|[{SPACE_CLASS}]++)*+")
 # A word starts after every character that has no case.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _WORD_EDGE = f"(?<=[^{_CASED}])|(?=[^{_CASED}])"

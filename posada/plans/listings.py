@@ -69,8 +69,9 @@ def fill_defaults(df: DataFrame) -> DataFrame:
         new["tiene_licencia"] = F.col("license").isNotNull()
         new["license"] = text.or_default(integer_text(F.col("license").cast("string")), NO_LICENSE)
     if {"has_availability", "availability_365"} <= set(df.columns):
-        new["has_availability"] = F.coalesce("has_availability", F.col("availability_365") > 0,
-                                             F.lit(False))
+        stated = F.col("has_availability")
+        known = stated if is_boolean(df, "has_availability") else from_tf(stated)
+        new["has_availability"] = F.coalesce(known, F.col("availability_365") > 0, F.lit(False))
     for c in present(df, DEFAULTED_TEXT_COLUMNS):
         new[c] = text.or_default(F.col(c).cast("string"), NO_INFORMATION)
     return df.withColumns(new) if new else df
