@@ -1,24 +1,23 @@
 """Intermediate tables that cut lineage and survive the loss of executors."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: str | None = None
+
+
+def configured_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session names, by its setting or by setCheckpointDir."""
+    return spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING) \
+        or spark.sparkContext.getCheckpointDir()
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session; only a local session may do without one."""
-    global _local_folder
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    folder = configured_folder(spark)
+    if not folder:
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    _local_folder = _local_folder or tempfile.mkdtemp(prefix="posada-")
-    return _local_folder
+    return folder
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
