@@ -136,9 +136,9 @@ def decode_ids(ids, path: str) -> bytes:
     return b"".join(map(vocabulary(path).__getitem__, ids))
 
 
-def _added(df: DataFrame, text: str, fields: list[T.StructField], path: str, row) -> DataFrame:
+def _added(df: DataFrame, text: str, fields: list[T.StructField], path: str, row, keep=None) -> DataFrame:
     return map_texts(df, text, fields, lambda column: [row(ids, edges, path) for ids, edges in
-                                                       encode_texts(column, path)], BATCH_BYTES)
+                                                       encode_texts(column, path)], BATCH_BYTES, keep)
 
 
 def _ids_row(ids, edges, path):
@@ -175,7 +175,7 @@ def _digest_row(ids, edges, path):
     return len(ids), hashlib.sha256(numbers).hexdigest(), hashlib.sha256(decode_ids(ids, path)).hexdigest()
 
 
-def round_trip_digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def round_trip_digests(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds `n_tokens`, `ids_sha256` (of the decimal ids joined by blanks) and `decoded_sha256`, in one pass."""
     return _added(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                             T.StructField("decoded_sha256", T.StringType())], path, _digest_row)
+                             T.StructField("decoded_sha256", T.StringType())], path, _digest_row, keep)

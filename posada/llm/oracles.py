@@ -1,3 +1,13 @@
 """SQL counterparts, where SQL can express the operator."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc_archives": """
+        WITH held AS (
+          SELECT page_id, coalesce(html, '') AS payload,
+            max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+          FROM pages)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+          CASE WHEN strlen(payload) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN strlen(payload) >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM held""",
+}

@@ -20,6 +20,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
@@ -265,10 +266,9 @@ def pack(pieces: DataFrame, order: list[str], length: str = "length", capacity:
     placed = ranked.join(sizes, [length, "__slot"]).withColumn("__rank", F.col("__before") + F.col("__within"))
 
     @F.pandas_udf("sequence_id bigint, offset bigint")
-    def find(lengths: "pd.Series", ranks: "pd.Series") -> "pd.DataFrame":  # noqa: F821
-        import pandas
+    def find(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
         sequence, offset = sent.value.find(lengths.to_numpy(np.int64), ranks.to_numpy(np.int64))
-        return pandas.DataFrame({"sequence_id": sequence, "offset": offset})
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     return placed.withColumn("__place", find(F.col(length).cast("bigint"), F.col("__rank"))) \
         .select(*pieces.columns, "__place.sequence_id", "__place.offset")
