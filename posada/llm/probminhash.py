@@ -8,8 +8,8 @@ arrival is later than the latest place, so most of them send one arrival.
 
 Steps: texts of the same words are one class from the start (digest, pre-aggregated). Signatures are cut into `BANDS` bands of
 `ROWS` places. Within a band value, first all members are compared with the smallest (a star, not all pairs), found links
-are joined to components, and then only members that are in different components are compared, pair by pair. So a large group of
-near copies costs a star, and no link between components is lost. Each candidate pair is verified: the plain Jaccard similarity
+are joined to components, and then only members that are in different components are compared, pair by pair, unless the shingles
+that only one text has rule the pair out. So a large group of near copies costs a star, and no link between components is lost. Each candidate pair is verified: the plain Jaccard similarity
 of the two shingle sets must be at least `SIMILARITY`.
 
 Null, empty and white-space texts have no shingles and are kept, each on its own.
@@ -28,7 +28,6 @@ from posada.staging import Stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-STARS = 2
 BATCH_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -159,35 +158,60 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         .where(F.col("similarity") >= similarity)
 
 
-def links(buckets: DataFrame, texts: DataFrame, similarity: float, held: Stage, stars: int = STARS) -> DataFrame:
+def own_shingles(texts: DataFrame) -> DataFrame:
+    """(id, n, own): shingles of a text, and how many of them no other text of the table has; only texts that have any."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in slices(batches, BATCH_BYTES, "text"):
+            owner, hashes, _ = shingles(*utf8(batch.column("text")))
+            counts = np.bincount(owner, minlength=len(batch))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner)), pa.array(counts[owner].astype(np.int64)),
+                                              pa.array(hashes.view(np.int64))], names=["id", "n", "shingle"])
+
+    rows = texts.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, shingle bigint")
+    return rows.groupBy("shingle").agg(F.count("*").alias("texts"), F.max("id").alias("id"), F.max("n").alias("n")) \
+        .where("texts = 1").groupBy("id").agg(F.max("n").alias("n"), F.count("*").alias("own"))
+
+
+def can_be_similar(left: str, right: str, similarity: float) -> F.Column:
+    """False for pairs whose shingles cannot reach the similarity: what is found in one text only is not shared."""
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    most = F.least(n - F.col(f"{left}.own"), m - F.col(f"{right}.own"))
+    return F.coalesce(most * (1 + similarity) >= (n + m) * similarity - 1e-6, F.lit(True))
+
+
+def links(buckets: DataFrame, texts: DataFrame, similarity: float, held: Stage) -> DataFrame:
     """(id, component) of all ids with a link. buckets: (band, value, id), one row for each member of a band value.
 
-    After a star round, only members in another component than the smallest member's are left over; the last round
-    compares those pairs of members of one band value that are in different components."""
+    Three rounds of candidates: every member with the smallest one of its band value; where a band value then still holds
+    several components, every other member with one of the last component; and then all pairs of members in different
+    components, but for those that cannot be similar."""
     shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
     members = held.put(buckets.join(shared.select("band", "value", "least"), ["band", "value"])
                        .select("band", "value", "id", "least"), "members")
     pairs = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     found = held.put(verified(pairs, texts, similarity), "links-0")
-    for k in range(1, stars + 1):
+    rest = members.select("band", "value", "id")
+    for k in (1, 2):
         parts = held.put(components(found, held, f"parts-{k}"), f"components-{k}")
-        placed = members.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+        placed = rest.select("band", "value", "id").join(parts, "id", "left") \
+            .withColumn("part", F.coalesce("component", "id")).drop("component")
         # only band values whose members are not all in one component
         open_ = placed.groupBy("band", "value").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
             .where("low <> high").select("band", "value")
         rest = held.put(placed.join(open_, ["band", "value"]).select("band", "value", "id", "part"), f"rest-{k}")
-        if k < stars:
-            # the smallest member of each component of a band value against the smallest of the whole band value's others
-            heads = rest.groupBy("band", "value").agg(F.max("part").alias("of"), F.max_by("id", "part").alias("a"))
-            candidates = rest.join(heads, ["band", "value"]).where(F.col("part") != F.col("of")) \
-                .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        else:
-            left, right = rest.alias("l"), rest.alias("r")
-            candidates = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value"))
-                                   & (F.col("l.id") < F.col("r.id")) & (F.col("l.part") != F.col("r.part"))) \
-                .select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-        more = held.put(verified(candidates, texts, similarity), f"links-{k}")
-        found = found.unionByName(more)
+        own = held.put(own_shingles(texts.join(rest.select("id").distinct(), "id", "left_semi")), f"own-{k}")
+        known = held.put(rest.join(own, "id", "left"), f"known-{k}")
+        left, right = known.alias("l"), known.alias("r")
+        if k == 1:
+            last = known.groupBy("band", "value").agg(F.max(F.struct("part", "id", "n", "own")).alias("last"))
+            right = last.select("band", "value", "last.*").alias("r")
+        order = F.lit(True) if k == 1 else F.col("l.id") < F.col("r.id")
+        candidates = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value")) & order
+                               & (F.col("l.part") != F.col("r.part")) & can_be_similar("l", "r", similarity)) \
+            .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+        found = found.unionByName(held.put(verified(candidates, texts, similarity), f"links-{k}"))
     return components(found, held, "parts-last")
 
 
