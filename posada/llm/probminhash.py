@@ -8,8 +8,8 @@ arrival is later than the latest place, so most of them send one arrival.
 
 Steps: texts of the same words are one class from the start (digest, pre-aggregated). Signatures are cut into `BANDS` bands of
 `ROWS` places. Within a band value, first all members are compared with the smallest (a star, not all pairs), found links
-are joined to components, and then only members that are in different components are compared, pair by pair, unless the shingles
-that only one text has rule the pair out. So a large group of near copies costs a star, and no link between components is lost. Each candidate pair is verified: the plain Jaccard similarity
+are joined to components, and then only members that are in different components are compared, pair by pair, unless bitmaps of their
+shingles rule the pair out. So a large group of near copies costs a star, and no link between components is lost. Each candidate pair is verified: the plain Jaccard similarity
 of the two shingle sets must be at least `SIMILARITY`.
 
 Null, empty and white-space texts have no shingles and are kept, each on its own.
@@ -28,6 +28,7 @@ from posada.staging import Stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
+WORDS = 16
 BATCH_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -158,27 +159,29 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         .where(F.col("similarity") >= similarity)
 
 
-def own_shingles(texts: DataFrame) -> DataFrame:
-    """(id, n, own): shingles of a text, and how many of them no other text of the table has; only texts that have any."""
+def bitmaps(texts: DataFrame) -> DataFrame:
+    """(id, n, bits, w0, w1, ...): the number of a text's shingles, a bit for each hash value that some shingle has, and their number."""
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in slices(batches, BATCH_BYTES, "text"):
             owner, hashes, _ = shingles(*utf8(batch.column("text")))
-            counts = np.bincount(owner, minlength=len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner)), pa.array(counts[owner].astype(np.int64)),
-                                              pa.array(hashes.view(np.int64))], names=["id", "n", "shingle"])
+            bits = np.zeros((len(batch), 64 * WORDS), bool)
+            bits[owner, (hashes % np.uint64(64 * WORDS)).astype(np.int64)] = True
+            held = np.packbits(bits, axis=1).view(np.int64)
+            n = np.bincount(owner, minlength=len(batch)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(bits.sum(1).astype(np.int64)),
+                                              *(pa.array(held[:, i].copy()) for i in range(WORDS))],
+                                             names=["id", "n", "bits", *(f"w{i}" for i in range(WORDS))])
 
-    rows = texts.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, shingle bigint")
-    return rows.groupBy("shingle").agg(F.count("*").alias("texts"), F.max("id").alias("id"), F.max("n").alias("n")) \
-        .where("texts = 1").groupBy("id").agg(F.max("n").alias("n"), F.count("*").alias("own"))
+    return texts.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, bits bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
 
 
 def can_be_similar(left: str, right: str, similarity: float) -> F.Column:
-    """False for pairs whose shingles cannot reach the similarity: what is found in one text only is not shared."""
-    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    most = F.least(n - F.col(f"{left}.own"), m - F.col(f"{right}.own"))
-    return F.coalesce(most * (1 + similarity) >= (n + m) * similarity - 1e-6, F.lit(True))
+    """False for pairs that cannot reach the similarity: a bit that only one text has stands for a shingle that only it has."""
+    common = F.expr(" + ".join(f"bit_count({left}.w{i} & {right}.w{i})" for i in range(WORDS)))
+    most = F.least(*(F.col(f"{x}.n") - F.col(f"{x}.bits") for x in (left, right))) + common
+    return most * (1 + similarity) >= (F.col(f"{left}.n") + F.col(f"{right}.n")) * similarity - 1e-6
 
 
 def links(buckets: DataFrame, texts: DataFrame, similarity: float, held: Stage) -> DataFrame:
@@ -186,7 +189,7 @@ def links(buckets: DataFrame, texts: DataFrame, similarity: float, held: Stage)
 
     Three rounds of candidates: every member with the smallest one of its band value; where a band value then still holds
     several components, every other member with one of the last component; and then all pairs of members in different
-    components, but for those that cannot be similar."""
+    components, but for those whose bitmaps tell that they cannot be similar."""
     shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
     members = held.put(buckets.join(shared.select("band", "value", "least"), ["band", "value"])
                        .select("band", "value", "id", "least"), "members")
@@ -201,12 +204,13 @@ def links(buckets: DataFrame, texts: DataFrame, similarity: float, held: Stage)
         open_ = placed.groupBy("band", "value").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
             .where("low <> high").select("band", "value")
         rest = held.put(placed.join(open_, ["band", "value"]).select("band", "value", "id", "part"), f"rest-{k}")
-        own = held.put(own_shingles(texts.join(rest.select("id").distinct(), "id", "left_semi")), f"own-{k}")
-        known = held.put(rest.join(own, "id", "left"), f"known-{k}")
+        known = bitmaps(texts.join(rest.select("id").distinct(), "id", "left_semi"))
+        known = held.put(rest.join(known, "id"), f"known-{k}")
         left, right = known.alias("l"), known.alias("r")
         if k == 1:
-            last = known.groupBy("band", "value").agg(F.max(F.struct("part", "id", "n", "own")).alias("last"))
-            right = last.select("band", "value", "last.*").alias("r")
+            last = known.groupBy("band", "value").agg(F.max(F.struct("part", "id")).alias("last")) \
+                .select("band", "value", "last.id")
+            right = known.join(last, ["band", "value", "id"]).alias("r")
         order = F.lit(True) if k == 1 else F.col("l.id") < F.col("r.id")
         candidates = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.value") == F.col("r.value")) & order
                                & (F.col("l.part") != F.col("r.part")) & can_be_similar("l", "r", similarity)) \
