@@ -7,7 +7,7 @@ ORACLES: dict[str, str] = {
             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
           FROM pages)
         SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
-          CASE WHEN strlen(payload) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-          CASE WHEN strlen(payload) >= 1000 AND page_id <> last THEN last END AS refers_to
+          CASE WHEN strlen(payload) >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN strlen(payload) >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
         FROM held""",
 }

@@ -33,7 +33,7 @@ from posada.llm.common import slices, text_or_empty
 
 CAPACITY = 4096
 END_ID = 1
-ROUNDS = 6
+ROUNDS = 3
 STRENGTH = 0.5
 SLOTS = 256
 BATCH_BYTES = 8 << 20
@@ -70,7 +70,12 @@ class WordTokenizer:
             chunk = unicodedata.normalize("NFC", chunk)
             if "Σ" in chunk:                                      # the library lower-cases letter by letter
                 chunk = chunk.replace("Σ", "σ")
-        return b"".join(map(self.words.__getitem__, _PIECES.findall(chunk.lower())))
+        chunk = chunk.lower()
+        if chunk.isalpha():                                       # nearly all chunks are a word, or a word and a mark
+            return self.words[chunk]
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return self.words[chunk[:-1]] + self.words[chunk[-1]]
+        return b"".join(map(self.words.__getitem__, _PIECES.findall(chunk)))
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
