@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from workload.queries import QUERIES  # noqa: E402
+from workload.session import set_folder  # noqa: E402
 
 HEADLINE = ["calendar_monthly", "calendar_weekly", "calendar_daily", "avail_by_month",
             "dedup_keep_first", "reviews_clean", "listings_full", "listings_hosts", "price_normalize",
@@ -25,9 +26,9 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
              .config("spark.sql.shuffle.partitions", cpus)
-             .config("spark.sql.codegen.cache.maxEntries", "2000")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    set_folder(spark)
     QUERIES["calendar_monthly"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINE:

@@ -64,7 +64,6 @@ RUN_START = "INICIO DEL PROCESO ETL"
 LOG_FRAGMENTS = ["INICIO", "Conexión establecida", "registros extraídos", "WARNING", "ERROR",
                  "Tratamiento de nulos", "Desanidado", "Resumen mensual", "SQLite: tabla",
                  "XLSX:", "Verificación", "Etapa de", "FIN DEL PROCESO"]
-LOG_PATH_PATTERN = r"[A-Z]:\\.*\\(logs\\log_\d+_\d+\.txt)"
 
 # Edges of the availability bins, each (lower, upper].
 AVAILABILITY_EDGES = [-1, 0, 90, 180, 270, 364, 365]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from posada.fixed_values import MONTH_NAMES, WEEKDAY_NAMES
 from posada.functions.text import strip
 
-_CLOCK = r"(?:[T ](?:[01]?\d|2[0-3]):?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
+_CLOCK = r"(?:[T ](?:[01]?\d|2[0-3]):?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
 
 # Accepted numeric shapes. An ambiguous day and month is read month first, and day first only where
 # the first number cannot be a month.
@@ -21,7 +21,9 @@ _ANY_SHAPE = f"^(?:{'|'.join(_SHAPES)})$"
 # Only the groups of the matching shape hold text, so this is year-month-day for each of them.
 _YEAR_MONTH_DAY = "-".join("".join(f"${{{part}{i}}}" for i in range(1, 6)) for part in "ymd")
 _REARRANGED = r"^(\d{4}(?:-\d{1,2}){0,2})-*$"
-_SHORT_YEAR = r"^(\d{1,2}/\d{1,2}/)(\d{2})$"
+# Years of two digits: 69 to 99 lie in the 1900s, 00 to 68 in the 2000s (the POSIX rule).
+_SHORT_1900 = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)$"
+_SHORT_2000 = r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])$"
 
 _MONTH_WORD = r"(?i)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b"
 _WORDED = "[MMM d, yyyy][MMMM d, yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][MMM yyyy][MMMM yyyy]"
@@ -35,7 +37,7 @@ def parse_date(text: Column) -> Column:
     """
     iso = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-")
            & (F.substring(text, 8, 1) == "-"))
-    full_year = F.regexp_replace(strip(text), _SHORT_YEAR, "$120$2")
+    full_year = F.regexp_replace(F.regexp_replace(strip(text), _SHORT_1900, "$119$2"), _SHORT_2000, "$120$2")
     rearranged = F.regexp_replace(full_year, _ANY_SHAPE, _YEAR_MONTH_DAY)
     return F.coalesce(
         F.when(iso, text.try_cast("date")),

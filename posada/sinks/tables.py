@@ -1,4 +1,4 @@
-"""Publication of the output tables, capped extracts and verification."""
+"""Publication of the output tables, extracts and verification."""
 
 import logging
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from posada.audit import Audit
-from posada.fixed_values import EXPORT_GROUPS, LOOKUP_COLUMNS, SHEET_MAX_CHARS, SHEET_MAX_ROWS
+from posada.fixed_values import EXPORT_GROUPS, LOOKUP_COLUMNS, SHEET_MAX_ROWS
 from posada.functions.text import truncate
 from posada.operators.columns import present
 from posada.staging import path_exists
@@ -55,11 +55,11 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 
 
-def truncate_texts(df: DataFrame, max_chars: int = SHEET_MAX_CHARS) -> DataFrame:
+def truncate_texts(df: DataFrame, max_chars: int) -> DataFrame:
     return df.withColumns({c: truncate(F.col(c), max_chars) for c in text_columns(df)})
 
 
-def truncation_counts(df: DataFrame, max_chars: int = SHEET_MAX_CHARS) -> DataFrame:
+def truncation_counts(df: DataFrame, max_chars: int) -> DataFrame:
     """columna, recortados: texts longer than max_chars per text column."""
     columns = text_columns(df)
     if not columns:
@@ -69,33 +69,28 @@ def truncation_counts(df: DataFrame, max_chars: int = SHEET_MAX_CHARS) -> DataFr
         F.struct(F.lit(c).alias("columna"), F.col(c).alias("recortados")) for c in columns])))
 
 
-def fits_sheet(df: DataFrame, max_rows: int = SHEET_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def export_extracts(tables: dict[str, DataFrame], root: str,
+                    groups: dict[str, list[str]] = EXPORT_GROUPS,
+                    max_rows: int = SHEET_MAX_ROWS, max_chars: int | None = None,
+                    audit: Audit | None = None) -> dict[str, str]:
+    """One CSV folder per table, with all its rows in files of at most max_rows; returns table -> folder.
 
-
-def export_capped(tables: dict[str, DataFrame], root: str,
-                  groups: dict[str, list[str]] = EXPORT_GROUPS,
-                  max_rows: int = SHEET_MAX_ROWS, max_chars: int = SHEET_MAX_CHARS,
-                  audit: Audit | None = None) -> dict[str, str]:
-    """One CSV extract per table that fits a sheet; returns table -> folder.
-
-    Larger tables are left out with a warning (they stay complete in the published tables), and a
-    group without any table leaves no folder. An extract is one file, bounded by max_rows.
+    Texts are written whole unless max_chars is given; then every shortened column is an audit finding.
+    A group without any table leaves no folder.
     """
     audit = audit or Audit()
     exported = {}
     for group, names in groups.items():
         for name in [n for n in names if n in tables]:
-            if not fits_sheet(tables[name], max_rows):
-                log.warning("table '%s' has more than %d rows and is not exported", name, max_rows)
-                audit.finding(name, "supera el límite de exportación", 1)
-                continue
-            for row in truncation_counts(tables[name], max_chars).collect():
-                if row["recortados"]:
-                    audit.finding(name, f"textos recortados en {row['columna']}", row["recortados"])
+            df = tables[name]
+            if max_chars is not None:
+                for row in truncation_counts(df, max_chars).collect():
+                    if row["recortados"]:
+                        audit.finding(name, f"textos recortados en {row['columna']}", row["recortados"])
+                df = truncate_texts(df, max_chars)
             path = f"{root.rstrip('/')}/{group}/{name}"
             with audit.timed("exportación", name):
-                (truncate_texts(tables[name], max_chars).coalesce(1).write.mode("overwrite")
+                (df.write.mode("overwrite").option("maxRecordsPerFile", max_rows)
                  .csv(path, header=True, quote='"', escape='"', nullValue=""))
             exported[name] = path
     return exported
@@ -123,7 +118,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     """Write, export (when extract_root is given) and verify; returns the verification table."""
     expected = write_tables(tables, root, audit)
     stored = read_tables(spark, root, list(tables))
-    exported = export_capped(stored, extract_root, audit=audit) if extract_root else {}
+    exported = export_extracts(stored, extract_root, audit=audit) if extract_root else {}
     report = verify(spark, expected, root, exported)
     failing = [r["tabla"] for r in report.where("NOT ok").collect()]
     if failing:

@@ -4,14 +4,14 @@ import time
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from posada.audit import LandingCount
 from posada.fixed_values import KNOWN_TEXT_COLUMNS, LANDING_ORDER, NA_TOKENS
 from posada.operators.columns import normalise_nan
 from posada.staging import Stage, path_exists
 
-_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
 _REAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -19,8 +19,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
              na_tokens: list[str] | None = NA_TOKENS) -> DataFrame:
     """Header CSV as text columns, missing-value tokens as null.
 
-    A multi-line or gzip file is read by one task per file; calendars have no free text and can be
-    read with multi_line=False, which splits uncompressed files.
+    A multi-line or gzip file is read by one task per file; multi_line=False splits uncompressed files
+    and is for sources whose values hold no line breaks.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
@@ -35,20 +35,22 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
 def infer_types(df: DataFrame, known_text: list[str] = KNOWN_TEXT_COLUMNS) -> DataFrame:
     """Text columns -> long, double or text, without the columns that have no value.
 
-    One aggregate over all columns: a column is a number only if every value is. Of the columns known
-    to be text only the values are counted.
+    One aggregate over all columns: a column is a number only if every value is. Whole numbers of which
+    one does not fit into a long stay text, as a double would merge neighbours. Of the columns known to
+    be text only the values are counted.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     tests = df.agg(*[_kind_counts(c, c in known_text) for c in text]).first()
     chosen = []
     for name in df.columns:
-        column = F.col(name)
+        column = F.col(f"`{name}`")
         if name in text:
-            found = tests[name]
+            found = tests[text.index(name)]
             if found["held"] == 0:
                 continue
             if found["whole"] == found["held"]:
-                column = F.trim(column).cast("long").alias(name)
+                if found["fits"] == found["held"]:
+                    column = F.trim(column).cast("long").alias(name)
             elif found["real"] == found["held"]:
                 column = F.trim(column).cast("double").alias(name)
         chosen.append(column)
@@ -56,30 +58,37 @@ def infer_types(df: DataFrame, known_text: list[str] = KNOWN_TEXT_COLUMNS) -> Da
 
 
 def _kind_counts(name: str, is_text: bool) -> Column:
-    """Values of a column, and how many of them are whole and real numbers."""
-    value = F.col(name)
+    """Values of a column, and how many of them are whole numbers, fit into a long, and are real numbers."""
+    value = F.col(f"`{name}`")
     none = F.lit(0).cast("long")
     return F.struct(
         F.count(value).alias("held"),
         (none if is_text else F.count_if(value.rlike(_WHOLE))).alias("whole"),
-        (none if is_text else F.count_if(value.rlike(_REAL))).alias("real")).alias(name)
+        (none if is_text else F.count(F.trim(value).try_cast("long"))).alias("fits"),
+        (none if is_text else F.count_if(value.rlike(_REAL))).alias("real"))
 
 
 def land(spark: SparkSession, source: str, target: str, order: list[str] | None = None,
-         multi_line: bool = True, max_records_per_file: int = 5_000_000) -> LandingCount:
+         multi_line: bool = True, max_records_per_file: int = 5_000_000,
+         na_tokens: list[str] | None = NA_TOKENS, schema: StructType | None = None) -> LandingCount:
     """Replace the collection at `target` by the content of a CSV file; returns both row counts.
 
+    With a schema its columns are cast to its types (values that do not fit become null) and nothing is
+    inferred; other columns are left out.
+
     The text is first copied to splittable Parquet, as a compressed CSV gives one task per file; types
     are then inferred and written from that copy. Rows of a file are sorted by the lookup columns, so
     that row-group statistics can skip on them.
     """
     started = time.perf_counter()
-    raw = read_csv(spark, source, multi_line)
+    raw = read_csv(spark, source, multi_line, na_tokens)
     seen = Observation()
     with Stage(spark) as stage:
         # The count sits in the writing stage itself, where each row is counted exactly once.
         copy = stage.put(raw.observe(seen, F.count(F.lit(1)).alias("rows")), "text")
-        typed = normalise_nan(infer_types(copy))
+        typed = normalise_nan(infer_types(copy) if schema is None else copy.select(*[
+            F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name)
+            if not isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in schema.fields]))
         keys = [c for c in order or [] if c in typed.columns]
         laid_out = typed.sortWithinPartitions(*keys) if keys else typed
         (laid_out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
@@ -88,8 +97,21 @@ def land(spark: SparkSession, source: str, target: str, order: list[str] | None
     return LandingCount(source, seen.get["rows"], stored, time.perf_counter() - started)
 
 
-def land_all(spark: SparkSession, sources: dict[str, str], root: str) -> list[LandingCount]:
-    """Land every named source under root; a missing file stops the landing."""
-    return [land(spark, path, f"{root.rstrip('/')}/{name}", LANDING_ORDER.get(name),
-                 multi_line=name != "calendar")
-            for name, path in sources.items()]
+class LandingError(RuntimeError):
+    """Rows of a file that are missing in the collection landed from it, or the other way round."""
+
+
+def land_all(spark: SparkSession, sources: dict[str, str], root: str,
+             single_line: tuple[str, ...] = (), na_tokens: list[str] | None = NA_TOKENS,
+             schemas: dict[str, StructType] | None = None) -> list[LandingCount]:
+    """Land every named source under root; a missing file or differing row counts stop the landing.
+
+    single_line: the sources whose values hold no line breaks."""
+    counts = []
+    for name, path in sources.items():
+        counts.append(land(spark, path, f"{root.rstrip('/')}/{name}", LANDING_ORDER.get(name),
+                           multi_line=name not in single_line, na_tokens=na_tokens,
+                           schema=(schemas or {}).get(name)))
+        if not counts[-1].ok:
+            raise LandingError(f"{name}: {counts[-1]}")
+    return counts

@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posada.fixed_values import LOG_FRAGMENTS, LOG_PATH_PATTERN, RUN_START
+from posada.fixed_values import LOG_FRAGMENTS, RUN_START
 from posada.functions.text import holds
 
+# A path with a drive is shortened to its last folder and the file.
+_DRIVE_PATH = r"[A-Za-z]:\\(?:[^\\|]+\\)*([^\\|]+\\[^\\|]+)"
 _LINE = r"^(.*?) \| (.*?) \| (.*?) \| (.*)$"
 
 
@@ -33,7 +35,7 @@ def log_excerpt(lines: DataFrame, max_lines: int = 48) -> DataFrame:
     in_run = lines.where(F.coalesce(F.col("pos") >= last_start, F.lit(True)))
     telling = F.col("value").rlike("|".join(LOG_FRAGMENTS))
     chosen = in_run.where(telling).select(
-        "pos", F.regexp_replace("value", LOG_PATH_PATTERN, "$1").alias("value"))
+        "pos", F.regexp_replace("value", _DRIVE_PATH, "$1").alias("value"))
     head = chosen.orderBy("pos").limit(max_lines - 1)
     tail = chosen.orderBy(F.desc("pos")).limit(1)
     return head.union(tail).distinct().orderBy("pos")

@@ -85,7 +85,8 @@ def test_first_number(column_of):
 @pytest.mark.parametrize("value, want", [
     ("2026-06-22", "2026-06-22"), ("2010/10/06", "2010-10-06"), ("no es fecha", None), (None, None),
     ("2026-7-1", "2026-07-01"), ("20260622", "2026-06-22"), ("2026-07-01T10:00:00", "2026-07-01"),
-    ("2026-07-01 10:00", "2026-07-01"), ("03/04/2026", "2026-03-04"), ("25/12/2026", "2026-12-25"),
+    ("2026-07-01 10:00", "2026-07-01"), ("2026-06-22 10:00 PM", "2026-06-22"), ("03/04/99", "1999-03-04"),
+    ("03/04/68", "2068-03-04"), ("03/04/2026", "2026-03-04"), ("25/12/2026", "2026-12-25"),
     ("3/4/26", "2026-03-04"), ("2026", "2026-01-01"), ("2026-07", "2026-07-01"),
     ("Jan 5, 2026", "2026-01-05"), ("5 January 2026", "2026-01-05"), (" 2026-07-01 ", "2026-07-01"),
     ("2026-02-30", None), ("2026/13/01", None), ("", None), ("2026-07-01 foo", None),

@@ -2,9 +2,10 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from posada.audit import Audit
-from posada.sinks.tables import (export_capped, publish, truncate_texts, truncation_counts, verify,
+from posada.sinks.tables import (export_extracts, publish, truncate_texts, truncation_counts, verify,
                                  write_json, write_tables)
 from posada.sources.landing import infer_types, land, land_all, read_csv
 from posada.sources.runlog import log_excerpt, parse_log, read_log
@@ -41,6 +42,26 @@ def test_mixed_column_is_text(spark):
     assert infer_types(df).dtypes == [("a", "string"), ("b", "double")]
 
 
+def test_long_numbers_survive(spark, tmp_path):
+    digits = {18: "bigint", 19: "bigint", 20: "string"}
+    lines = [",".join(f"c.{n}" for n in digits)]
+    lines += [",".join("1" * (n - 1) + str(i) for n in digits) for i in range(4)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    assert land(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed")).ok
+    df = spark.read.parquet(str(tmp_path / "landed"))
+    assert df.dtypes == [(f"c.{n}", t) for n, t in digits.items()]
+    for n in digits:
+        assert {str(r[0]) for r in df.select(f"`c.{n}`").collect()} == {"1" * (n - 1) + str(i) for i in range(4)}
+
+
+def test_schema_and_line_breaks(spark, tmp_path):
+    (tmp_path / "calendar.csv").write_text('id,note\n1,"a\nb"\nx,c\n', encoding="utf-8")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    counts = land_all(spark, {"calendar": str(tmp_path / "calendar.csv")}, str(tmp_path / "out"), schemas={"calendar": schema})
+    assert counts[0].file_rows == 2
+    assert {r["id"] for r in spark.read.parquet(str(tmp_path / "out" / "calendar")).collect()} == {1, None}
+
+
 def test_missing_source(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         land_all(spark, {"listings": str(tmp_path / "none.csv.gz")}, str(tmp_path / "out"))
@@ -127,28 +148,34 @@ def test_publish_twice_gives_the_same_tables(spark, tables, tmp_path):
                                         ("reviews", 2, 2, None, True)]
 
 
-def test_export_skips_large_tables_and_truncates(spark, tables, tmp_path):
+def test_extracts_are_whole(spark, tables, tmp_path):
+    groups = {"a": ["listings", "reviews", "absent"], "b": ["calendar"], "c": ["none"]}
+    exported = export_extracts(tables, str(tmp_path / "x"), groups, max_rows=2)
+    assert set(exported) == set(tables) and not (tmp_path / "x" / "c").exists()
+    assert len(list((tmp_path / "x" / "b" / "calendar").glob("part-*.csv"))) >= 3
+    for name, path in exported.items():
+        back = spark.read.schema(tables[name].schema).csv(path, header=True, multiLine=True, escape='"')
+        assert sorted(map(str, back.collect())) == sorted(map(str, tables[name].collect()))
+
+
+def test_extracts_can_be_shortened(spark, tables, tmp_path):
     audit = Audit()
-    groups = {"a": ["listings", "reviews", "absent"], "b": ["calendar"]}
-    exported = export_capped(tables, str(tmp_path / "x"), groups, max_rows=4, audit=audit)
-    assert set(exported) == {"listings", "reviews"} and not (tmp_path / "x" / "b").exists()
+    exported = export_extracts(tables, str(tmp_path / "x"), {"a": ["reviews"]}, max_chars=32_767, audit=audit)
     back = spark.read.csv(exported["reviews"], header=True, multiLine=True, escape='"')
     assert back.where("id = 11").select(F.length("comments")).first()[0] == 32_767
-    assert back.where("id = 10").first()["comments"] == 'bueno\n"sí"'
-    found = {(t, r): n for t, r, n in audit.findings}
-    assert found["reviews", "textos recortados en comments"] == 1 and len(found) == 2
+    assert [n for _, _, n in audit.findings] == [1]
 
 
 def test_truncation(spark, tables):
-    assert rows_of(truncation_counts(tables["reviews"])) == [("comments", 1)]
-    assert truncation_counts(tables["listings"]).count() == 0
+    assert rows_of(truncation_counts(tables["reviews"], 32_767)) == [("comments", 1)]
+    assert truncation_counts(tables["listings"], 32_767).count() == 0
     assert truncate_texts(tables["reviews"], 3).where("id = 10").first()["comments"] == "bue"
 
 
 def test_verification_sees_differences(spark, tables, tmp_path):
     root = str(tmp_path / "t")
     rows = write_tables(tables, root)
-    exported = export_capped(tables, str(tmp_path / "x"))
+    exported = export_extracts(tables, str(tmp_path / "x"))
     assert all(r["ok"] and r["exportado"] == r["esperado"] for r in
                verify(spark, rows, root, exported).collect())
     wrong = verify(spark, {**rows, "listings": 6, "ausente": 1}, root).collect()
@@ -179,9 +206,10 @@ def test_stage_uses_the_folder_of_the_session(spark):
         assert kept.count() == 10
 
 
-def test_a_cluster_session_must_name_its_folder():
+@pytest.mark.parametrize("master", ["spark://somewhere", "local[4]"])
+def test_a_session_must_name_its_folder(master):
     conf = SimpleNamespace(get=lambda *_: None)
-    context = SimpleNamespace(master="spark://somewhere", getConf=lambda: conf)
+    context = SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError):
         staging_folder(SimpleNamespace(conf=conf, sparkContext=context))
 
@@ -193,24 +221,19 @@ def _lines(spark, texts):
 
 
 def test_excerpt_uses_the_last_run(spark):
-    got = rows_of(log_excerpt(_lines(spark, [
-        "2026-10-03 08:56:30 | INFO | etl.carga | SQLite: tabla 'listings' cargada con 3 registros",
-        "2026-10-03 08:56:48 | INFO | etl.main | INICIO DEL PROCESO ETL",
-        "2026-10-03 08:56:49 | INFO | etl.carga | SQLite: tabla 'listings' cargada con 19187 registros",
-        "2026-10-03 08:56:50 | INFO | etl.carga | nada",
-        r"2026-10-03 08:56:51 | WARNING | etl | C:\dir\x\logs\log_20261003_0856.txt",
-        "2026-10-03 09:04:36 | INFO | etl.main | FIN DEL PROCESO ETL en 467.2 s."])), "pos")
-    assert [pos for pos, _ in got] == [1, 2, 4, 5]
-    assert got[2][1].endswith(r"| etl | logs\log_20261003_0856.txt")
+    start, end = "t | INFO | m | INICIO DEL PROCESO ETL", "t | INFO | m | FIN DEL PROCESO ETL"
+    old, new = "t | ERROR | a | falla vieja", "t | ERROR | a | falla nueva"
+    plain, path = "t | INFO | a | sin novedad", r"t | WARNING | a | D:\uno\dos\salida\nota.txt"
+    got = rows_of(log_excerpt(_lines(spark, [start, old, end, start, plain, new, path, end])), "pos")
+    assert [pos for pos, _ in got] == [3, 5, 6, 7]
+    assert got[2][1] == r"t | WARNING | a | salida\nota.txt"
 
 
 def test_excerpt_keeps_the_last_line(spark):
-    texts = ["x | INFO | m | INICIO DEL PROCESO ETL"]
-    texts += [f"x | WARNING | t | advertencia {i}" for i in range(100)]
-    texts += ["x | INFO | m | FIN DEL PROCESO ETL"]
-    got = rows_of(log_excerpt(_lines(spark, texts), max_lines=20), "pos")
-    assert len(got) == 20 and got[-1][0] == 101 and [p for p, _ in got[:-1]] == list(range(19))
-    assert log_excerpt(_lines(spark, ["x | ERROR | a | b"])).count() == 1
+    lines = [f"t | ERROR | a | {'x' * (i % 7)}" for i in range(61)]
+    got = rows_of(log_excerpt(_lines(spark, lines), max_lines=10), "pos")
+    assert [p for p, _ in got] == [*range(9), 60]
+    assert log_excerpt(_lines(spark, ["t | INFO | a | nada"])).count() == 0
 
 
 def test_parse_log_file(spark, tmp_path):

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
+from workload.session import set_folder
 from workload.views import _TABLES
 
 
@@ -60,6 +61,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g").getOrCreate())
+    set_folder(spark)
     spark.sparkContext.setLogLevel("ERROR")
     con = database(sf_dir)
     bad = 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posada.audit import Audit, step_report, verification_report
-from posada.fixed_values import AVAILABILITY_EDGES, HOST_PREFIXES
+from posada.fixed_values import AVAILABILITY_EDGES, HOST_PREFIXES, SHEET_MAX_CHARS
 from posada.functions import dates, documents, flags, numbers, text
 from posada.operators import frequencies as freq
 from posada.operators import nested
@@ -25,7 +25,7 @@ from posada.operators.summaries import (describe_numeric, describe_text, group_m
                                         percentile_list, price_metrics)
 from posada.plans import calendar, listings, profile, reviews
 from posada.plans.run import all_tables
-from posada.sinks.tables import export_capped, publish, truncate_texts, truncation_counts
+from posada.sinks.tables import export_extracts, publish, truncate_texts, truncation_counts
 from posada.sources.landing import land
 from posada.sources.runlog import log_excerpt, parse_log
 from posada.sources.store import Store, scan, union_batches
@@ -204,12 +204,12 @@ def comment_length(spark, sf_dir):
 
 @query
 def text_truncate(spark, sf_dir):
-    return truncate_texts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return truncate_texts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), SHEET_MAX_CHARS)
 
 
 @query
 def text_truncate_counts(spark, sf_dir):
-    return truncation_counts(table(spark, sf_dir, "documents"))
+    return truncation_counts(table(spark, sf_dir, "documents"), SHEET_MAX_CHARS)
 
 
 @query
@@ -630,7 +630,7 @@ def load_verify(spark, sf_dir):
     tables = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation")}
     groups = {n: [n] for n in tables}
     report = publish(spark, tables, stage.path("tables"))
-    exported = export_capped(tables, stage.path("extracts"), groups)
+    exported = export_extracts(tables, stage.path("extracts"), groups)
     extracted = spark.createDataFrame([(n,) for n in exported], "tabla string")
     return report.drop("exportado").join(
         F.broadcast(extracted.withColumn("en_extracto", F.lit(True))), "tabla", "left").withColumn(
@@ -638,13 +638,24 @@ def load_verify(spark, sf_dir):
 
 
 @query
-def export_capped_(spark, sf_dir):
+def export_extracts_(spark, sf_dir):
     stage = Stage(spark)
-    names = ["nation", "region", "lineitem"]
-    tables = {n: table(spark, sf_dir, n) for n in names}
-    exported = export_capped(tables, stage.path("extracts"), {"todo": names}, max_rows=1000)
-    rows = [(n, spark.read.csv(p, header=True).count()) for n, p in exported.items()]
-    return spark.createDataFrame(rows, "tabla string, filas long")
+    lines = table(spark, sf_dir, "lineitem") \
+        .withColumn("l_shipdate", F.col("l_shipdate").cast("date").cast("string"))
+    exported = export_extracts({"lineitem": lines}, stage.path("extracts"), {"todo": ["lineitem"]}, max_rows=1000)
+    return spark.read.schema(lines.schema).csv(exported["lineitem"], header=True, escape='"')
+
+
+@query
+def land_large_ids(spark, sf_dir):
+    """Keys of 19 digits that differ in their last digits only, from a compressed file."""
+    stage = Stage(spark)
+    source = stage.path("orders_csv")
+    table(spark, sf_dir, "orders").withColumn("o_orderkey", F.lit(1012345678900000000) + F.col("o_orderkey")) \
+        .withColumn("o_orderdate", F.col("o_orderdate").cast("date")) \
+        .write.csv(source, header=True, escape='"', compression="gzip")
+    land(spark, source, stage.path("landed"), ["o_orderkey"])
+    return spark.read.parquet(stage.path("landed"))
 
 
 @query
