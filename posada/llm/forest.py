@@ -21,7 +21,7 @@ from posada.llm.vectors import usable
 SHARD = 2_000
 BLOCK = 2_000
 TREES = 16
-SHARE = 0.6
+SHARE = 0.75
 _DEPTH = 64
 
 
