@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from posada.operators.quantiles import bucket_of
+from posada.operators.quantiles import CELLS, held_per_cell, running_start, with_cells
 
 _SALTS = 64
 _FREQUENT_SHARE = 1000
@@ -41,23 +41,24 @@ def spearman_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 def _average_ranks(joint: DataFrame, side: str) -> DataFrame:
     """pair, side, rank (centred), frequent.
 
-    Ranks are running totals over distinct values: totals per ordered bucket first, then inside each
-    bucket, so no window spans a whole column.
+    Ranks are running totals over distinct values, taken per cell of the value, so no window
+    spans a whole column and none depends on how close the values of a column lie.
     """
-    sizes = (joint.groupBy("pair", side).agg(F.sum("n").alias("held"))
-             .withColumn("bucket", bucket_of(F.col(side))))
-    running = W.partitionBy("pair").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = (sizes.groupBy("pair", "bucket").agg(F.sum("held").alias("inside"))
-              .withColumn("before", F.sum("inside").over(running) - F.col("inside"))
-              .withColumn("total", F.sum("inside").over(W.partitionBy("pair")))
-              .drop("inside"))
-    local = (W.partitionBy("pair", "bucket").orderBy(side)
-             .rowsBetween(W.unboundedPreceding, W.currentRow))
-    last = F.col("before") + F.sum("held").over(local)
-    average = last - (F.col("held") - 1) / 2
-    return sizes.join(totals, ["pair", "bucket"]).select(
+    sizes = with_cells(joint.groupBy("pair", side).agg(F.sum("n").alias("size")), side)
+    cells = held_per_cell(sizes, ["pair"])
+    coarse = cells.groupBy("pair", CELLS[0]).agg(F.sum("held").alias("held"))
+    placed = (running_start(coarse, ["pair"], CELLS[0])
+              .withColumn("total", F.sum("held").over(W.partitionBy("pair")))
+              .select("pair", CELLS[0], "total", F.col("start").alias("before")))
+    inside = ["pair", CELLS[0]]
+    placed = (running_start(cells.join(placed, inside), inside, CELLS[1], offset="before")
+              .select("pair", *CELLS, "total", F.col("start").alias("before")))
+    inside = ["pair", *CELLS]
+    ranked = running_start(sizes.join(placed, inside), inside, side, "size", "before")
+    average = F.col("start") + (F.col("size") + 1) / 2
+    return ranked.select(
         "pair", side, (average - (F.col("total") + 1) / 2).alias(f"d{side}"),
-        (F.col("held") * _FREQUENT_SHARE > F.col("total")).alias("frequent"))
+        (F.col("size") * _FREQUENT_SHARE > F.col("total")).alias("frequent"))
 
 
 def _attach_rank(joint: DataFrame, ranks: DataFrame, side: str) -> DataFrame:

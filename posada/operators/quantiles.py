@@ -1,11 +1,15 @@
 """Exact quantiles (linear interpolation) that never hold one group's values in one place.
 
-The built-in exact percentile keeps a value -> count map per group in a single task. Here the values
-are first counted in ordered buckets, which is a small aggregate; running totals over the buckets tell
-which ones hold the wanted ranks, and only the values of those are ranked one by one.
-
-The bucket is a fixed, non-decreasing function of the value (about 0.1 % wide in relative terms), so
-no sampling is involved and every evaluation of the plan agrees with every other.
+The built-in exact percentile keeps a value -> count map per group in a single task. Here every value
+belongs to a coarse and a fine cell, and rows are counted per cell: running totals over the coarse cells
+tell which ones hold the wanted ranks, those are looked at in fine cells, and only the values of the fine
+cells found are ranked one by one.
+
+Cells are fixed, non-decreasing functions of the value, so no sampling is involved and every evaluation
+of the plan agrees with every other. A coarse cell is about 0.1 % wide in relative terms, at any
+magnitude, and is split into FINE_CELLS. A window over fine cells has that many rows at most. One over the
+values of a fine cell has one row per different double in a range of 2 to the power of -26 in relative
+terms: a few where values spread over the coarse cell, and never more than 2^27, whatever the number of rows.
 """
 
 from functools import reduce
@@ -14,11 +18,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_BUCKETS_PER_E_FOLD = 1024
+CELLS = ["coarse", "fine"]
+FINE_CELLS = 1 << 16
+
+_PER_E_FOLD = 1024
+_LOWEST_LOG = 746       # above minus the logarithm of the smallest positive double
+
+
+def with_cells(df: DataFrame, value: str) -> DataFrame:
+    """Add the cells of a value that is neither null nor NaN."""
+    size, sign = F.abs(value), F.signum(value)
+    step = F.floor(F.coalesce((F.log(size) + _LOWEST_LOG) * _PER_E_FOLD, F.lit(0.0)))
+    # Position inside the coarse cell, from its lower edge; slightly less than 1 at the upper one.
+    edge = F.exp(step / _PER_E_FOLD - _LOWEST_LOG)
+    share = (F.coalesce(F.try_divide(size, edge), F.lit(1.0)) - 1) * (_PER_E_FOLD - 1)
+    fine = F.least(F.greatest(F.floor(share * FINE_CELLS), F.lit(0)), F.lit(FINE_CELLS - 1))
+    return df.withColumns({CELLS[0]: (sign * step).cast("long"), CELLS[1]: (sign * fine).cast("long")})
+
+
+def held_per_cell(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per fine cell, from a table with cells and the column `size`."""
+    return counted.groupBy(*keys, *CELLS).agg(F.sum("size").alias("held"))
 
 
-def bucket_of(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BUCKETS_PER_E_FOLD).cast("long")
+def running_start(rows: DataFrame, inside: list[str], order: str, held: str = "held",
+                  offset: str | None = None) -> DataFrame:
+    """Add `start`: the rows before this one inside its partition, after those in `offset`."""
+    so_far = (W.partitionBy(*inside).orderBy(order)
+              .rowsBetween(W.unboundedPreceding, W.currentRow))
+    start = F.sum(held).over(so_far) - F.col(held)
+    return rows.withColumn("start", start + F.col(offset) if offset else start)
 
 
 def long_values(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
@@ -40,37 +69,28 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     keys = [*by, "columna"]
     values = long_values(df, columns, by)
     if by:
-        # Counting equal values first makes the largest group as small as its distinct values, and
-        # the bucket in the join key below spreads those over tasks.
-        values = values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("size"))
-        weight = F.sum("size")
+        # Counting equal values first makes the largest group as small as its distinct values.
+        counted = with_cells(values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("size")), "v")
+        cells = held_per_cell(counted, keys)
+        coarse = cells.groupBy(*keys, CELLS[0]).agg(F.sum("held").alias("held"))
+        wanted = _wanted(_first_level(coarse, keys), probs)
     else:
-        weight = F.count(F.lit(1))
-    # A bucket is never null. Saying so here, and not leaving it to the join below, gives both readers
-    # of the counted values the same plan, so that they share one shuffle.
-    values = values.withColumn("bucket", bucket_of(F.col("v"))).where("bucket IS NOT NULL")
-
-    totals = values.groupBy(*keys, "bucket").agg(weight.alias("held"))
-    in_order = W.partitionBy(*keys).orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = (totals
-              .withColumn("before", F.sum("held").over(in_order) - F.col("held"))
-              .withColumn("n", F.sum("held").over(W.partitionBy(*keys))))
-    spans = [_covers(rank, F.col("before"), F.col("held"))
-             for p in probs for rank in _neighbours(p)]
-    wanted = (placed.where(reduce(lambda a, b: a | b, spans)).drop("held"))
+        # At most two cells per probability and column are wanted, whatever the size of the data.
+        values = with_cells(values, "v")
+        coarse = values.groupBy(*keys, CELLS[0]).agg(F.count(F.lit(1)).alias("held"))
+        wanted = F.broadcast(_wanted(_first_level(coarse, keys), probs))
+        counted = (values.join(wanted, [*keys, CELLS[0]])
+                   .groupBy(*keys, *CELLS, "before", "n", "v").agg(F.count(F.lit(1)).alias("size")))
+        cells = held_per_cell(counted, [*keys, "before", "n"])
+    inside = [*keys, CELLS[0]]
+    finer = running_start(cells.join(wanted, inside) if by else cells, inside, CELLS[1], offset="before")
+    wanted = _wanted(finer.drop("before"), probs)
     if not by:
-        # At most two buckets per probability and column, whatever the size of the data.
-        wanted = F.broadcast(wanted)
+        wanted, counted = F.broadcast(wanted), counted.drop("before", "n")
 
-    ranked = values.join(wanted, [*keys, "bucket"])
-    if by:
-        ranked = ranked.withColumnRenamed("size", "held")
-    else:
-        ranked = ranked.groupBy(*keys, "bucket", "before", "n", "v").agg(weight.alias("held"))
-    in_bucket = (W.partitionBy(*keys, "bucket").orderBy("v")
-                 .rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = ranked.withColumn(
-        "start", F.col("before") + F.sum("held").over(in_bucket) - F.col("held"))
+    inside = [*keys, *CELLS]
+    ranked = running_start(counted.join(wanted, inside), inside, "v", "size", "before")
+    ranked = ranked.withColumnRenamed("size", "held")
     picks = []
     for i, p in enumerate(probs):
         for side, rank in zip(("lo", "hi"), _neighbours(p)):
@@ -92,6 +112,17 @@ def quantile_scalar(df: DataFrame, column: str, probs: list[float]) -> Column:
     return quantile_struct(df, [column], probs).scalar()
 
 
+def _first_level(coarse: DataFrame, keys: list[str]) -> DataFrame:
+    return running_start(coarse, keys, CELLS[0]).withColumn("n", F.sum("held").over(W.partitionBy(*keys)))
+
+
+def _wanted(placed: DataFrame, probs: list[float]) -> DataFrame:
+    """The cells that hold a rank asked for; `before` counts the rows ahead of the cell."""
+    spans = [_covers(rank, F.col("start"), F.col("held")) for p in probs for rank in _neighbours(p)]
+    return (placed.where(reduce(lambda a, b: a | b, spans)).drop("held")
+            .withColumnRenamed("start", "before"))
+
+
 def _position(p: float) -> Column:
     return (F.col("n") - 1) * F.lit(float(p))
 

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -17,7 +19,8 @@ from posada.operators.membership import matched_keys, orphan_keys, row_total
 from posada.operators.nested import add_amenity_count, amenity_pairs, flatten_quote
 from posada.operators.nulls import null_cells, null_counts, null_percentages, structure
 from posada.operators.outliers import box_stats, iqr_outlier
-from posada.operators.quantiles import exact_quantiles, quantile_struct
+from posada.operators.quantiles import (CELLS, FINE_CELLS, exact_quantiles, quantile_struct,
+                                        with_cells)
 from posada.operators.summaries import describe_numeric, describe_text
 
 
@@ -28,10 +31,13 @@ def rows_of(df, *order):
 # ------------------------------------------------------------------ duplicates
 
 def test_keep_first_by_key(spark):
-    df = spark.createDataFrame([(1, 1), (1, 1), (2, 3)], "id long, v long")
-    assert rows_of(keep_first(df, ["id"])) == [(1, 1), (2, 3)]
-    assert duplicate_count(df, ["id"]).first()[0] == 1
-    assert duplicate_count(df).first()[0] == 1
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"id": rng.integers(0, 40, 300), "v": rng.integers(0, 4, 300)})
+    df = spark.createDataFrame(pdf)
+    want = pdf.sort_values(["id", "v"]).drop_duplicates("id")
+    assert rows_of(keep_first(df, ["id"])) == list(want.itertuples(index=False, name=None))
+    assert duplicate_count(df, ["id"]).first()[0] == pdf.duplicated("id").sum()
+    assert duplicate_count(df).first()[0] == pdf.duplicated().sum()
 
 
 def test_keep_first_treats_null_keys_as_equal_and_nulls_as_last(spark):
@@ -75,6 +81,27 @@ def test_exact_quantiles_equal_numpy(spark, seed):
         assert row["q"] == pytest.approx(list(group.quantile(probs)), rel=1e-12, abs=1e-15)
 
 
+def test_no_window_holds_a_narrow_column(spark):
+    n = 2_000_000
+    df = spark.range(n).select((F.lit(-74.1) + F.col("id") * (0.05 / n)).alias("x"))
+    cells = with_cells(df, "x")
+    assert cells.groupBy(CELLS).count().agg(F.max("count")).first()[0] < 100
+    assert cells.groupBy(CELLS[0]).agg(F.count_distinct(CELLS[1]).alias("n")).agg(
+        F.max("n")).first()[0] <= FINE_CELLS
+    got = quantile_struct(df, ["x"], [0.25, 0.5, 0.75]).first()["x"]
+    assert got == pytest.approx([-74.0875, -74.075, -74.0625], abs=1e-7)
+
+
+def test_cells_keep_the_order_of_values(spark):
+    rng = np.random.default_rng(8)
+    near = 74.05 + rng.uniform(0, 0.1, 4000)
+    values = np.r_[near, -near, 10.0 ** rng.uniform(-320, 308, 4000), -10.0 ** rng.uniform(-9, 9, 999),
+                   0.0, 5e-324, -5e-324, np.inf, -np.inf, np.nextafter(74.1, 80), 74.1]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [tuple(r) for r in with_cells(df, "x").orderBy("x").select(*CELLS).collect()]
+    assert got == sorted(got)
+
+
 def test_quantiles_with_one_very_frequent_value_and_group(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(
         F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
@@ -109,11 +136,14 @@ def test_describe_text(spark):
 # ------------------------------------------------------------------ outliers, bins
 
 def test_iqr_outlier_is_strict_and_null_is_false(spark):
-    values = [10, 11, 12, 13, 12, 11, 1000, None]
-    df = spark.createDataFrame([(i, float(v) if v is not None else None)
-                                for i, v in enumerate(values)], "i int, x double")
+    # Quartiles 0 and 4 put the fences at -6 and 10, which some values meet exactly.
+    values = pd.Series([-6.0, 0, 0, 0, 2, 2, 4, 4, 4, 10.0, 10.5, -6.5, None])
+    low, high = values.quantile(0.25), values.quantile(0.75)
+    assert (low, high) == (0.0, 4.0)
+    df = normalise_nan(spark.createDataFrame(pd.DataFrame({"i": range(len(values)), "x": values})))
     got = [r[1] for r in rows_of(df.select("i", iqr_outlier(df, "x").alias("o")), "i")]
-    assert got == [False] * 6 + [True, False]
+    assert got == [bool(v < low - 6 or v > high + 6) for v in values]
+    assert sum(got) == 2
 
 
 def test_box_stats(spark):
@@ -243,11 +273,12 @@ def test_null_reports(spark):
 
 def test_split_hosts(spark):
     df = spark.createDataFrame(
-        [(2, 10, "Ana B", True, 2.0), (1, 10, "Ana", True, 1.0), (3, 20, "Luis", False, 3.0)],
+        [(77, 501, "Second name", False, 8.5), (42, 501, "First name", False, 6.0),
+         (90, 388, "Other", True, 7.25)],
         "id int, host_id int, host_name string, host_is_superhost boolean, price double")
     listings, hosts = split_hosts(df)
     assert listings.columns == ["id", "host_id", "price"]
-    assert rows_of(hosts) == [(10, "Ana", True), (20, "Luis", False)]
+    assert rows_of(hosts) == [(388, "Other", True), (501, "First name", False)]
 
 
 def test_host_concentration(spark):
@@ -258,10 +289,13 @@ def test_host_concentration(spark):
 
 
 def test_amenities(spark):
-    df = spark.createDataFrame([(1, '["Wifi", "Kitchen"]'), (2, '["Wifi"]'), (3, None),
-                                (4, '[" Wifi ","","Wifi"]')], "id long, amenities string")
-    assert rows_of(add_amenity_count(df)) == [(1, 2), (2, 1), (3, 0), (4, 2)]
-    want = [(1, "Kitchen"), (1, "Wifi"), (2, "Wifi"), (4, "Wifi")]
+    kinds = ["Sauna", "Desk", "Iron", "Bike rack"]
+    lists = {i: [kinds[k] for k in range(4) if i >> k & 1] for i in range(1, 16)}
+    cells = [(i, json.dumps(names)) for i, names in lists.items()]
+    df = spark.createDataFrame(cells + [(30, None), (31, '["  Desk", "", "Desk "]')],
+                               "id long, amenities string")
+    assert rows_of(add_amenity_count(df)) == [(i, len(n)) for i, n in lists.items()] + [(30, 0), (31, 2)]
+    want = sorted((i, name) for i, names in lists.items() for name in names) + [(31, "Desk")]
     assert rows_of(amenity_pairs(df)) == want == rows_of(amenity_pairs(df, unique_ids=True))
     unique = amenity_pairs(df, unique_ids=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in unique

@@ -40,8 +40,8 @@ def test_calendar_by_month_and_week(days_raw):
 
 def test_undated_days_stay_in_the_daily_table_only(spark):
     raw = spark.createDataFrame(
-        [(1, "2026-07-01", "t", 1), (1, "fecha-mala", "f", 1), (1, "2026-07-02", "f", 1),
-         (None, "2026-07-02", "t", 1)],
+        [(6, "2031-11-04", "f", 5), (6, "??", "t", 5), (6, "2031-11-06", "t", 5),
+         (None, "2031-11-05", "f", 5)],
         "listing_id long, date string, available string, minimum_nights long")
     tables = calendar.calendar_tables(calendar.clean_days(raw))
     assert tables["calendar"].count() == 4
@@ -85,18 +85,18 @@ def test_one_listing_with_most_days(spark):
 
 def test_reviews(spark):
     raw = spark.createDataFrame(
-        [(1, 10, "2024-01-05", 1, " Ana ", "Muy<br/>bueno"), (1, 11, "2024-02-01", 2, "B", None),
-         (2, 12, "2024-03-01", 3, "C", "ok"), (2, 12, "2024-03-01", 3, "C", "ok"),
-         (2, 13, "ayer", 3, "C", "<br/>")],
+        [(61, 900, "2019-08-30", 71, "\tNoor", "calm<br>street"), (61, 901, "2019-09-02", 72, "K", None),
+         (62, 902, "2020-12-11", 73, "V", "fine"), (62, 902, "2020-12-11", 73, "V", "fine"),
+         (62, 903, "later", 73, "V", "<br/>")],
         "listing_id long, id long, date string, reviewer_id long, reviewer_name string, comments string")
     table = reviews.review_table(raw)
     assert table.columns == ["listing_id", "id", "date", "reviewer_id", "reviewer_name", "comments",
                              "longitud_comentario", "anio", "mes", "dia", "trimestre", "nombre_mes",
                              "dia_semana"]
     got = {r["id"]: r for r in table.collect()}
-    assert set(got) == {10, 12, 13}
-    assert (got[10]["comments"], got[10]["reviewer_name"]) == ("Muy bueno", "Ana")
-    assert (got[13]["comments"], got[13]["longitud_comentario"], got[13]["date"]) == ("", 0, None)
+    assert set(got) == {900, 902, 903}
+    assert (got[900]["comments"], got[900]["reviewer_name"]) == ("calm street", "Noor")
+    assert (got[903]["comments"], got[903]["longitud_comentario"], got[903]["date"]) == ("", 0, None)
 
 
 LISTING_SCHEMA = """id long, host_id long, host_name string, host_is_superhost string,
@@ -105,11 +105,11 @@ bathrooms_text string, price string, minimum_nights long, availability_365 long,
 number_of_reviews long, reviews_per_month double, review_scores_rating double, description string,
 license double, neighbourhood_cleansed string, amenities string, last_scraped string,
 first_review string, has_availability string, picture_url string, vacia string"""
-FIRST = (1, 10, "A", "t", "Bogota, Colombia", "Entire home/apt", 2.0, 1.0, 1.0, "1 bath", "$100,000.00",
-         1, 300, 3, 0.5, 4.8, None, 123.0, " chapinero ", '["Wifi"]', "2026-06-22", "2020-01-01", "t",
-         "u", None)
-SECOND = (2, 20, "B", "f", None, "Entire home/apt", None, 2.0, None, "2 baths", None, 2, 0, 0, None,
-          None, "x", None, "Usaquen", "[]", "2026-06-22", None, None, "u", None)
+FIRST = (31, 505, "Noor", "f", "Bogota, Colombia", "Private room", 3.0, 4.0, 2.5, "2.5 baths", "$130,500.00",
+         9, 41, 17, 1.25, 3.9, None, 88.0, "\tla  macarena ", '["Desk"]', "2031-11-09", "2029-05-02", "f",
+         "p", None)
+SECOND = (32, 506, "Vera", "t", None, "Private room", None, 1.0, None, "4 baths", None, 3, 0, 0, None,
+          None, "long stay", None, "Suba", "[]", "2031-11-09", None, None, "p", None)
 
 
 @pytest.fixture
@@ -121,24 +121,25 @@ def test_listings(listings_raw):
     clean = listings.clean_listings(listings.unique_listings(listings_raw))
     tables = listings.listing_tables(clean)
     got = {r["id"]: r.asDict() for r in tables["listings"].collect()}
-    assert set(tables) == {"listings", "hosts", "listing_amenities"} and set(got) == {1, 2}
-    one, two = got[1], got[2]
-    assert one["price"] == 100000.0 and two["price"] is None
+    assert set(tables) == {"listings", "hosts", "listing_amenities"} and set(got) == {31, 32}
+    one, two = got[31], got[32]
+    assert one["price"] == 130500.0 and two["price"] is None
     assert one["categoria_precio"] == "Medio" and two["categoria_precio"] == "Sin precio"
-    assert two["bedrooms"] == 2.0 and two["bathrooms"] == 2.0 and two["reviews_per_month"] == 0.0
+    assert two["bedrooms"] == 3.0 and two["bathrooms"] == 4.0 and two["reviews_per_month"] == 0.0
     assert one["tiene_reviews"] is True and two["tiene_reviews"] is False
-    assert one["license"] == "123" and two["license"] == "Sin registro"
+    assert one["license"] == "88" and two["license"] == "Sin registro"
     assert one["description"] == "Sin información"
-    assert one["neighbourhood_cleansed"] == "Chapinero"
+    assert one["neighbourhood_cleansed"] == "La Macarena"
+    assert one["has_availability"] is False
     assert two["has_availability"] is False and two["sin_disponibilidad_anual"] is True
     assert two["review_scores_rating"] is None
     assert (one["cantidad_amenities"], two["cantidad_amenities"]) == (1, 0)
     assert "picture_url" not in one and "vacia" not in one and "host_name" not in one
     assert isinstance(one["minimum_nights"], int)
     hosts = {r["host_id"]: r for r in tables["hosts"].collect()}
-    assert hosts[10]["host_location"] == "Bogotá, Colombia"
-    assert hosts[20]["host_location"] == "Sin información"
-    assert rows_of(tables["listing_amenities"]) == [(1, "Wifi")]
+    assert hosts[505]["host_location"] == "Bogotá, Colombia"
+    assert hosts[506]["host_location"] == "Sin información"
+    assert rows_of(tables["listing_amenities"]) == [(31, "Desk")]
 
 
 def test_listings_with_the_required_columns_only(spark):
@@ -172,8 +173,8 @@ def test_step_audit_counts(spark, days_raw):
 def test_complete_run(spark, listings_raw, days_raw, tmp_path):
     """CSV -> landing -> seven tables -> verification and reports; a second run replaces the first."""
     review_rows = spark.createDataFrame(
-        [(1, 10, "2024-01-05", 1, "Ana", "Muy<br/>bueno\nlugar, \"sí\""), (9, 11, "2024-02-01", 2, "B", "x"),
-         (2, 12, "2024-02-01", 2, "B", None)],
+        [(31, 10, "2024-01-05", 1, "Ana", "Muy<br/>bueno\nlugar, \"sí\""), (9, 11, "2024-02-01", 2, "B", "x"),
+         (32, 12, "2024-02-01", 2, "B", None)],
         "listing_id long, id long, date string, reviewer_id long, reviewer_name string, comments string")
     sources = {}
     for name, df in (("listings", listings_raw), ("reviews", review_rows), ("calendar", days_raw)):
@@ -218,9 +219,9 @@ def test_profile(spark, listings_raw, days_raw, tmp_path):
     values = {name: [tuple(r) for r in df.collect()] for name, df in metrics.items()}
     assert values["listings_forma"] == [("listings", 3, 25)]
     assert values["listings_id_duplicados"] == [(1,)] and values["reviews_id_duplicados"] == [(0,)]
-    assert values["precio"][0][0] == 100000.0 and values["precio"][0][-1] == 2
+    assert values["precio"][0][0] == 130500.0 and values["precio"][0][-1] == 2
     assert values["hosts"][0][:2] == (2, 1)
-    assert values["amenities_top"] == [("Wifi", 1, pytest.approx(100 / 3))]
+    assert values["amenities_top"] == [("Desk", 1, pytest.approx(100 / 3))]
     assert values["reviews_por_anio"] == [(2019, 1), (2020, 1)]
     assert values["comentario_ejemplo"] == [("Muy<br/>bueno",)]
     assert values["disponibilidad_global"] == [(pytest.approx(400 / 6),)]

@@ -320,6 +320,11 @@ oracle("quantiles_by_group", "\nUNION ALL ".join(
     f"SELECT l_returnflag, '{c}' AS columna, count({c}) AS n, " + ", ".join(
         f"round(quantile_cont({c}, {p / 100}), 4) AS p{p}" for p in (10, 50, 90))
     + " FROM lineitem GROUP BY 1" for c in ("l_extendedprice", "l_quantity")), views="")
+oracle("quantiles_narrow_range", "\nUNION ALL ".join(
+    f"SELECT {flag} AS l_returnflag, count(*) AS n, " + ", ".join(
+        f"round(quantile_cont(l_extendedprice::DOUBLE / 2e6 - 74.1, {p / 100}), 6) AS p{p}"
+        for p in (10, 50, 90)) + f" FROM lineitem {group}"
+    for flag, group in (("'all'", ""), ("l_returnflag", "GROUP BY 1"))), views="")
 oracle("value_counts", "SELECT room_type, count(*) AS n FROM L WHERE room_type IS NOT NULL GROUP BY 1")
 oracle("value_shares", "SELECT available, round(count(*) / (SELECT count(available) FROM C)::DOUBLE, "
        "6) AS proporcion FROM C GROUP BY 1", views="C")

@@ -462,6 +462,18 @@ def quantiles_by_group(spark, sf_dir):
                          for i, p in enumerate((10, 50, 90))])
 
 
+@query
+def quantiles_narrow_range(spark, sf_dir):
+    """A column whose values all lie close together, whole and by group."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_extendedprice").cast("double") / 2e6 - 74.1).alias("x"))
+    found = [exact_quantiles(rows, ["x"], [0.1, 0.5, 0.9]).withColumn("l_returnflag", F.lit("all")),
+             exact_quantiles(rows, ["x"], [0.1, 0.5, 0.9], ["l_returnflag"])]
+    return found[0].unionByName(found[1]).select(
+        "l_returnflag", "n", *[F.round(F.col("q")[i], 6).alias(f"p{p}")
+                               for i, p in enumerate((10, 50, 90))])
+
+
 @query
 def value_counts(spark, sf_dir):
     return freq.value_counts(view(spark, sf_dir, "L"), "room_type")
