@@ -108,6 +108,22 @@ def test_plan_holds_every_piece_and_is_tight(seed):
     assert sum(t for _, t in planned) <= 1.01 * -(-(counts * np.arange(201)).sum() // 200) + 1
 
 
+def test_plan_beats_plain_filling_on_hot_lengths():
+    """Plain filling pairs 2089 with 1106 and needs 110,000 sequences; 2089 + 1065 + 942 and 2 x 1106 + 2 x 942 are full."""
+    draw = np.random.default_rng(7)
+    counts = np.bincount(np.clip(draw.lognormal(4, .6, 1000).astype(int), 1, 4096), minlength=4097)
+    counts[[2089, 1106, 1065, 942]] += [60_000, 60_000, 60_000, 120_000]
+    columns, left = packing.covering_plan(counts, 4096, packing.STEPS)
+    assert left.sum() <= 0.01 * counts.sum()                      # plain filling gets the remainder of the rounding only
+    planned, held = packing.plan(counts, 4096), np.zeros(4097, np.int64)
+    for column, times in planned:
+        assert sum(k * n for k, n in column.items()) <= 4096 and times > 0
+        for k, n in column.items():
+            held[k] += n * times
+    assert (held == counts).all()
+    assert sum(t for _, t in planned) <= 1.001 * -(-(counts * np.arange(4097)).sum() // 4096) + 1
+
+
 def test_packing_on_spark(spark, awkward):
     library = Tokenizer.from_file(WORD_JSON)
     draw = random.Random(5)
