@@ -3,8 +3,9 @@
 Texts are reduced to their words: A-Z lower-cased, words are runs of digits, a-z and everything from U+0080 on, put
 back together with one blank between them. A notice that occurs with at most k errors contains at least one of its
 k + 1 pieces unchanged (pigeonhole). So every occurrence of a piece marks a window, overlapping windows are joined,
-and the regex library looks in each window for the notice with at most k insertions, deletions or substitutions.
-What has no errors and stands on word borders is a base place; the rest are near matches. k is 0 for notices
+and the regex library holds every run of whole words in a window, if its length allows, against the notice with at most
+k insertions, deletions or substitutions. What has no errors is a base place; the rest are near matches. Of those that
+overlap the one with the fewest errors counts, then the first, then the longest. k is 0 for notices
 shorter than 8 characters, 1 up to 16, and 2 beyond (parameter `errors`). Windows are as long as their seeds need: no cap.
 
 Row-wise, no shuffle. Null and empty texts have no words, no labels and score 0.
@@ -12,6 +13,7 @@ The score is the best 1 - errors / length over all matches of a text, 0 without
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import pyarrow as pa
@@ -39,9 +41,7 @@ class Notice:
         self.phrase, self.label, self.errors = phrase, label, errors
         edges = [round(i * len(phrase) / (errors + 1)) for i in range(errors + 2)]
         self.pieces = [(phrase[a:b], a) for a, b in zip(edges, edges[1:])]
-        self.near = regex.compile(rf"(?:{regex.escape(phrase)}){{e<={errors}}}", regex.BESTMATCH)
-        # a near match begins and ends with whole words, so that parts of longer words do not count
-        self.edge = " "
+        self.near = [regex.compile(rf"(?:{regex.escape(phrase)}){{e<={n}}}") for n in range(1, errors + 1)]
 
     def windows(self, text: str) -> list[tuple[int, int]]:
         """Where the phrase can lie, from the exact pieces; joined where they overlap."""
@@ -60,28 +60,35 @@ class Notice:
                 out.append([a, b])
         return out
 
+    def near_runs(self, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
+        """(errors, start, end) of all runs of whole words between two places that have 1 to k errors."""
+        starts = [i for i in range(max(a, 1), b) if text[i - 1] == " " and text[i] != " "]
+        ends = [i for i in range(a + 1, min(b, len(text) - 1) + 1) if text[i] == " " and text[i - 1] != " "]
+        least, most, out = len(self.phrase) - self.errors, len(self.phrase) + self.errors, []
+        for start in starts:
+            for end in ends[bisect_left(ends, start + least):bisect_right(ends, start + most)]:
+                if text[start:end] != self.phrase:
+                    n = next((n for n, pattern in enumerate(self.near, 1) if pattern.fullmatch(text, start, end)), 0)
+                    if n:
+                        out.append((n, start, end))
+        return out
+
     def matches(self, text: str) -> list[tuple[int, int, int]]:
         """(start, end, errors) in a text that has a blank at either end: base places, and near matches on word borders
         that no base place overlaps."""
-        found = []
+        found, near = [], []
         for a, b in self.windows(text):
-            at, exact = text.find(self.phrase, a, b), []
+            at = text.find(self.phrase, a, b)
             while at >= 0:
                 end = at + len(self.phrase)
                 if text[at - 1] == " " and text[end] == " ":
-                    exact.append((at, end, 0))
+                    found.append((at, end, 0))
                 at = text.find(self.phrase, at + 1, b)
-            found += exact
             if self.errors:
-                for m in self.near.finditer(text, a, b, overlapped=False):
-                    start, end, n = m.start(), m.end(), sum(m.fuzzy_counts)
-                    while start < end and text[start] == " ":
-                        start += 1
-                    while end > start and text[end - 1] == " ":
-                        end -= 1
-                    if n and start < end and text[start - 1] == " " and text[end] == " " \
-                            and not any(x < end and start < y for x, y, _ in exact):
-                        found.append((start, end, n))
+                near += self.near_runs(text, a, b)
+        for n, start, end in sorted(near, key=lambda x: (x[0], x[1], -x[2])):
+            if not any(x < end and start < y for x, y, _ in found):
+                found.append((start, end, n))
         return found
 
 

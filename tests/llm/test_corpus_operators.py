@@ -175,6 +175,43 @@ def test_near_notices_and_awkward_rows(awkward):
     assert licenses.scan_licenses(awkward.limit(0)).count() == 0
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_places_equal_edit_distances_of_word_runs():
+    for text, label in (("MIT licensed", "mit"), ("mit licenses.", "mit"), ("Apache Licenses", "apache"), ("xmit license", "mit"),
+                        ("GNU general public licenses", "gpl"), ("the gnu general public licensed x", "gpl")):
+        assert licenses.scan_text(text)["labels"] == label, text
+    both = licenses.scan_text("mit licens mit license")
+    assert sorted(s[1:4] for s in both["spans"]) == [(0, 2, 1), (2, 2, 0)]
+    draw, letters = random.Random(12), "aegilnpstu "
+    for _ in range(500):
+        parts = []
+        for _ in range(draw.randint(1, 4)):
+            part = list(draw.choice([p for p, _ in licenses.PHRASES]))
+            for _ in range(draw.choice([0, 1, 1, 2, 3])):
+                at = draw.randrange(len(part))
+                part[at:at + draw.choice([0, 1])] = draw.choice(["", *letters])
+            parts.append("".join(part))
+        text = draw.choice([" ", " x "]).join(parts)
+        held, spans = text.split(), licenses.scan_text(text)["spans"]
+        for phrase, label in licenses.PHRASES:
+            k = licenses.errors_for(phrase)
+            runs = {(i, j - i): n for i in range(len(held)) for j in range(i + 1, min(len(held), i + 9) + 1)
+                    if (n := edits(" ".join(held[i:j]), phrase)) <= k}
+            wanted = []
+            for (i, size), n in sorted(runs.items(), key=lambda x: (x[1], x[0][0], -len(" ".join(held[x[0][0]:sum(x[0])])))):
+                if n == 0 or not any(i < a + b and a < i + size for a, b, _ in wanted):
+                    wanted.append((i, size, n))
+            assert sorted(s[1:4] for s in spans if s[0] == label) == sorted(wanted), text
+
+
 # --- toxicity -----------------------------------------------------------------------------------------------------
 
 def test_toxicity_learns_and_scores(spark, awkward):
