@@ -1,18 +1,21 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the UTF-8 bytes of a text: h = 2 h + gear[byte], so that its lower bits depend on the last bytes
-only. A chunk ends where `MASK_BITS` of those bits are 0; borders thus follow the content, and text that is
-inserted or removed shifts none but the borders near it. Stretches without a border are cut every `LONGEST` bytes.
-Borders move back to the begin of a UTF-8 character.
-
-A chunk is told apart by a digest of itself and of the `RUN` - 1 chunks behind it, as a few words alone recur by chance.
-The first occurrence of a digest, by smallest key and then place, stays. Others are repeats; repeats of
-adjacent chunks make a span, and spans of at least `LEAST` bytes are reported or cut out. Shorter repeats are ordinary
-phrases and stay, and so do texts of fewer than RUN chunks.
+A gear hash rolls over the UTF-8 bytes of a text: h = 2 h + gear[byte], so that it depends on the last 32 bytes only. A
+chunk ends where the hash is the smallest of some `REACH` places in a row; borders thus follow the content, and text that
+is inserted or removed shifts none but the borders near it. No two borders are further apart than REACH. Borders move back
+to the begin of a UTF-8 character.
+
+A border is told by a digest of the `WIDTH` bytes before it. Whatever two places share in REACH + WIDTH + 2 bytes or more
+holds a border with the same digest in both, so no repeat of `LEAST` bytes is missed. The first occurrence of a
+digest, by smallest key and then place, stays. Others are repeats; borders whose bytes touch and that lie as far from their first
+occurrence make a run, and each run is extended at both ends by comparing its bytes with those of the first occurrence. Runs
+that touch make a span, and spans of at least `LEAST` bytes are reported or cut out. Shorter repeats are ordinary phrases
+and stay.
 
 The rows of one digest are pre-aggregated before their shuffle, and the join back is one that Spark splits when skewed, so
-a passage that a third of all documents share does not meet in one task. Null and empty texts have no chunks and come
-back as they are, and so do rows without a key. Rows that share a key count as one document that stands first.
+a passage that a third of all documents share does not meet in one task. Its bytes are read once for all its copies.
+Null and empty texts have no chunks and come back as they are, and so do rows without a key. Rows that share a key count
+as one document that stands first.
 """
 
 from functools import lru_cache
@@ -23,12 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from posada.llm.common import MIX_3, mix, slices, stage, text_or_empty, utf8
+from posada.llm.common import mix, slices, stage, text_or_empty, utf8
 
-MASK_BITS = 5
-WINDOW_BITS = 16
-LONGEST = 1024
-RUN = 3
+WIDTH = 64
+REACH = 54
+EDGE = REACH + 8          # no run can be extended further
 LEAST = 120
 BATCH_BYTES = 4 << 20
 
@@ -39,59 +41,57 @@ def gear() -> np.ndarray:
     return (mix(np.arange(256, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
+def sliding(values: np.ndarray, size: int, least) -> np.ndarray:
+    """The least (or, by np.maximum, greatest) of each `size` values in a row."""
+    width = 1
+    while 2 * width <= size:
+        values, width = least(values[:-width], values[width:]), 2 * width
+    return least(values[:len(values) - size + width], values[size - width:]) if size > width else values
+
+
 def borders(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Byte offsets where chunks begin or end, for texts laid end to end; includes all ends."""
     n = len(data)
     if not n:
         return np.unique(ends)
-    h = gear()[data]
-    width = 1
-    while width < WINDOW_BITS:                     # the window doubles: h(i, 2w) = h(i, w) + 2^w h(i - w, w)
+    h, width = gear()[data], 1
+    while width < 32:                              # the window doubles: h(i, 2w) = h(i, w) + 2^w h(i - w, w)
         more = h.copy()
         more[width:] += h[:-width] << np.uint32(width)
         h, width = more, 2 * width
-    mask = np.uint32(((1 << MASK_BITS) - 1) << (WINDOW_BITS - MASK_BITS))
-    cuts = np.flatnonzero((h & mask) == 0) + 1
-    first = ends[np.searchsorted(ends, cuts, side="right") - 1]
-    cuts = cuts[(cuts - first >= WINDOW_BITS) & (cuts < n)]       # the window must lie within the text
-    cuts = np.union1d(cuts, ends)
-    gaps = np.diff(cuts)
-    long = np.flatnonzero(gaps > LONGEST)
-    if long.size:
-        more = [np.arange(cuts[i] + LONGEST, cuts[i + 1], LONGEST) for i in long]
-        cuts = np.union1d(cuts, np.concatenate(more))
+    place = np.arange(1, n + 1, dtype=np.int64)    # of equal hashes, in periodic text, one in about REACH counts
+    order = (h.astype(np.uint64) << np.uint64(31)) | (np.uint64((1 << 31) - 1) - (place & -place & ((1 << 30) - 1)).astype(np.uint64))
+    never = np.uint64((1 << 64) - 1)
+    for k in range(WIDTH - 1):                     # the digest must lie within the text
+        at = ends[:-1] + k
+        order[at[at < ends[1:]]] = never
+    pad = np.full(REACH - 1, never)
+    least = sliding(np.concatenate([pad, order, pad]), REACH, np.minimum)
+    cuts = np.flatnonzero((sliding(least, REACH, np.maximum) == order) & (order != never)) + 1 if n else ends
     for _ in range(3):                             # not inside a character
         inside = (cuts < n) & ((data[np.minimum(cuts, n - 1)] & 0xC0) == 0x80)
         if not inside.any():
             break
         cuts = cuts - inside
-    return np.unique(cuts)
+    return np.union1d(cuts, ends)
 
 
 def runs(data: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
-    """A row for each chunk that has RUN - 1 others behind it in its text: text, position, start, size of the run,
-    digest as two numbers, and whether the same run stands further ahead in the same text."""
-    cuts = borders(data, ends)
-    held, starts = data.tobytes(), cuts[:-1]
-    one = np.array([xxhash.xxh3_64_intdigest(held[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())], np.uint64)
-    n = max(0, len(one) - RUN + 1)
-    text = np.searchsorted(ends, starts, side="right") - 1
-    first = np.searchsorted(text, np.arange(len(ends) - 1))
-    d1, d2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(RUN):
-            d1, d2 = mix(d1 ^ one[k:n + k]), mix(d2 + (one[k:n + k] | np.uint64(1)) * MIX_3)
-    whole = np.flatnonzero(text[:n] == text[RUN - 1:])
-    order = whole[np.lexsort((whole, d1[whole], text[whole]))]
-    again = np.zeros(n, bool)
-    again[order[1:]] = (text[order[1:]] == text[order[:-1]]) & (d1[order[1:]] == d1[order[:-1]])
-    return {"text": text[whole], "position": (whole - first[text[whole]]).astype(np.int32),
-            "start": starts[whole] - ends[text[whole]], "size": (cuts[whole + RUN] - starts[whole]).astype(np.int32),
-            "d1": d1[whole].view(np.int64), "d2": d2[whole].view(np.int64), "again": again[whole]}
+    """A row for each border with WIDTH bytes of its text before it: text, start of these bytes, digest, and whether the
+    same bytes stand further ahead in the same text."""
+    cuts, held = borders(data, ends), data.tobytes()
+    text = np.searchsorted(ends, cuts, side="left") - 1
+    whole = (text >= 0) & (cuts - ends[np.maximum(text, 0)] >= WIDTH)
+    cuts, text = cuts[whole], text[whole]
+    digest = np.array([xxhash.xxh3_64_intdigest(held[c - WIDTH:c]) for c in cuts.tolist()], np.uint64).view(np.int64)
+    order = np.lexsort((cuts, digest, text))
+    again = np.zeros(len(cuts), bool)
+    again[order[1:]] = (text[order[1:]] == text[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
+    return {"text": text, "start": cuts - WIDTH - ends[text], "digest": digest, "again": again}
 
 
 def chunk_table(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The runs of all texts that have a key, with the key in place of the text."""
+    """The borders of all texts that have a key, with the key in place of the text."""
     def run(batches):
         for batch in slices(batches, BATCH_BYTES, "__text"):
             found = runs(*utf8(batch.column("__text")))
@@ -99,22 +99,91 @@ def chunk_table(df: DataFrame, key: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([keys, *map(pa.array, found.values())], names=["key", *found])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), text_or_empty(text).alias("__text")).mapInArrow(
-        run, f"key {kind}, position int, start bigint, size int, d1 bigint, d2 bigint, again boolean")
+    return keyed(df, key, text).mapInArrow(run, f"key {kind}, start bigint, digest bigint, again boolean")
+
+
+def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), text_or_empty(text).alias("__text"))
+
+
+def shared(one: bytes, other: bytes) -> int:
+    """How many bytes at the begin are the same."""
+    n = min(len(one), len(other))
+    return next((i for i in range(n) if one[i] != other[i]), n)
+
+
+def extended(data: bytes, found: list[dict], least: int) -> list[tuple]:
+    """Spans (start, end, chunks, first) of one text from its runs, each with the bytes around its first occurrence."""
+    grown = []
+    for x in found:
+        a, b = x["a"], x["b"]
+        room = max(0, x["delta"] - (b - a)) if x["own"] else EDGE       # the first occurrence itself stays
+        left = min(room, shared(data[max(0, a - EDGE):a][::-1], (x["before"] or b"")[::-1]))
+        right = min(room - left if x["own"] else EDGE, shared(data[b:b + EDGE], x["after"] or b""))
+        a, b = a - left, b + right
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        grown.append((a, b, x["chunks"], x["first"]))
+    out = []
+    for a, b, n, first in sorted(grown, key=lambda x: x[:2]):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2] + n, min(first, out[-1][3]))
+        else:
+            out.append((a, b, n, first))
+    return [x for x in out if x[1] - x[0] >= least]
 
 
 def repeated_spans(df: DataFrame, key: str, text: str = "text", least: int = LEAST) -> DataFrame:
-    """Spans that repeat an earlier place: key, start and end in bytes, chunks, and first_key, the smallest key of those
-    that hold a part of the span first."""
+    """Spans that repeat an earlier place: key, start and end in bytes, chunks (borders that agree), and first_key, the
+    smallest key of those that hold a part of the span first."""
+    held = stage(df.sparkSession)
+    kind, documents = df.schema[key].dataType.simpleString(), keyed(df, key, text)
     chunks = chunk_table(df, key, text)
-    repeated = chunks.groupBy("d1", "d2").agg(F.min("key").alias("first"), F.count("*").alias("n")) \
-        .where("n > 1").select("d1", "d2", "first")
-    marked = chunks.join(repeated, ["d1", "d2"]).where(F.col("again") | (F.col("key") != F.col("first")))
-    by_key = Window.partitionBy("key").orderBy("position")
-    return marked.withColumn("island", F.col("position") - F.row_number().over(by_key)) \
-        .groupBy("key", "island").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
-                                      (F.count("*") + (RUN - 1)).alias("chunks"), F.min("first").alias("first_key")) \
-        .where(F.col("end") - F.col("start") >= least) \
+    repeated = chunks.groupBy("digest").agg(
+        F.min("key").alias("first"), F.min_by(F.col("start"), F.when(~F.col("again"), F.col("key"))).alias("first_start"),
+        F.count("*").alias("n")).where("n > 1").select("digest", "first", "first_start")
+    marked = chunks.join(repeated, "digest").where(F.col("again") | (F.col("key") != F.col("first"))) \
+        .withColumn("delta", F.col("start") - F.col("first_start"))
+    in_row = Window.partitionBy("key", "first", "delta").orderBy("start")
+    found = held.put(marked.withColumn("gap", F.coalesce(F.col("start") - F.lag("start").over(in_row) > WIDTH, F.lit(True)))
+                     .withColumn("island", F.sum(F.col("gap").cast("int")).over(in_row))
+                     .groupBy("key", "first", "delta", "island")
+                     .agg(F.min("start").alias("a"), (F.max("start") + WIDTH).alias("b"), F.count("*").alias("chunks"))
+                     .drop("island").withColumn("fa", F.col("a") - F.col("delta")).withColumn("fb", F.col("b") - F.col("delta")), "runs")
+
+    def around(batches):
+        for batch in batches:
+            rows = []
+            for name, value, places in zip(*(batch.column(c).to_pylist() for c in ("__key", "__text", "places"))):
+                data = value.encode()
+                rows += [(name, p["fa"], p["fb"], data[max(0, p["fa"] - EDGE):p["fa"]], data[p["fb"]:p["fb"] + EDGE]) for p in places]
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = [batch.column("__key").type, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["first", "fa", "fb", "before", "after"])
+
+    places = found.select("first", "fa", "fb").distinct().groupBy(F.col("first").alias("__key")) \
+        .agg(F.collect_list(F.struct("fa", "fb")).alias("places"))
+    edges = documents.join(places, "__key").mapInArrow(around, f"first {kind}, fa bigint, fb bigint, before binary, after binary") \
+        .dropDuplicates(["first", "fa", "fb"])
+
+    def grow(batches):
+        for batch in batches:
+            rows = []
+            for name, value, own in zip(*(batch.column(c).to_pylist() for c in ("__key", "__text", "own"))):
+                rows += [(name, *x) for x in extended(value.encode(), own, least)]
+            columns = list(zip(*rows)) or [[]] * 5
+            name = batch.column("__key").type
+            kinds = [name, pa.int64(), pa.int64(), pa.int64(), name]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                             names=["key", "start", "end", "chunks", "first_key"])
+
+    own = found.join(edges, ["first", "fa", "fb"], "left").withColumn("own", F.col("key") == F.col("first")) \
+        .groupBy(F.col("key").alias("__key")) \
+        .agg(F.collect_list(F.struct("a", "b", "delta", "chunks", "first", "own", "before", "after")).alias("own"))
+    return documents.join(own, "__key").mapInArrow(
+        grow, f"key {kind}, start bigint, end bigint, chunks bigint, first_key {kind}").dropDuplicates() \
         .select(F.col("key").alias(key), "start", "end", "chunks", "first_key")
 
 

@@ -365,6 +365,21 @@ def test_shared_passages_are_found_and_cut(spark):
     assert chunks.remove_repeats(table.limit(0), "doc_id").count() == 0
 
 
+def test_planted_passages_of_51_to_80_words_are_cut_to_the_byte(spark):
+    rows, wanted = [], {}
+    for i in range(240):
+        passage = " ".join(words(51 + i % 30, 5000 + i))
+        for copy in range(3):
+            head, tail = (" ".join(words(80, 10_000 + 10 * i + 2 * copy + side, f"{'ijklmnop' if side else 'qrstuvwx'}")) for side in (0, 1))
+            rows.append((3 * i + copy, f"{head}{'#é!'[copy]}{passage}{'%&ü'[copy]}{tail}"))
+            start = len(f"{head}{'#é!'[copy]}".encode())
+            if copy:
+                wanted[3 * i + copy] = (start, start + len(passage), 3 * i)
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [(r["doc_id"], (r["start"], r["end"], r["first_key"])) for r in chunks.repeated_spans(table, "doc_id").collect()]
+    assert len(found) == len(wanted) and dict(found) == wanted
+
+
 # --- vectors ------------------------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
