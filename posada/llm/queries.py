@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posada.llm import byte_bpe, chunks, forest, itq, licenses, packing, probminhash, token_counts, toxicity, warc
+from posada.llm import (byte_bpe, chunks, exact_dedup, forest, itq, licenses, merkle, packing, probminhash, resampling, token_counts,
+                        toxicity, warc)
 from posada.llm.common import stage, table
 
 #: Labels of this fold (CRC-32 of the id as text, modulo 4) are never learned from.
@@ -72,6 +73,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, fields = table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    claimed = F.when(tampered, merkle.leaf_digest([lowered if f == "text" else F.col(f) for f in fields]))
+    proved = merkle.manifest(documents, stage(spark), "doc_id", "source", fields, claimed)
+    path = F.array_join(F.zip_with("lefts", "rights", lambda x, y: F.concat(x, y)), "")
+    return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(path, 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), stage(spark))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet", stage(spark))
+    return found.select("doc_id", F.col("keep_key").alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_archives, op2_token_counts, op3_toxicity, op4_best_fit_packing, op5_license_scan, op6_near_duplicate_vectors,
-    op7_nearest_vectors, op8_repeated_spans, op9_near_duplicates, op10_byte_bpe)}
+    op7_nearest_vectors, op8_repeated_spans, op9_near_duplicates, op10_byte_bpe, op11_merkle_manifest, op12_target_resampling,
+    op13_exact_dedup)}
