@@ -17,14 +17,18 @@ order of file and row. A null text is an empty one. Rows that repeat a key are r
 result. Other columns are not read.
 """
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posada.staging import Stage
 
 WHITE = " \t\n\x0b\x0c\r"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STATE = "spark.sql.streaming.stateStore"
+#: State on disk; without room reserved ahead, which is 4 MB for each state partition however few rows it has.
+_SETTINGS = {f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+             f"{_STATE}.rocksdb.allowFAllocate": "false"}
 FREQUENT_SHARE = 1000
 FILES_PER_BATCH = 100_000
 
@@ -50,6 +54,19 @@ def _best() -> Column:
     return F.min(F.struct((-F.col("length")).alias("less"), F.col("key").isNull().alias("unnamed"), "key", "file", "row"))
 
 
+@contextmanager
+def state_settings(spark: SparkSession):
+    """Settings under which state is written and read; those of the session come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def absorb(spark: SparkSession, path: str, folder: str, key: str, text: str, digest=sha256, files_per_batch: int = FILES_PER_BATCH) -> None:
     """Read the files of a Parquet table that the state in folder has not seen yet, and end."""
     path = path.rstrip("/")
@@ -57,13 +74,9 @@ def absorb(spark: SparkSession, path: str, folder: str, key: str, text: str, dig
     # A pattern that only this path matches: the source takes a single file as well as a folder then.
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
     groups = located(stream, key, text, digest).groupBy("digest").agg(_best().alias("best"), F.count(F.lit(1)).alias("n"))
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
-    try:
+    with state_settings(spark):
         groups.writeStream.format("noop").outputMode("update").option("checkpointLocation", folder) \
             .trigger(availableNow=True).start().awaitTermination()
-    finally:
-        spark.conf.set(_PROVIDER, before)
 
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +112,8 @@ def deduplicate(spark: SparkSession, path: str, held: Stage, key: str = "doc_id"
     folder: where state and progress are kept between calls; by default a new one."""
     folder = folder or held.path("state")
     absorb(spark, path, folder, key, text, digest, files_per_batch)
-    groups = held.put(registry(spark, folder), "registry")
+    with state_settings(spark):
+        groups = held.put(registry(spark, folder), "registry")
     texts = located(spark.read.parquet(path), key, text, digest)
     rows = held.put(texts.select("key", "digest", "file", "row"), "rows")
     mixed = held.put(clashing(texts, groups), "clashing")
