@@ -15,6 +15,7 @@ The score is the best 1 - errors / length over all matches of a text, 0 without
 import re
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -60,22 +61,22 @@ class Notice:
                 out.append([a, b])
         return out
 
-    def near_runs(self, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
+    def near_runs(self, text: str, blanks: list[int], a: int, b: int) -> list[tuple[int, int, int]]:
         """(errors, start, end) of all runs of whole words between two places that have 1 to k errors."""
-        starts = [i for i in range(max(a, 1), b) if text[i - 1] == " " and text[i] != " "]
-        ends = [i for i in range(a + 1, min(b, len(text) - 1) + 1) if text[i] == " " and text[i - 1] != " "]
+        inside = blanks[bisect_left(blanks, a - 1):bisect_right(blanks, min(b, len(text) - 1))]
         least, most, out = len(self.phrase) - self.errors, len(self.phrase) + self.errors, []
-        for start in starts:
-            for end in ends[bisect_left(ends, start + least):bisect_right(ends, start + most)]:
-                if text[start:end] != self.phrase:
+        for blank in inside:
+            start = blank + 1
+            for end in inside[bisect_left(inside, start + least):bisect_right(inside, start + most)]:
+                if start >= a and text[start:end] != self.phrase:
                     n = next((n for n, pattern in enumerate(self.near, 1) if pattern.fullmatch(text, start, end)), 0)
                     if n:
                         out.append((n, start, end))
         return out
 
-    def matches(self, text: str) -> list[tuple[int, int, int]]:
+    def matches(self, text: str, blanks: list[int]) -> list[tuple[int, int, int]]:
         """(start, end, errors) in a text that has a blank at either end: base places, and near matches on word borders
-        that no base place overlaps."""
+        that no base place overlaps. blanks: the places of all blanks."""
         found, near = [], []
         for a, b in self.windows(text):
             at = text.find(self.phrase, a, b)
@@ -85,10 +86,14 @@ class Notice:
                     found.append((at, end, 0))
                 at = text.find(self.phrase, at + 1, b)
             if self.errors:
-                near += self.near_runs(text, a, b)
+                near += self.near_runs(text, blanks, a, b)
+        longest = len(self.phrase) + self.errors
+        found.sort()
         for n, start, end in sorted(near, key=lambda x: (x[0], x[1], -x[2])):
-            if not any(x < end and start < y for x, y, _ in found):
-                found.append((start, end, n))
+            # What overlaps begins before the end, and not further before the start than a match is long.
+            first, last = bisect_left(found, (start - longest,)), bisect_left(found, (end,))
+            if not any(y > start for _, y, _ in found[first:last]):
+                found.insert(last, (start, end, n))
         return found
 
 
@@ -101,11 +106,12 @@ def scan_text(text: str, phrases=PHRASES, errors=errors_for) -> dict:
     """Words, spans (label, first word, number of words, errors) and what follows from them."""
     words = WORD.findall(text.translate(_LOWER) if not text.isascii() else text.lower())
     joined = f" {' '.join(words)} "
+    blanks = [0, *accumulate((len(w) + 1 for w in words))]
     spans = []
     for notice in notices(phrases, errors):
-        for start, end, n in notice.matches(joined):
-            spans.append((notice.label, joined.count(" ", 0, start) - 1, joined.count(" ", start, end) + 1, n,
-                          1 - n / len(notice.phrase)))
+        for start, end, n in notice.matches(joined, blanks):
+            word = bisect_left(blanks, start) - 1
+            spans.append((notice.label, word, bisect_left(blanks, end) - word, n, 1 - n / len(notice.phrase)))
     base = [s for s in spans if s[3] == 0]
     return {"n_words": len(words), "spans": spans, "n_base": len(base),
             "first_word": min((s[1] for s in base), default=None), "last_word": max((s[1] for s in base), default=None),
