@@ -1,7 +1,8 @@
 """Token counts of whole texts under a byte-level BPE of the tokenizers library, without moving any pre-token.
 
 Two tiers on the map side. First, a compact table of the lengths (in tokens) of frequent pre-tokens, broadcast: it is
-counted on a bounded sample of the texts (`SAMPLE_TEXTS`) and holds `FREQUENT` entries at most, whatever the input.
+counted on a bounded sample of the texts (the first `TASK_TEXTS` of each of `SAMPLE_TASKS` tasks, which read no further)
+and holds `FREQUENT` entries at most, whatever the input. No text and no pre-token is shuffled.
 Second, a cache in each worker for pre-tokens outside the table, which the library encodes when first met. Both only
 save work; every text is counted whole. Special strings inside texts count as the library counts them, one token each.
 
@@ -14,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ from posada.llm.byte_bpe import Cache
 from posada.llm.common import map_texts, slices, text_or_empty, utf8
 from posada.llm.scan import splitter
 
-SAMPLE_TEXTS = 2_000
+SAMPLE_TASKS, TASK_TEXTS = 32, 64
 FREQUENT = 50_000
 BATCH_BYTES = 4 << 20
 
@@ -83,21 +85,25 @@ def _lengths(sent) -> Lengths:
 
 
 def sample_counts(df: DataFrame, text: str) -> Counter:
-    """Pre-tokens of at most SAMPLE_TEXTS texts, each task's most frequent ones."""
+    """Pre-tokens of SAMPLE_TASKS * TASK_TEXTS texts at most, each task's most frequent ones."""
     def count(batches):
-        found = Counter()
+        found, left = Counter(), TASK_TEXTS
+        if TaskContext.get().partitionId() >= SAMPLE_TASKS:
+            return
         for batch in slices(batches, BATCH_BYTES, "__text"):
-            data, ends = utf8(batch.column("__text"))
+            data, ends = utf8(batch.slice(0, left).column("__text"))
             starts, stops, _ = splitter(True).split(data, ends)
             held = data.tobytes()
             found.update([held[a:b] for a, b in zip(starts.tolist(), stops.tolist())])
+            left -= min(left, batch.num_rows)
+            if not left:
+                break
         top = found.most_common(FREQUENT)
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.binary()),
                                           pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
 
-    sampled = df.select(text_or_empty(text).alias("__text")).limit(SAMPLE_TEXTS)
     total = Counter()
-    for row in sampled.mapInArrow(count, "piece binary, n bigint").collect():
+    for row in df.select(text_or_empty(text).alias("__text")).mapInArrow(count, "piece binary, n bigint").collect():
         total[bytes(row["piece"])] += row["n"]
     return total
 
