@@ -7,7 +7,9 @@ and hold no payload; rows that share that page_id are all responses. A task roll
 that runs twice leaves a file that nobody reads.
 
 Reading is sequential and incremental: compressed blocks go through zlib as they are read, a record's block is as long as its
-Content-Length says, its digests are compared, and whatever does not fit raises an error. A task holds one record at a time.
+Content-Length says, its digests are compared where it states some (in base32 or hex, by any algorithm that hashlib knows), and
+whatever does not fit raises an ArchiveError. A task holds one record at a time. Records of every type are read: an HTTP message is
+taken apart only where the block is one, chunked bodies are put together, and of other blocks the whole block is the payload.
 
 A page without an id has an empty id in its record and comes back with null; a null url is written as "about:blank".
 Archives lie in the shared folder; other file systems must be known to pyarrow.fs.
@@ -90,18 +92,100 @@ def members(stream):
             raise ArchiveError("record was not read to its end")
 
 
+def agrees(stated: str | None, *held: bytes) -> bool:
+    """Whether a digest such as "sha1:..." is that of one of the values; True where none is stated."""
+    if not stated:
+        return True
+    name, _, value = stated.partition(":")
+    try:
+        found = [hashlib.new(name.strip().lower(), x).digest() for x in held]
+    except ValueError as error:
+        raise ArchiveError(f"unknown digest {stated!r}") from error
+    forms = {form for d in found for form in (d.hex(), base64.b32encode(d).decode().rstrip("=").lower())}
+    return value.strip().rstrip("=").lower() in forms
+
+
+def hex_digest(stated: str | None) -> str | None:
+    """A stated digest in bare lower-case hex, whichever way it is written."""
+    name, _, value = (stated or "").partition(":")
+    value = value.strip().rstrip("=")
+    if not value:
+        return None
+    try:
+        size = hashlib.new(name.strip().lower()).digest_size
+        return value.lower() if len(value) == 2 * size else base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
+    except ValueError:
+        return None
+
+
+def unchunked(body: bytes) -> bytes:
+    """A body whose transfer encoding is chunked, put together."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip()
+        if end < 0 or not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            raise ArchiveError("chunk without a size")
+        count, at = int(size, 16), end + 2
+        if not count:
+            return b"".join(out)
+        if body[at + count:at + count + 2] != b"\r\n":
+            raise ArchiveError("chunk is not as long as its size")
+        out.append(body[at:at + count])
+        at += count + 2
+
+
+def _header(lines: list[str]) -> dict[str, str]:
+    """Names in lower case; a line that begins with white space carries on the one before."""
+    head, last = {}, None
+    for line in lines:
+        if line[:1] in " \t" and last:
+            head[last] += " " + line.strip()
+        else:
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            head[last] = value.strip()
+    return head
+
+
+def _payload(head: dict, block: bytes) -> tuple[bytes | None, int | None]:
+    """The payload, and its length where the record states it; revisit records hold none."""
+    kind = head.get("warc-type")
+    if not head.get("content-type", "").lower().startswith("application/http"):
+        if not agrees(head.get("warc-payload-digest"), block):
+            raise ArchiveError("payload digest differs")
+        return block, len(block)
+    first, _, body = block.partition(b"\r\n\r\n")
+    http = _header(first.decode("iso-8859-1").split("\r\n")[1:])
+    stated = http.get("content-length", "")
+    size = int(stated) if stated.isdecimal() else None
+    if kind == "revisit":
+        return None, size
+    payload = body
+    if "chunked" in http.get("transfer-encoding", "").lower():
+        payload = unchunked(body)
+    elif kind == "response" and size is not None and size != len(body):
+        raise ArchiveError("payload is not as long as its Content-Length")
+    if not agrees(head.get("warc-payload-digest"), payload, body):
+        raise ArchiveError("payload digest differs")
+    return payload, len(payload)
+
+
 def read_record(blocks) -> dict:
-    """Headers in lower case, record type, and payload, framed by Content-Length and checked by both digests."""
+    """Headers in lower case, payload (None in revisit records) and its length, framed by Content-Length and checked by both
+    digests."""
     held = bytearray()
     while (end := held.find(b"\r\n\r\n")) < 0:
         more = next(blocks, None)
         if more is None:
             raise ArchiveError("record without end of headers")
         held += more
-    first, *lines = bytes(held[:end]).decode().split("\r\n")
+    first, *lines = bytes(held[:end]).decode("utf-8", "replace").split("\r\n")
     if not first.startswith("WARC/"):
         raise ArchiveError(f"record begins with {first[:20]!r}")
-    head = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+    head = _header(lines)
+    if not head.get("content-length", "").isdecimal():
+        raise ArchiveError("record without Content-Length")
     length, start = int(head["content-length"]), end + 4
     while len(held) < start + length + 4:
         more = next(blocks, None)
@@ -111,13 +195,10 @@ def read_record(blocks) -> dict:
     block = bytes(held[start:start + length])
     if bytes(held[start + length:]) != b"\r\n\r\n" or next(blocks, None) is not None:
         raise ArchiveError("record is longer than its Content-Length")
-    if _digest(block) != head["warc-block-digest"]:
+    if not agrees(head.get("warc-block-digest"), block):
         raise ArchiveError("block digest differs")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = int(re.search(rb"(?im)^content-length:\s*(\d+)", http)[1])
-    if head["warc-type"] == "response" and (len(payload) != size or _digest(payload) != head["warc-payload-digest"]):
-        raise ArchiveError("payload digest differs")
-    return {"head": head, "payload": payload if head["warc-type"] == "response" else None, "payload_bytes": size}
+    payload, size = _payload(head, block)
+    return {"head": head, "payload": payload, "payload_bytes": size}
 
 
 def records(stream):
@@ -173,7 +254,7 @@ def write_archives(pages: DataFrame, held: Stage, name: str = "archives") -> Dat
 
 def read_archives(manifest: DataFrame, held: Stage, name: str = "archives", payload: bool = True) -> DataFrame:
     """A row for each record: page_id, url, payload_bytes, payload_digest (hex), record_type, refers_to, and the payload
-    (null for revisit records) if wanted."""
+    (null for revisit records) if wanted. What a foreign record does not state is null, its page_id too."""
     folder = held.path(name)
     columns = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint" \
         + (", payload binary" if payload else "")
@@ -192,9 +273,9 @@ def read_archives(manifest: DataFrame, held: Stage, name: str = "archives", payl
                 with system.open_input_stream(path, compression=None) as stream:
                     for found in records(stream):
                         head = found["head"]
-                        digest = base64.b32decode(head["warc-payload-digest"].partition(":")[2]).hex()
-                        rows.append((number(head["warc-record-id"]), head["warc-target-uri"], found["payload_bytes"], digest,
-                                     head["warc-type"], number(head.get("warc-refers-to")), found["payload"])[:len(names)])
+                        rows.append((number(head.get("warc-record-id")), head.get("warc-target-uri"), found["payload_bytes"],
+                                     hex_digest(head.get("warc-payload-digest")), head.get("warc-type"),
+                                     number(head.get("warc-refers-to")), found["payload"])[:len(names)])
                         seen, size = seen + 1, size + len(found["payload"] or b"")
                         if len(rows) >= 1000 or size >= READ_BYTES * 64:
                             yield _batch(rows, kinds, names)
