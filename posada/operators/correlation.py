@@ -2,81 +2,104 @@
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from posada.operators.quantiles import CELLS, held_per_cell, running_start, with_cells
+from posada.functions.numbers import nan_to_null
+from posada.staging import Stage
 
-_SALTS = 64
-_FREQUENT_SHARE = 1000
+FREQUENT_SHARE = 1000
+
+PAIR_SCHEMA = "variable_a string, variable_b string, n long, rho double"
 
 
 def spearman_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """variable_a, variable_b, n, rho for every pair of columns, in the order given.
 
-    Each pair uses the rows where both columns are present, and ties share their average rank.
+    Each pair uses the rows where both columns are present, and ties share their average rank. The rank
+    of a value depends on the partner column only through the rows that the partner lacks, so each column
+    is sorted once, with one running count for each partner. Rows are staged first: they are told apart
+    by a running number, which must not change when a task runs again.
     """
-    pairs = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("a"),
-                      F.col(b).cast("double").alias("b"))
-             for i, (a, b) in enumerate(combinations(columns, 2))]
-    sizes = (df.select(F.inline(F.array(*pairs))).dropna()
-             .groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n")))
-    joint = sizes
-    for side in ("a", "b"):
-        joint = _attach_rank(joint, _average_ranks(sizes, side), side)
-
-    # The mean of average ranks is (total + 1) / 2, so sums of centred products are enough.
-    products = joint.groupBy("pair").agg(
-        F.sum("n").alias("n"),
-        *[F.sum(F.col(x) * F.col(y) * F.col("n")).alias(x + y)
-          for x, y in (("da", "da"), ("db", "db"), ("da", "db"))])
-    rho = F.try_divide(F.col("dadb"), F.sqrt(F.col("dada")) * F.sqrt(F.col("dbdb")))
-    names = F.array(*[F.struct(F.lit(a).alias("variable_a"), F.lit(b).alias("variable_b"))
-                      for a, b in combinations(columns, 2)])
-    return products.select(names[F.col("pair")].alias("names"), "n", rho.alias("rho")).select(
-        "names.variable_a", "names.variable_b", "n", "rho")
-
-
-def _average_ranks(joint: DataFrame, side: str) -> DataFrame:
-    """pair, side, rank (centred), frequent.
-
-    Ranks are running totals over distinct values, taken per cell of the value, so no window
-    spans a whole column and none depends on how close the values of a column lie.
+    pairs = list(combinations(range(len(columns)), 2))
+    with Stage(df.sparkSession) as stage:
+        numbers = {_value(i): nan_to_null(F.col(c).cast("double")) for i, c in enumerate(columns)}
+        rows = stage.put(df.select(F.monotonically_increasing_id().alias("_row"),
+                                   *[x.alias(name) for name, x in numbers.items()]), "rows")
+        sizes = stage.put(value_sizes(rows, len(columns)), "sizes")
+        ranks = stage.put(average_ranks(sizes, len(columns)), "ranks")
+        spreads = {r["column"]: r for r in ranks.groupBy("column").agg(
+            *[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(len(columns))],
+            *[F.sum(F.col("n")[j] * F.col("d")[j] * F.col("d")[j]).alias(f"q{j}")
+              for j in range(len(columns))]).collect()}
+        ranked = with_ranks(rows, ranks, len(columns))
+        products = ranked.agg(*[F.sum(_rank(a)[b] * _rank(b)[a]) for a, b in pairs]).first() if pairs else []
+    found = []
+    for (a, b), product in zip(pairs, products):
+        n = spreads[a][f"n{b}"] if a in spreads else 0
+        spread = (spreads[a][f"q{b}"] * spreads[b][f"q{a}"]) ** 0.5 if n else 0.0
+        if n:
+            found.append((columns[a], columns[b], n, product / spread if spread else None))
+    return df.sparkSession.createDataFrame(found, PAIR_SCHEMA)
+
+
+def _value(i: int) -> str:
+    return f"v{i}"
+
+
+def _rank(i: int) -> Column:
+    return F.col(f"r{i}")
+
+
+def value_sizes(rows: DataFrame, width: int) -> DataFrame:
+    """column, v, n0, n1, ...: for each distinct value of a column its rows where column 0, 1, ... is
+    present, in ranges of column and value; part is the number of the range."""
+    present = [F.col(_value(i)).isNotNull().alias(f"p{i}") for i in range(width)]
+    values = F.array(*[F.struct(F.lit(i).alias("column"), F.col(_value(i)).alias("v")) for i in range(width)])
+    counted = (rows.select(F.explode(values).alias("e"), *present).select("e.*", *[f"p{i}" for i in range(width)])
+               .where("v IS NOT NULL").groupBy("column", "v")
+               .agg(*[F.count_if(F.col(f"p{i}")).alias(f"n{i}") for i in range(width)]))
+    return (counted.repartitionByRange("column", "v").sortWithinPartitions("column", "v")
+            .withColumn("part", F.spark_partition_id()))
+
+
+def average_ranks(sizes: DataFrame, width: int) -> DataFrame:
+    """column, v, n, d, frequent: n[j] rows of the value where column j is present, d[j] their average
+    rank among the rows of the column where j is present, less the mean rank.
+
+    The rows before a value are those of earlier ranges, from one small row for each range and column,
+    and those before it in its own range.
     """
-    sizes = with_cells(joint.groupBy("pair", side).agg(F.sum("n").alias("size")), side)
-    cells = held_per_cell(sizes, ["pair"])
-    coarse = cells.groupBy("pair", CELLS[0]).agg(F.sum("held").alias("held"))
-    placed = (running_start(coarse, ["pair"], CELLS[0])
-              .withColumn("total", F.sum("held").over(W.partitionBy("pair")))
-              .select("pair", CELLS[0], "total", F.col("start").alias("before")))
-    inside = ["pair", CELLS[0]]
-    placed = (running_start(cells.join(placed, inside), inside, CELLS[1], offset="before")
-              .select("pair", *CELLS, "total", F.col("start").alias("before")))
-    inside = ["pair", *CELLS]
-    ranked = running_start(sizes.join(placed, inside), inside, side, "size", "before")
-    average = F.col("start") + (F.col("size") + 1) / 2
-    return ranked.select(
-        "pair", side, (average - (F.col("total") + 1) / 2).alias(f"d{side}"),
-        (F.col("size") * _FREQUENT_SHARE > F.col("total")).alias("frequent"))
-
-
-def _attach_rank(joint: DataFrame, ranks: DataFrame, side: str) -> DataFrame:
-    """Join the rank of each value.
-
-    A frequent value may meet very many partners, so it is looked up by broadcast: there are fewer
-    than 1000 per pair, each holding more than a thousandth of its rows. The others are joined by
-    shuffle; rows already served keep no key there and are spread by the salt.
+    counts = [f"n{j}" for j in range(width)]
+    ranges = sizes.groupBy("column", "part").agg(*[F.sum(c).alias(f"h_{c}") for c in counts])
+    whole = W.partitionBy("column")
+    earlier = whole.orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = ranges.select("column", "part", *[
+        x for c in counts for x in ((F.sum(f"h_{c}").over(earlier) - F.col(f"h_{c}")).alias(f"b_{c}"),
+                                    F.sum(f"h_{c}").over(whole).alias(f"t_{c}"))])
+    inside = W.partitionBy("column", "part").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = sizes.join(placed, ["column", "part"]).withColumns({f"s_{c}": F.sum(c).over(inside) for c in counts})
+    centred = [F.col(f"b_{c}") + F.col(f"s_{c}") - (F.col(c) - 1) / 2 - (F.col(f"t_{c}") + 1) / 2 for c in counts]
+    own = F.array(*counts)[F.col("column")] * FREQUENT_SHARE > F.array(*[f"t_{c}" for c in counts])[F.col("column")]
+    return running.select("column", "v", F.array(*counts).alias("n"), F.array(*centred).alias("d"), own.alias("frequent"))
+
+
+def with_ranks(rows: DataFrame, ranks: DataFrame, width: int) -> DataFrame:
+    """_row and r0, r1, ...: for each column the centred ranks of its value, null where the value is.
+
+    Frequent values, fewer than FREQUENT_SHARE per column, are looked up by broadcast. Only the values that
+    are not among them become rows of their own and are joined by shuffle, each key being rare.
     """
-    key, salt = f"_{side}", "_salt"
-    rank = f"d{side}"
-    few = F.broadcast(ranks.where("frequent").select("pair", side, F.col(rank).alias("_served")))
-    rest = ranks.where("NOT frequent").select("pair", F.col(side).alias(key), rank,
-                                              F.lit(0).cast("long").alias(salt))
-    served = F.col("_served").isNotNull()
-    spread = (joint.join(few, ["pair", side], "left")
-              .withColumn(key, F.when(~served, F.col(side)))
-              .withColumn(salt, F.when(served, F.pmod(F.xxhash64("pair", "a", "b"), F.lit(_SALTS)))
-                          .otherwise(F.lit(0).cast("long"))))
-    joined = spread.join(rest, ["pair", key, salt], "left")
-    return joined.withColumn(rank, F.coalesce("_served", rank)).drop("_served", key, salt)
+    served = rows
+    for i in range(width):
+        few = ranks.where((F.col("column") == i) & F.col("frequent")).select(F.col("v").alias(_value(i)), F.col("d").alias(f"r{i}"))
+        served = served.join(F.broadcast(few), _value(i), "left")
+    values = F.array(*[F.struct(F.lit(i).alias("column"), F.col(_value(i)).alias("v"), _rank(i).isNull().alias("open"))
+                       for i in range(width)])
+    rare = (served.select("_row", F.explode(F.filter(values, lambda e: e["open"] & e["v"].isNotNull())).alias("e"))
+            .select("_row", "e.column", "e.v"))
+    looked_up = (rare.join(ranks.where("NOT frequent").select("column", "v", "d"), ["column", "v"])
+                 .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("column", "d"))).alias("found")))
+    return served.join(looked_up, "_row", "left").select(
+        "_row", *[F.coalesce(_rank(i), F.col("found")[F.lit(i)]).alias(f"r{i}") for i in range(width)])

@@ -24,8 +24,12 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(c) for c in columns])
+    """One row. Several exact counts in one aggregate would multiply the rows by the columns, so the
+    distinct values of each column are found on their own; the approximate counts share one pass."""
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
+    first, *others = [df.select(c).dropna().distinct().agg(F.count(F.lit(1)).alias(c)) for c in columns]
+    return first.select(columns[0], *[one.scalar().alias(c) for c, one in zip(columns[1:], others)])
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:

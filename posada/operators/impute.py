@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 from posada.operators.columns import present
 from posada.operators.lookup import lookup_join
 from posada.operators.quantiles import exact_quantiles, quantile_struct
+from posada.staging import Stage
 
 
-def fill_group_median(df: DataFrame, columns: list[str], group: str) -> DataFrame:
-    """Null -> median of the row's group; rows without a group stay as they are."""
+def fill_group_median(df: DataFrame, columns: list[str], group: str, stage: Stage | None = None) -> DataFrame:
+    """Null -> median of the row's group; rows without a group stay as they are.
+
+    stage: where the medians are kept; without one both branches of the lookup compute them.
+    """
     columns = present(df, columns)
     as_double = df.withColumns({c: F.col(c).cast("double") for c in columns})
     if not columns or group not in df.columns:
@@ -18,14 +22,16 @@ def fill_group_median(df: DataFrame, columns: list[str], group: str) -> DataFram
     wide = medians.groupBy(group).agg(
         *[F.max(F.when(F.col("columna") == c, F.col("q")[0])).alias(f"_median_{c}")
           for c in columns])
+    if stage is not None:
+        wide = stage.put(wide, f"medians_{group}")
     joined = lookup_join(as_double, wide, [group])
     return joined.withColumns({c: F.coalesce(c, f"_median_{c}") for c in columns}).select(*df.columns)
 
 
-def impute_group_median(df: DataFrame, columns: list[str], group: str) -> DataFrame:
+def impute_group_median(df: DataFrame, columns: list[str], group: str, stage: Stage | None = None) -> DataFrame:
     """Null -> median of its group, then -> median of the column as filled so far."""
     columns = present(df, columns)
-    filled = fill_group_median(df, columns, group)
+    filled = fill_group_median(df, columns, group, stage)
     if not columns:
         return filled
     overall = quantile_struct(filled, columns, [0.5]).select(F.struct("*")).scalar()

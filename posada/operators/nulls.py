@@ -1,6 +1,6 @@
 """Missing values per column."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,10 +23,13 @@ def null_percentages(df: DataFrame, decimals: int = 2) -> DataFrame:
             .select("columna", F.bround("pct", decimals).alias("pct")))
 
 
+def null_cells_of_row(columns: list[str]) -> Column:
+    return sum((F.col(c).isNull().cast("long") for c in columns), F.lit(0).cast("long"))
+
+
 def null_cells(df: DataFrame) -> DataFrame:
     """Missing cells of the whole table."""
-    per_row = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
-    return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("celdas_nulas"))
+    return df.agg(F.coalesce(F.sum(null_cells_of_row(df.columns)), F.lit(0)).alias("celdas_nulas"))
 
 
 def structure(df: DataFrame) -> DataFrame:

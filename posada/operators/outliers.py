@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from posada.functions.flags import certainly
 from posada.operators.lookup import lookup_join
 from posada.operators.quantiles import exact_quantiles, quantile_scalar, quantile_struct
+from posada.staging import Stage
 
 
 def fences(q1: Column, q3: Column, factor: float = 1.5) -> tuple[Column, Column]:
@@ -50,13 +51,17 @@ def threshold_counts(df: DataFrame, column: str, limits: dict[str, float]) -> Da
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
-              factor: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers (last value inside the fences) and number of outliers, per group."""
+              factor: float = 1.5, stage: Stage | None = None) -> DataFrame:
+    """Quartiles, whiskers (last value inside the fences) and number of outliers, per group.
+
+    stage: where the quartiles of the groups are kept; without one they are computed twice.
+    """
     by = list(by or [])
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], by).select(
         *by, *[F.col("q")[i].alias(name) for i, name in enumerate(("q1", "mediana", "q3"))])
     values = df.select(*by, F.col(column).cast("double").alias("v")).dropna()
     if by:
+        quartiles = quartiles if stage is None else stage.put(quartiles, f"quartiles_{column}")
         rows = lookup_join(values, quartiles, by)
     else:
         only = quartiles.select(F.struct("q1", "mediana", "q3")).scalar()

@@ -70,24 +70,31 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     values = long_values(df, columns, by)
     if by:
         # Counting equal values first makes the largest group as small as its distinct values.
-        counted = with_cells(values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("size")), "v")
-        cells = held_per_cell(counted, keys)
-        coarse = cells.groupBy(*keys, CELLS[0]).agg(F.sum("held").alias("held"))
-        wanted = _wanted(_first_level(coarse, keys), probs)
-    else:
-        # At most two cells per probability and column are wanted, whatever the size of the data.
-        values = with_cells(values, "v")
-        coarse = values.groupBy(*keys, CELLS[0]).agg(F.count(F.lit(1)).alias("held"))
-        wanted = F.broadcast(_wanted(_first_level(coarse, keys), probs))
-        counted = (values.join(wanted, [*keys, CELLS[0]])
-                   .groupBy(*keys, *CELLS, "before", "n", "v").agg(F.count(F.lit(1)).alias("size")))
-        cells = held_per_cell(counted, [*keys, "before", "n"])
+        return counted_quantiles(values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("size")), keys, probs)
+    # At most two cells per probability and column are wanted, whatever the size of the data.
+    values = with_cells(values, "v")
+    coarse = values.groupBy(*keys, CELLS[0]).agg(F.count(F.lit(1)).alias("held"))
+    wanted = F.broadcast(_wanted(_first_level(coarse, keys), probs))
+    counted = (values.join(wanted, [*keys, CELLS[0]])
+               .groupBy(*keys, *CELLS, "before", "n", "v").agg(F.count(F.lit(1)).alias("size")))
+    cells = held_per_cell(counted, [*keys, "before", "n"])
+    finer = running_start(cells, [*keys, CELLS[0]], CELLS[1], offset="before")
+    return _picked(counted.drop("before", "n"), F.broadcast(_wanted(finer.drop("before"), probs)), keys, probs)
+
+
+def counted_quantiles(counted: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """keys..., n, q, as exact_quantiles gives them, from keys..., v and size, the rows that hold v."""
+    counted = with_cells(counted, "v")
+    cells = held_per_cell(counted, keys)
+    coarse = cells.groupBy(*keys, CELLS[0]).agg(F.sum("held").alias("held"))
+    wanted = _wanted(_first_level(coarse, keys), probs)
     inside = [*keys, CELLS[0]]
-    finer = running_start(cells.join(wanted, inside) if by else cells, inside, CELLS[1], offset="before")
-    wanted = _wanted(finer.drop("before"), probs)
-    if not by:
-        wanted, counted = F.broadcast(wanted), counted.drop("before", "n")
+    finer = running_start(cells.join(wanted, inside), inside, CELLS[1], offset="before")
+    return _picked(counted, _wanted(finer.drop("before"), probs), keys, probs)
 
+
+def _picked(counted: DataFrame, wanted: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """The quantiles, from the values of the fine cells that hold a rank asked for."""
     inside = [*keys, *CELLS]
     ranked = running_start(counted.join(wanted, inside), inside, "v", "size", "before")
     ranked = ranked.withColumnRenamed("size", "held")

@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -50,6 +50,16 @@ class Stage:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def put_measured(self, df: DataFrame, name: str, measures: dict[str, Column],
+                     carried: list[str] | None = None) -> tuple[DataFrame, dict]:
+        """As put, with aggregates taken by the writing stage itself; `carried` columns are only for
+        them and are not written. There is no exchange above the aggregates: a range exchange would read
+        its input twice, and they would count twice."""
+        seen = Observation()
+        staged = self.put(df.observe(seen, *[c.alias(n) for n, c in measures.items()])
+                          .drop(*(carried or [])), name)
+        return staged, seen.get
+
     def close(self) -> None:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,3 +1,4 @@
+import itertools
 import json
 
 import numpy as np
@@ -5,13 +6,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from posada.operators import lookup
+from posada.operators import lookup, sketches
 from posada.operators.columns import (by_prefix, drop_empty_columns, empty_columns, host_columns,
                                       normalise_nan)
-from posada.operators.correlation import spearman_pairs
+from posada.operators.correlation import spearman_pairs, value_sizes
 from posada.operators.dedup import duplicate_count, keep_first
-from posada.operators.frequencies import (availability_rates, group_count, group_size_range, per_year,
-                                          top_values, value_counts, value_shares, year_over_year)
+from posada.operators.frequencies import (availability_rates, distinct_counts, group_count, group_size_range,
+                                          per_year, top_values, value_counts, value_shares, year_over_year)
 from posada.operators.histograms import equal_width_bins, fixed_bins
 from posada.operators.hosts import host_concentration, split_hosts
 from posada.operators.impute import impute_group_median
@@ -180,16 +181,35 @@ def test_impute_group_then_overall(spark):
     assert got == {1: 1.0, 2: 3.0, 3: 2.0, 4: 2.5, 5: 2.5, 6: 9.0}
 
 
-def test_lookup_join_is_the_same_below_and_above_the_broadcast_bound(spark):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"), "id").union(
-        spark.createDataFrame([(None, -1)], "k long, id long"))
-    right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    small = lookup.lookup_join(left, right, ["k"])
-    large = lookup.lookup_join(left, right, ["k"], max_rows=5)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in large._jdf.queryExecution().toString()
-    assert rows_of(small, "id") == rows_of(large, "id") and small.count() == 3001
+def lookup_case(spark, n):
+    left = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 1500 + 1).alias("k"), "id").union(
+        spark.createDataFrame([(None, -1)] * (n // 10), "k long, id long"))
+    return left, spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+
+
+def test_lookup_join_equals_a_plain_one(spark):
+    left, right = lookup_case(spark, 6000)
+    found = lookup.lookup_join(left, right, ["k"])
+    assert found.columns == ["k", "id", "v"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
+    assert lookup.lookup_join(left.limit(0), right, ["k"]).count() == 0
+
+
+def test_frequent_keys_stay_out_of_the_shuffle(spark):
+    left, right = lookup_case(spark, 6000)
+    often = left.select(F.array_contains(lookup.frequent_keys(left, ["k"]), F.xxhash64("k")).alias("often"), "k").distinct()
+    assert {r["k"] for r in often.where("often").collect()} == {0, None}
+    shuffled = left.where(~F.array_contains(lookup.frequent_keys(left, ["k"]), F.xxhash64("k")))
+    assert shuffled.groupBy("k").count().agg(F.max("count")).first()[0] <= 6000 / lookup.FREQUENT_SHARE + 1
+
+
+@pytest.mark.parametrize("n", [10, 60_000])
+def test_lookup_plan_is_the_same_for_every_size(spark, n):
+    left, right = spark.range(n).withColumn("k", F.col("id") % 7), lookup_case(spark, n)[1]
+    plan = lookup.lookup_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.strip(" :+-").split()[0] for line in plan.splitlines()]
+    assert [node for node in nodes if node in ("Join", "Union")] == ["Union", "Join", "Join"]
 
 
 def test_membership_counts_null_as_orphan(spark):
@@ -220,8 +240,69 @@ def test_spearman_equals_pandas_with_ties_and_nulls(spark):
             assert r["rho"] == pytest.approx(expected, abs=1e-12)
 
 
+def test_spearman_of_many_patterns_and_frequent_values(spark):
+    """Columns that lack different rows, one value that most rows hold, a column that is nearly empty."""
+    rng = np.random.default_rng(11)
+    n = 4000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 3, n).astype(float), "c": rng.normal(size=n).round(1)})
+    pdf.loc[rng.random(n) < 0.7, "a"] = 0.0
+    pdf["d"] = pdf.a * 2 + pdf.b + rng.normal(size=n)
+    for c, share in (("a", 0.2), ("b", 0.5), ("d", 0.05)):
+        pdf.loc[rng.random(n) < share, c] = np.nan
+    pdf["e"] = np.where(np.arange(n) < 3, pdf.c, np.nan)
+    pdf["f"] = np.nan
+    want = pdf.corr(method="spearman", min_periods=1)
+    got = {(r["variable_a"], r["variable_b"]): (r["n"], r["rho"]) for r in
+           spearman_pairs(spark.createDataFrame(pdf).repartition(7), list("abcdef")).collect()}
+    for (x, y), (rows, rho) in got.items():
+        assert rows == (pdf[x].notna() & pdf[y].notna()).sum()
+        assert rho is None or rho == pytest.approx(want.loc[x, y], abs=1e-11)
+    assert set(got) == {p for p in itertools.combinations("abcdef", 2) if (pdf[p[0]].notna() & pdf[p[1]].notna()).any()}
+
+
+def test_rank_windows_hold_one_range_each(spark):
+    """No row is repeated for the pairs of its columns, and no window holds a whole column."""
+    width = 3
+    rows = spark.range(5000).select(F.col("id").alias("_row"), *[(F.rand(i) * 1e6).alias(f"v{i}") for i in range(width)])
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        sizes = value_sizes(rows, width)
+        assert sizes.agg(F.sum("n0")).first()[0] == width * 5000
+        held = sizes.groupBy("column", "part").count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset(setting)
+    assert held <= 5000          # four ranges of 15,000 rows
+    assert "Expand" not in sizes._jdf.queryExecution().toString()
+
+
 # ------------------------------------------------------------------ counts
 
+def test_distinct_counts_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 2.0), (None, "b", 2.0)], "x int, y string, z double")
+    counts = distinct_counts(df, ["x", "y", "z"])
+    assert rows_of(counts) == [(1, 2, 1)] and counts.columns == ["x", "y", "z"]
+    assert "Expand" not in counts._jdf.queryExecution().toString()
+    assert rows_of(distinct_counts(df, ["y"])) == [(2,)]
+
+
+def test_approximate_quantiles_keep_their_rank_error(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"m": rng.integers(0, 12, 60_000), "v": rng.lognormal(3, 2, 60_000)})
+    pdf.loc[pdf.m == 3, "v"] = 7.0
+    probs = [0.01, 0.25, 0.5, 0.9, 0.999]
+    months = sketches.quantile_sketches(spark.createDataFrame(pdf), ["v"], ["m"])
+    assert months.count() == 12 and months.agg(F.max(F.length("sketch"))).first()[0] < 40_000
+    whole = sketches.sketch_quantiles(sketches.merge_sketches(months), probs).first()
+    assert whole["n"] == 60_000
+    ordered = np.sort(pdf.v.to_numpy())
+    for p, q in zip(probs, whole["q"]):
+        low, high = np.searchsorted(ordered, q, "left") / 60_000, np.searchsorted(ordered, q, "right") / 60_000
+        assert low - 2 * sketches.RANK_ERROR <= p <= high + 2 * sketches.RANK_ERROR
+    same = sketches.approximate_quantiles(spark.createDataFrame(pdf), ["v"], [0.1, 0.9], ["m"]).where("m = 3").first()
+    assert same["q"] == [7.0, 7.0]
+
+
 def test_counts_and_shares(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1)], "t string, k int")
     assert rows_of(value_counts(df, "t")) == [("a", 2), ("b", 1)]
