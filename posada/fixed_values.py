@@ -47,7 +47,7 @@ EXPORT_GROUPS = {
     "calendario_resumen": ["calendar_mensual", "calendar_semanal", "calendar"],
 }
 
-# Lookup columns per output table (used as write order, see sinks.tables).
+# Lookup columns per output table (see sinks.tables).
 LOOKUP_COLUMNS = {
     "listings": ["id", "host_id", "neighbourhood_cleansed"],
     "hosts": ["host_id"],
@@ -56,6 +56,8 @@ LOOKUP_COLUMNS = {
     "calendar_mensual": ["listing_id"],
     "reviews": ["listing_id", "date"],
 }
+# Tables that are split into one folder per value, as most readers want some months only.
+PARTITION_COLUMNS = {"calendar": ["anio", "mes"], "calendar_mensual": ["anio", "mes"]}
 LANDING_ORDER = {"listings": ["id"], "reviews": ["listing_id", "date"],
                  "calendar": ["listing_id", "date"]}
 

@@ -1,13 +1,15 @@
 """Publication of the output tables, extracts and verification."""
 
 import logging
+from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from posada.audit import Audit
-from posada.fixed_values import EXPORT_GROUPS, LOOKUP_COLUMNS, SHEET_MAX_ROWS
+from posada.fixed_values import EXPORT_GROUPS, LOOKUP_COLUMNS, PARTITION_COLUMNS, SHEET_MAX_ROWS
 from posada.functions.text import truncate
 from posada.operators.columns import present
 from posada.staging import path_exists
@@ -15,40 +17,72 @@ from posada.staging import path_exists
 log = logging.getLogger(__name__)
 
 VERIFICATION_SCHEMA = "tabla string, esperado long, almacenado long, exportado long, ok boolean"
+CONTENT_SCHEMA = "tabla string, escrito decimal(38,0), leido decimal(38,0), igual boolean"
 
 
-def write_table(df: DataFrame, path: str, order: list[str] | None = None,
-                partition_by: list[str] | None = None) -> int:
-    """Replace the table at path and return the rows written.
+@dataclass(frozen=True)
+class Written:
+    """What the stage that wrote a table has counted: its rows and the digest of their content."""
+
+    rows: int
+    digest: Decimal
+    schema: StructType
+
 
-    Sorting inside the files (no shuffle) lets readers skip row groups by the lookup columns.
+def content_digest(columns: list[str]) -> Column:
+    """Aggregate: a number that depends on every cell, but not on the order of rows and columns.
+
+    Row hashes are added up, so a row that is there twice counts twice. Which cells are null is hashed
+    too, as the hash of a row passes over them.
     """
-    keys = present(df, order or [])
-    laid_out = df.sortWithinPartitions(*keys) if keys else df
-    written = Observation()
-    counted = laid_out.observe(written, F.count(F.lit(1)).alias("rows"))
+    names = sorted(columns)
+    row = F.xxhash64(*names, *[F.col(c).isNull() for c in names])
+    return F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
+def laid_out(df: DataFrame, order: list[str], partition_by: list[str]) -> DataFrame:
+    """Rows in ranges of the lookup columns: each file holds one range, sorted, so readers pass over whole
+    files and row groups; the rows of one partition folder lie in few files."""
+    keys = [*partition_by, *[c for c in order if c not in partition_by]]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+
+
+def write_table(df: DataFrame, path: str, order: list[str] | None = None,
+                partition_by: list[str] | None = None, only_these_partitions: bool = False) -> Written:
+    """Replace the table at path, or only_these_partitions that df has rows for."""
+    folders = present(df, partition_by or [])
+    seen = Observation()
+    counted = laid_out(df, present(df, order or []), folders).observe(
+        seen, F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest"))
     writer = counted.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if folders:
+        mode = "dynamic" if only_these_partitions else "static"
+        writer = writer.partitionBy(*folders).option("partitionOverwriteMode", mode)
     writer.parquet(path)
-    return written.get["rows"]
+    return Written(seen.get["rows"], seen.get["digest"], df.schema)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, audit: Audit | None = None,
-                 partition_by: dict[str, list[str]] | None = None) -> dict[str, int]:
-    """Write every table under root; returns the rows written per table."""
+                 partition_by: dict[str, list[str]] = PARTITION_COLUMNS) -> dict[str, Written]:
+    """Write every table under root in its layout."""
     audit = audit or Audit()
-    rows = {}
+    written = {}
     for name, df in tables.items():
         with audit.timed("carga", name) as record:
-            rows[name] = write_table(df, f"{root.rstrip('/')}/{name}", LOOKUP_COLUMNS.get(name),
-                                     (partition_by or {}).get(name))
-            record["rows"] = rows[name]
-    return rows
+            written[name] = write_table(df, f"{root.rstrip('/')}/{name}", LOOKUP_COLUMNS.get(name),
+                                        partition_by.get(name))
+            record["rows"] = written[name].rows
+    return written
 
 
-def read_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written table with its own columns, types and order: columns that became folders have neither
+    type nor place in the files."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def read_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {n: read_table(spark, f"{root.rstrip('/')}/{n}", df.schema) for n, df in tables.items()}
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -96,33 +130,52 @@ def export_extracts(tables: dict[str, DataFrame], root: str,
     return exported
 
 
-def verify(spark: SparkSession, expected: dict[str, int], root: str,
+def verify(spark: SparkSession, expected: dict[str, int | Written], root: str,
            exported: dict[str, str] | None = None) -> DataFrame:
-    """tabla, esperado, almacenado, exportado, ok. A table that is not there has a null count."""
+    """tabla, esperado, almacenado, exportado, ok. A table that is not there has a null count.
+
+    Where the digest of the writing stage is given, ok needs equal content too, not only equal counts.
+    """
     exported = exported or {}
+    contents = {r["tabla"]: r["igual"] for r in verify_contents(
+        spark, {n: w for n, w in expected.items() if isinstance(w, Written)}, root).collect()}
     records = []
-    for name, rows in expected.items():
+    for name, wanted in expected.items():
+        rows = wanted.rows if isinstance(wanted, Written) else wanted
         path = f"{root.rstrip('/')}/{name}"
         stored = spark.read.parquet(path).count() if path_exists(spark, path) else None
         extract = None
         if name in exported:
             extract = spark.read.csv(exported[name], header=True, multiLine=True,
                                      escape='"').count()
-        ok = stored == rows and extract in (None, rows)
+        ok = stored == rows and extract in (None, rows) and contents.get(name, True)
         records.append((name, rows, stored, extract, ok))
     return spark.createDataFrame(records, VERIFICATION_SCHEMA)
 
 
+def verify_contents(spark: SparkSession, written: dict[str, Written], root: str) -> DataFrame:
+    """tabla, escrito, leido, igual: the digest of what was written and of what is read back."""
+    records = []
+    for name, table in written.items():
+        path = f"{root.rstrip('/')}/{name}"
+        found = None
+        if path_exists(spark, path):
+            back = read_table(spark, path, table.schema)
+            found = back.agg(content_digest(back.columns).alias("digest")).first()["digest"]
+        records.append((name, table.digest, found, found == table.digest))
+    return spark.createDataFrame(records, CONTENT_SCHEMA)
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str,
             extract_root: str | None = None, audit: Audit | None = None) -> DataFrame:
     """Write, export (when extract_root is given) and verify; returns the verification table."""
-    expected = write_tables(tables, root, audit)
-    stored = read_tables(spark, root, list(tables))
+    written = write_tables(tables, root, audit)
+    stored = read_tables(spark, root, tables)
     exported = export_extracts(stored, extract_root, audit=audit) if extract_root else {}
-    report = verify(spark, expected, root, exported)
+    report = verify(spark, written, root, exported)
     failing = [r["tabla"] for r in report.where("NOT ok").collect()]
     if failing:
-        log.error("row counts differ in %s", failing)
+        log.error("rows or content differ in %s", failing)
     return report
 
 

@@ -2,13 +2,15 @@
 
 import time
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from posada.audit import LandingCount
 from posada.fixed_values import KNOWN_TEXT_COLUMNS, LANDING_ORDER, NA_TOKENS
 from posada.operators.columns import normalise_nan
+from posada.sinks.tables import laid_out
+from posada.sources.store import union_batches
 from posada.staging import Stage, path_exists
 
 _WHOLE = r"^\s*[+-]?\d+\s*$"
@@ -68,40 +70,44 @@ def _kind_counts(name: str, is_text: bool) -> Column:
         (none if is_text else F.count_if(value.rlike(_REAL))).alias("real"))
 
 
-def land(spark: SparkSession, source: str, target: str, order: list[str] | None = None,
+def land(spark: SparkSession, source: str | list[str], target: str, order: list[str] | None = None,
          multi_line: bool = True, max_records_per_file: int = 5_000_000,
          na_tokens: list[str] | None = NA_TOKENS, schema: StructType | None = None) -> LandingCount:
-    """Replace the collection at `target` by the content of a CSV file; returns both row counts.
+    """Replace the collection at `target` by the content of CSV files; returns both row counts.
+
+    Several sources are batches of one collection: each is copied by tasks of its own, a column that one
+    lacks is null there, and types are decided once over the values of all.
 
     With a schema its columns are cast to its types (values that do not fit become null) and nothing is
     inferred; other columns are left out.
 
     The text is first copied to splittable Parquet, as a compressed CSV gives one task per file; types
-    are then inferred and written from that copy. Rows of a file are sorted by the lookup columns, so
-    that row-group statistics can skip on them.
+    are then inferred and written from that copy. Each file holds one range of the lookup columns and is
+    sorted by them, so that readers skip files and row groups.
     """
     started = time.perf_counter()
-    raw = read_csv(spark, source, multi_line, na_tokens)
-    seen = Observation()
+    sources = [source] if isinstance(source, str) else list(source)
     with Stage(spark) as stage:
         # The count sits in the writing stage itself, where each row is counted exactly once.
-        copy = stage.put(raw.observe(seen, F.count(F.lit(1)).alias("rows")), "text")
+        copied = [stage.put_measured(read_csv(spark, path, multi_line, na_tokens), f"text-{i}",
+                                     {"rows": F.count(F.lit(1))}) for i, path in enumerate(sources)]
+        copy = union_batches([df for df, _ in copied])
         typed = normalise_nan(infer_types(copy) if schema is None else copy.select(*[
             F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name)
             if not isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in schema.fields]))
         keys = [c for c in order or [] if c in typed.columns]
-        laid_out = typed.sortWithinPartitions(*keys) if keys else typed
-        (laid_out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        (laid_out(typed, keys, []).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
          .parquet(target))
     stored = spark.read.parquet(target).count()
-    return LandingCount(source, seen.get["rows"], stored, time.perf_counter() - started)
+    return LandingCount(", ".join(sources), sum(seen["rows"] for _, seen in copied), stored,
+                        time.perf_counter() - started)
 
 
 class LandingError(RuntimeError):
     """Rows of a file that are missing in the collection landed from it, or the other way round."""
 
 
-def land_all(spark: SparkSession, sources: dict[str, str], root: str,
+def land_all(spark: SparkSession, sources: dict[str, str | list[str]], root: str,
              single_line: tuple[str, ...] = (), na_tokens: list[str] | None = NA_TOKENS,
              schemas: dict[str, StructType] | None = None) -> list[LandingCount]:
     """Land every named source under root; a missing file or differing row counts stop the landing.

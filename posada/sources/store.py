@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, NullType,
+                               ShortType, StringType)
 
 from posada.staging import child_names
 
@@ -50,9 +52,52 @@ def scan(df: DataFrame, where: dict | Column | str | None = None,
     return (kept.select(*select) if select else kept).drop("_id")
 
 
+_EXACT_WHOLE = 1 << 53      # whole numbers up to here are doubles too
+
+
 def union_batches(batches: list[DataFrame]) -> DataFrame:
-    """All rows of all batches; a column that a batch lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+    """All rows of all batches; a column that a batch lacks is null there.
+
+    Where batches differ in the type of a column, all of them take the smallest type that holds every
+    value: whole numbers become the wider whole type, or doubles if all of them are doubles exactly,
+    and anything else becomes text.
+    """
+    types = common_types(batches)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in types.items()
+                        if c in df.columns and df.schema[c].dataType != t}) for df in batches])
+
+
+def common_types(batches: list[DataFrame]) -> dict[str, DataType]:
+    """The type of each column whose type differs between batches."""
+    held: dict[str, list[DataType]] = {}
+    for df in batches:
+        for f in df.schema.fields:
+            if not isinstance(f.dataType, NullType) and f.dataType not in held.setdefault(f.name, []):
+                held[f.name].append(f.dataType)
+    found = {c: join_types(types) for c, types in held.items() if len(types) > 1}
+    for c in [c for c, t in found.items() if isinstance(t, DoubleType)]:
+        if any(isinstance(t, LongType) for t in held[c]) and not _fit_doubles(batches, c):
+            found[c] = StringType()
+    return found
+
+
+def join_types(types: list[DataType]) -> DataType:
+    """The least upper bound in: byte, short, int, long < double (also above float) < text. Types that are
+    not among these have only text above them. Whether longs fit doubles is for the caller to see."""
+    whole = [ByteType(), ShortType(), IntegerType(), LongType()]
+    real = [FloatType(), DoubleType()]
+    if all(t == types[0] for t in types):
+        return types[0]
+    if all(t in whole for t in types):
+        return max(types, key=whole.index)
+    return DoubleType() if all(t in whole + real for t in types) else StringType()
+
+
+def _fit_doubles(batches: list[DataFrame], column: str) -> bool:
+    """No whole number of the column is too large for a double to hold exactly."""
+    return not any(df.agg(F.max(~F.col(f"`{column}`").between(-_EXACT_WHOLE, _EXACT_WHOLE))).first()[0] for df in batches
+                   if column in df.columns and isinstance(df.schema[column].dataType, LongType))
 
 
 class Store:

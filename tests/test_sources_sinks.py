@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from posada.audit import Audit
-from posada.sinks.tables import (export_extracts, publish, truncate_texts, truncation_counts, verify,
-                                 write_json, write_tables)
+from posada.sinks.tables import (content_digest, export_extracts, publish, read_table, truncate_texts, truncation_counts, verify,
+                                 verify_contents, write_json, write_tables)
 from posada.sources.landing import infer_types, land, land_all, read_csv
 from posada.sources.runlog import log_excerpt, parse_log, read_log
 from posada.sources.store import Store, condition, read_json, scan, union_batches
@@ -121,6 +121,30 @@ def test_union_of_batches_with_different_columns(spark):
     assert rows_of(union_batches([a, b]), "id") == [(1, "x", None), (2, None, 9)]
 
 
+def test_batches_of_different_types_widen_without_loss(spark):
+    big = (1 << 60) + 1
+    batches = [spark.createDataFrame([(1, 5, 2, "x", True)], "k int, a long, b long, c string, d boolean"),
+               spark.createDataFrame([(big, 2.5, 7.5, 1, "t")], "k long, a double, b double, c int, d string"),
+               spark.createDataFrame([(3, None, big, None, None)], "k short, a float, b long, c string, d string")]
+    for order in (batches, batches[::-1]):
+        df = union_batches(order)
+        assert dict(df.dtypes) == {"k": "bigint", "a": "double", "b": "string", "c": "string", "d": "string"}
+        assert sorted(map(tuple, df.collect())) == sorted(
+            [(1, 5.0, "2", "x", "true"), (big, 2.5, "7.5", "1", "t"), (3, None, str(big), None, None)])
+
+
+def test_types_are_decided_once_over_all_batches(spark, tmp_path):
+    texts = ["id,v,w\n1,10,a\n2,,b\n", "id,v,x\n3,2.5,9\n", "id,v\n4,7\n"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.csv").write_text(text, encoding="utf-8")
+    count = land(spark, [str(tmp_path / f"{i}.csv") for i in range(3)], str(tmp_path / "out"), ["id"])
+    assert count.ok and count.file_rows == 4
+    df = spark.read.parquet(str(tmp_path / "out"))
+    assert dict(df.dtypes) == {"id": "bigint", "v": "double", "w": "string", "x": "bigint"}
+    assert rows_of(df.select("id", "v", "w", "x"), "id") == [(1, 10.0, "a", None), (2, None, "b", None), (3, 2.5, None, 9),
+                                                          (4, 7.0, None, None)]
+
+
 def test_collections_with_different_files(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "id int, v string").write.parquet(str(tmp_path / "t"))
     spark.createDataFrame([(2, 9)], "id int, w int").write.mode("append").parquet(str(tmp_path / "t"))
@@ -189,6 +213,47 @@ def test_partitioned_table(spark, tables, tmp_path):
     assert (tmp_path / "calendar" / "mes=7").exists()
 
 
+def test_one_month_reads_its_own_files_only(spark, tmp_path):
+    days = spark.range(20_000).select((F.col("id") % 400).alias("listing_id"), F.date_add(F.lit("2031-01-01").cast("date"),
+                                      (F.col("id") % 365).cast("int")).cast("string").alias("date")) \
+        .withColumns({"anio": F.substring("date", 1, 4).cast("long"), "mes": F.substring("date", 6, 2).cast("long")})
+    write_tables({"calendar": days}, str(tmp_path))
+    back = read_table(spark, str(tmp_path / "calendar"), days.schema)
+    assert back.dtypes == days.dtypes and back.count() == 20_000
+    month = back.where("anio = 2031 AND mes = 5")
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(anio" in plan and "PushedFilters: []" in plan
+    files = {r[0] for r in month.select(F.input_file_name()).distinct().collect()}
+    assert files and all("mes=5/" in f for f in files) and len(files) < len(list((tmp_path / "calendar").rglob("*.parquet"))) / 6
+
+
+def test_files_hold_ranges_of_the_lookup_column(spark, tmp_path):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        write_tables({"reviews": spark.range(8000).select((F.col("id") * 7919 % 8000).alias("listing_id"), "id")}, str(tmp_path))
+    finally:
+        spark.conf.unset(setting)
+    spans = spark.read.parquet(str(tmp_path / "reviews")).groupBy(F.input_file_name().alias("file")).agg(
+        F.min("listing_id").alias("low"), F.max("listing_id").alias("high")).orderBy("low").collect()
+    assert len(spans) > 1 and all(a["high"] < b["low"] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_changed_cell_is_told(spark, tables, tmp_path):
+    root = str(tmp_path / "t")
+    written = write_tables(tables, root)
+    assert all(r["igual"] for r in verify_contents(spark, written, root).collect())
+    tables["listings"].withColumn("price", F.when(F.col("id") == 3, 300.01).otherwise(F.col("price"))) \
+        .write.mode("overwrite").parquet(f"{root}/listings")
+    told = {r["tabla"]: (r["esperado"], r["almacenado"], r["ok"]) for r in verify(spark, written, root).collect()}
+    assert told == {"listings": (3, 3, False), "reviews": (2, 2, True), "calendar": (5, 5, True)}
+    moved = spark.createDataFrame([(1, None, 7)], "a int, b int, c int"), spark.createDataFrame([(1, 7, None)], "a int, b int, c int")
+    assert len({df.agg(content_digest(df.columns)).first()[0] for df in moved}) == 2
+    # The order of rows and columns and the number of files make no difference.
+    tables["reviews"].select("comments", "id", "listing_id").repartition(2).write.mode("overwrite").parquet(f"{root}/reviews")
+    assert verify_contents(spark, {"reviews": written["reviews"]}, root).first()["igual"]
+
+
 def test_json_reports(spark, tmp_path):
     write_json(spark.createDataFrame([("a", 1)], "tabla string, n long"), str(tmp_path / "r"))
     assert rows_of(spark.read.json(str(tmp_path / "r"))) == [(1, "a")] or \
