@@ -1,7 +1,8 @@
 """Audit records: steps, data-quality findings, landings and timings.
 
-Counts are taken by aggregates over staged tables and from file footers, not by counters inside
-shuffle stages: a map task that runs again after the loss of an executor would count twice there.
+Counts are taken by aggregates in the writing stages of staged and published tables and from file
+footers, not by counters inside shuffle stages: a map task that runs again after the loss of an executor
+would count twice there.
 """
 
 import time
@@ -33,6 +34,7 @@ STEP_NO_COMMENT = "Eliminación de reseñas sin comentario"
 STEP_DATE_PARTS = "Variables de fecha derivadas"
 STEP_MONTHLY = "Resumen mensual del calendario"
 STEP_WEEKLY = "Resumen semanal del calendario"
+DATE_PARTS = "anio, mes, dia, trimestre, nombre_mes, dia_semana"
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """Daily availability and its monthly and weekly summaries."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posada import audit as steps
@@ -11,8 +11,8 @@ from posada.operators.dedup import duplicate_count, keep_first
 
 KEYS = ["listing_id", "date"]
 # Carried next to the daily rows until the summaries and the findings are made.
-_DATE, _NO_FLAG, _BAD_DATE = "_fecha", "_sin_dato", "_fecha_invalida"
-_CARRIED = [_DATE, _NO_FLAG, _BAD_DATE]
+DATE, _NO_FLAG, _BAD_DATE = "_fecha", "_sin_dato", "_fecha_invalida"
+_CARRIED = [DATE, _NO_FLAG, _BAD_DATE]
 
 
 def clean_days(raw: DataFrame, order_by: list[str] | None = None,
@@ -27,12 +27,12 @@ def clean_days(raw: DataFrame, order_by: list[str] | None = None,
         day = F.coalesce(iso_text(parse_date(F.col("date"))), F.col("date"))
         df = df.withColumn("date", day)
     df = keep_first(df, KEYS, order_by)
-    parsed = df.withColumn(_DATE, parse_date(F.col("date")))
+    parsed = df.withColumn(DATE, parse_date(F.col("date")))
     flag = from_tf(F.col("available"))
     return (parsed
             .withColumns({"disponible": certainly(flag), _NO_FLAG: flag.isNull(),
-                          _BAD_DATE: F.col("date").isNotNull() & F.col(_DATE).isNull()})
-            .withColumns({"date": iso_text(F.col(_DATE)), **date_parts(F.col(_DATE))})
+                          _BAD_DATE: F.col("date").isNotNull() & F.col(DATE).isNull()})
+            .withColumns({"date": iso_text(F.col(DATE)), **date_parts(F.col(DATE))})
             .drop("available"))
 
 
@@ -47,7 +47,7 @@ def monthly(days: DataFrame) -> DataFrame:
     # the date, keeps the optimizer from parsing every date a second time below the deduplication.
     grouped = (days.where(F.col("listing_id").isNotNull())
                .groupBy("listing_id", "anio", "mes")
-               .agg(F.count(_DATE).alias("dias"), free.alias("dias_disponibles"),
+               .agg(F.count(DATE).alias("dias"), free.alias("dias_disponibles"),
                     F.avg("minimum_nights").alias("minimo_noches_promedio"))
                .where(F.col("dias") > 0))
     taken = F.col("dias") - F.col("dias_disponibles")
@@ -57,7 +57,7 @@ def monthly(days: DataFrame) -> DataFrame:
 
 def weekly(days: DataFrame) -> DataFrame:
     """Whole city per ISO year and week; the start is the first day seen, not the Monday."""
-    date = F.col(_DATE)
+    date = F.col(DATE)
     grouped = (days.groupBy(iso_year(date).alias("anio"), iso_week(date).alias("semana"))
                .agg(F.min(date).alias("first"), F.count(date).alias("dias_registrados"),
                     F.count_distinct("listing_id").alias("alojamientos"),
@@ -74,26 +74,26 @@ def calendar_tables(days: DataFrame) -> dict[str, DataFrame]:
             "calendar_semanal": weekly(days)}
 
 
-def audit_calendar(audit: Audit, raw: DataFrame, days: DataFrame, monthly_rows: int,
-                   weekly_rows: int) -> None:
-    """Steps and findings; `days` should be a staged table, it is read once more here."""
-    before = raw.count()
-    counts = days.agg(F.count(F.lit(1)).alias("rows"), F.count_if(_NO_FLAG).alias("no_flag"),
-                      F.count_if(_BAD_DATE).alias("bad"),
-                      F.count_if(F.col(_DATE).isNull()).alias("undated")).first()
-    rows = counts["rows"]
-    audit.step(steps.STEP_DEDUP, "calendar", before, rows,
-               f"clave {KEYS}, {before - rows} duplicados")
+def day_measures() -> dict[str, Column]:
+    """Aggregates for the audit over clean_days, to be taken while it is written."""
+    return {"filas": F.count(F.lit(1)), "sin_dato": F.count_if(_NO_FLAG),
+            "fecha_invalida": F.count_if(_BAD_DATE), "sin_fecha": F.count_if(F.col(DATE).isNull())}
+
+
+def audit_calendar(audit: Audit, raw_rows: int, seen: dict, monthly_rows: int, weekly_rows: int) -> None:
+    """Steps and findings; `seen` are the day_measures."""
+    rows = seen["filas"]
+    audit.step(steps.STEP_DEDUP, "calendar", raw_rows, rows,
+               f"clave {KEYS}, {raw_rows - rows} duplicados")
     audit.step(steps.STEP_DATES, "calendar", rows, rows, "columnas ['date']")
-    audit.step(steps.STEP_DATE_PARTS, "calendar", rows, rows,
-               "anio, mes, dia, trimestre, nombre_mes, dia_semana")
+    audit.step(steps.STEP_DATE_PARTS, "calendar", rows, rows, steps.DATE_PARTS)
     audit.step(steps.STEP_MONTHLY, "calendar_mensual", rows, monthly_rows,
                "agrupado por listing_id, anio, mes")
     audit.step(steps.STEP_WEEKLY, "calendar_semanal", rows, weekly_rows, "agrupado por semana ISO")
-    audit.finding("calendar", "duplicados", before - rows)
-    audit.finding("calendar", "disponibilidad inválida", counts["no_flag"])
-    audit.finding("calendar", "fecha inválida", counts["bad"])
-    audit.finding("calendar", "sin fecha", counts["undated"])
+    audit.finding("calendar", "duplicados", raw_rows - rows)
+    audit.finding("calendar", "disponibilidad inválida", seen["sin_dato"])
+    audit.finding("calendar", "fecha inválida", seen["fecha_invalida"])
+    audit.finding("calendar", "sin fecha", seen["sin_fecha"])
 
 
 def calendar_findings(raw: DataFrame, days: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def calendar_findings(raw: DataFrame, days: DataFrame) -> DataFrame:
     repeated = duplicate_count(raw, KEYS).select(F.lit("duplicados").alias("regla"),
                                                  F.col("duplicados").alias("n"))
     flags = days.agg(F.count_if(_NO_FLAG).alias("a"), F.count_if(_BAD_DATE).alias("b"),
-                     F.count_if(F.col(_DATE).isNull()).alias("c"))
+                     F.count_if(F.col(DATE).isNull()).alias("c"))
     rules = flags.select(F.inline(F.array(
         F.struct(F.lit("disponibilidad inválida").alias("regla"), F.col("a").alias("n")),
         F.struct(F.lit("fecha inválida").alias("regla"), F.col("b").alias("n")),

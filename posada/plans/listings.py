@@ -6,21 +6,22 @@ from pyspark.sql import functions as F
 from posada import audit as steps
 from posada.audit import Audit
 from posada.fixed_values import (CLEANED_TEXT_COLUMNS, DEFAULTED_TEXT_COLUMNS, FLAG_COLUMNS,
-                                 IMPUTED_COLUMNS, LISTING_DATE_COLUMNS, NO_INFORMATION, NO_LICENSE,
+                                 HOST_PREFIXES, IMPUTED_COLUMNS, LISTING_DATE_COLUMNS, NO_INFORMATION, NO_LICENSE,
                                  PRICE_COLUMNS, VALUELESS_COLUMNS)
 from posada.functions import numbers, text
 from posada.functions.dates import iso_text, parse_date
 from posada.functions.documents import is_broken_list
 from posada.functions.flags import certainly, from_tf
 from posada.functions.numbers import first_number, integer_text, money
-from posada.operators.columns import (empty_columns, host_columns, is_boolean, is_numeric, present)
+from posada.operators.columns import drop_empty_columns, host_columns, is_boolean, is_numeric, present
 from posada.operators.dedup import keep_first
 from posada.operators.hosts import split_hosts
 from posada.operators.impute import fill_group_median
 from posada.operators.nested import add_amenity_count, amenity_pairs, flatten_quote
-from posada.operators.nulls import null_cells
+from posada.operators.nulls import null_cells_of_row
 from posada.operators.outliers import fences
 from posada.operators.quantiles import quantile_struct
+from posada.staging import Stage
 
 
 def unique_listings(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -102,38 +103,74 @@ def quality_flags(df: DataFrame, price_outlier: Column | None = None) -> DataFra
     return df.withColumns(new) if new else df
 
 
-def clean_listings(unique: DataFrame) -> DataFrame:
+#: Columns that only the measures of a run read; they are not part of the table.
+_CELLS, _CELLS_AFTER, _BAD_DATES, _BROKEN = "_nulos", "_nulos_despues", "_fechas_malas", "_lista_rota"
+_MISSING = "_falta_"
+
+
+def clean_listings(unique: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Every cleaning step on already unique listings; amenities and host columns still inside.
 
     All steps are row-wise expressions, so the wide rows are not shuffled again: counts, medians and
     quartiles are aggregated apart over the columns they need and come back as small values. `unique`
     is scanned several times for them and should be a staged table.
     """
-    held = _value_counts(unique)
+    clean = measured_listings(unique, stage)
+    return clean.drop(*carried(clean))
+
+
+def carried(clean: DataFrame) -> list[str]:
+    """The columns of measured_listings that are no part of the table."""
+    return [c for c in clean.columns
+            if c in (_CELLS, _CELLS_AFTER, _BAD_DATES, _BROKEN) or c.startswith(_MISSING)]
+
+
+def measured_listings(unique: DataFrame, stage: Stage | None = None, held: dict | None = None) -> DataFrame:
+    """clean_listings with what each row adds to the measures of the run (see `measures`).
+
+    held: the unique_measures of `unique`, if the stage that wrote it has taken them.
+    """
+    held = held or unique.agg(*[c.alias(n) for n, c in unique_measures(unique).items()]).first()
     rows = held["_rows"]
     empty = [c for c in unique.columns if rows and held[c] == 0]
     df = unique.drop(*empty, *VALUELESS_COLUMNS)
+    bad = sum((F.col(c).isNotNull() & parse_date(F.col(c).cast("string")).isNull()).cast("long")
+              for c in present(df, LISTING_DATE_COLUMNS)) if present(df, LISTING_DATE_COLUMNS) else F.lit(0)
+    broken = is_broken_list(F.col("amenities")) if "amenities" in df.columns else F.lit(False)
+    df = df.withColumns({_BAD_DATES: bad, _BROKEN: broken})
     df = standardise_dates(convert_flags(flatten_quote(normalise_prices(df))))
     df = convert_bathrooms(df)
+    table = [c for c in df.columns if c not in (_BAD_DATES, _BROKEN)]
+    watched = present(df, [*IMPUTED_COLUMNS, "has_availability", "price"])
+    df = df.withColumns({_CELLS: null_cells_of_row(table),
+                         **{_MISSING + c: F.col(c).isNull() for c in watched}})
 
     # A complete column keeps its type and needs no median.
     completed = "_bathrooms" if "bathrooms_text" in df.columns else "bathrooms"
     incomplete = [c for c in present(df, IMPUTED_COLUMNS)
                   if held[completed if c == "bathrooms" else c] < rows]
-    df = fill_group_median(df, incomplete, "room_type")
+    df = fill_group_median(df, incomplete, "room_type", stage)
     measured = incomplete + present(df, ["price"])
     quartiles = quantile_struct(df, measured, [0.25, 0.5, 0.75]).first() if measured else None
     medians = {c: quartiles[c][1] for c in incomplete if quartiles[c]}
     df = fill_defaults(df.fillna(medians) if medians else df)
+    df = df.withColumn(_CELLS_AFTER, null_cells_of_row([c for c in df.columns if c not in carried(df)]))
     return quality_flags(standardise_text(df), _outside_fences(df, quartiles))
 
 
-def _value_counts(unique: DataFrame) -> Row:
-    """Rows, values per column, and bathrooms once completed from their text: one job."""
-    after_text = [F.count(bathroom_number(unique)).alias("_bathrooms")] \
-        if "bathrooms_text" in unique.columns else []
-    return unique.agg(F.count(F.lit(1)).alias("_rows"),
-                      *[F.count(c).alias(c) for c in unique.columns], *after_text).first()
+def measures(clean: DataFrame) -> dict[str, Column]:
+    """Aggregates over measured_listings for the audit, to be taken while it is written."""
+    missing = [c for c in carried(clean) if c.startswith(_MISSING)]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return {"filas": F.count(F.lit(1)), "antes": total(_CELLS), "despues": total(_CELLS_AFTER),
+            "fechas": total(_BAD_DATES), "rotas": F.count_if(_BROKEN),
+            **{c.removeprefix(_MISSING): F.count_if(c) for c in missing}}
+
+
+def unique_measures(unique: DataFrame) -> dict[str, Column]:
+    """Aggregates: rows, values per column, and bathrooms once completed from their text."""
+    after_text = {"_bathrooms": F.count(bathroom_number(unique))} if "bathrooms_text" in unique.columns else {}
+    return {"_rows": F.count(F.lit(1)), **{c: F.count(c) for c in unique.columns}, **after_text}
 
 
 def _outside_fences(df: DataFrame, quartiles: Row | None) -> Column | None:
@@ -151,42 +188,47 @@ def listing_tables(clean: DataFrame) -> dict[str, DataFrame]:
     return {"listings": listings, "hosts": hosts, "listing_amenities": amenities}
 
 
-def audit_listings(audit: Audit, raw: DataFrame, unique: DataFrame, clean: DataFrame,
-                   host_rows: int, amenities: DataFrame) -> None:
-    """Steps and findings from the staged unique and clean listings and the written amenities."""
-    before, rows = raw.count(), unique.count()
+def host_table(unique: DataFrame) -> DataFrame:
+    """The hosts alone, from already unique listings: no medians or quartiles are needed for them."""
+    df = drop_empty_columns(unique.select("id", "host_id", *host_columns(unique)))
+    return split_hosts(standardise_text(fill_defaults(standardise_dates(convert_flags(df)))), ["id"])[1]
+
+
+def audit_listings(audit: Audit, raw_rows: int, held: dict, clean_columns: list[str], seen: dict,
+                   host_rows: int, amenity_rows: int, amenity_kinds: int) -> None:
+    """Steps and findings, from what the staging writes took: `held` are the unique_measures, `seen` the
+    measures of the clean table. The rest are rows written."""
+    rows = seen["filas"]
+    unique_columns = [c for c in held if c not in ("_rows", "_bathrooms")]
     same = (rows, rows)
-    audit.step(steps.STEP_DEDUP, "listings", before, rows,
-               f"clave ['id'], {before - rows} duplicados")
-    empty = empty_columns(unique)
-    gone = empty + [c for c in present(unique, VALUELESS_COLUMNS) if c not in empty]
+    audit.step(steps.STEP_DEDUP, "listings", raw_rows, rows,
+               f"clave ['id'], {raw_rows - rows} duplicados")
+    flattened = "cotizacion_moneda" in clean_columns
+    gone = [c for c in unique_columns
+            if c not in clean_columns and not (flattened and c == "price_quote_raw")]
+    empty = [c for c in unique_columns if rows and held[c] == 0]
     audit.step(steps.STEP_DROP_COLUMNS, "listings", *same, f"{len(gone)} columnas: {gone}")
     audit.step(steps.STEP_PRICES, "listings", *same, "texto a número")
-    if "price_quote_raw" in unique.columns:
+    if flattened:
         audit.step(steps.STEP_QUOTE, "listings", *same, "moneda, disponibilidad, descuento y noches")
     audit.step(steps.STEP_DATES, "listings", *same,
-               f"columnas {present(clean, LISTING_DATE_COLUMNS)}")
-    common = [c for c in clean.columns if c in unique.columns and c not in gone]
-    cells = [null_cells(df.select(*common)).first()["celdas_nulas"] for df in (unique, clean)]
-    audit.step(steps.STEP_NULLS, "listings", *same, f"celdas nulas {cells[0]} -> {cells[1]}")
+               f"columnas {[c for c in LISTING_DATE_COLUMNS if c in clean_columns]}")
+    audit.step(steps.STEP_NULLS, "listings", *same, f"celdas nulas {seen['antes']} -> {seen['despues']}")
     audit.step(steps.STEP_TEXT, "listings", *same, "espacios, etiquetas y formato título")
     audit.step(steps.STEP_FLAGS, "listings", *same, "categoría de precio y marcas")
-    pairs = amenities.agg(F.count(F.lit(1)).alias("n"),
-                          F.count_distinct("amenity").alias("kinds")).first()
-    audit.step(steps.STEP_AMENITIES, "listing_amenities", rows, pairs["n"],
-               f"{pairs['kinds']} amenities distintas")
-    audit.step(steps.STEP_HOSTS, "hosts", rows, host_rows,
-               f"{len(host_columns(clean))} columnas de anfitrión")
-    audit.finding("listings", "duplicados", before - rows)
+    audit.step(steps.STEP_AMENITIES, "listing_amenities", rows, amenity_rows,
+               f"{amenity_kinds} amenities distintas")
+    hosts = [c for c in clean_columns if c.startswith(tuple(HOST_PREFIXES)) and c != "host_id"]
+    audit.step(steps.STEP_HOSTS, "hosts", rows, host_rows, f"{len(hosts)} columnas de anfitrión")
+    audit.finding("listings", "duplicados", raw_rows - rows)
     audit.finding("listings", "columnas vacías", len(empty))
-    if "price" in clean.columns:
-        audit.finding("listings", "sin precio",
-                      clean.where(F.col("price").isNull()).count())
-    if "amenities" in unique.columns:
-        audit.finding("listings", "amenities ilegibles",
-                      unique.where(is_broken_list(F.col("amenities"))).count())
-    dates = present(clean, LISTING_DATE_COLUMNS)
-    if dates:
-        # Dates are null in `clean` exactly where they were missing or unreadable.
-        lost = [sum(df.agg(*[F.count(c) for c in dates]).first()) for df in (unique, clean)]
-        audit.finding("listings", "fecha inválida", lost[0] - lost[1])
+    for c in IMPUTED_COLUMNS:
+        if c in seen:
+            audit.finding("listings", f"imputados en {c}", seen[c])
+    for c, rule in (("has_availability", "disponibilidad deducida"), ("price", "sin precio")):
+        if c in seen:
+            audit.finding("listings", rule, seen[c])
+    if "amenities" in unique_columns:
+        audit.finding("listings", "amenities ilegibles", seen["rotas"])
+    if any(c in clean_columns for c in LISTING_DATE_COLUMNS):
+        audit.finding("listings", "fecha inválida", seen["fechas"])

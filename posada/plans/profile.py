@@ -1,26 +1,27 @@
 """Exploratory metrics of the raw tables, one small DataFrame per metric."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from posada.fixed_values import AVAILABILITY_EDGES, CORRELATED_COLUMNS
 from posada.functions.dates import parse_date, year_month
 from posada.functions.documents import raw_list
-from posada.functions.numbers import log10_positive
+from posada.functions.flags import certainly
+from posada.functions.numbers import log10_positive, money
 from posada.functions.text import holds
+from posada.operators import counted
 from posada.operators import frequencies as freq
-from posada.operators.columns import present
+from posada.operators.columns import is_numeric, present
 from posada.operators.correlation import spearman_pairs
 from posada.operators.dedup import duplicate_count
-from posada.operators.histograms import equal_width_bins, fixed_bins
-from posada.operators.hosts import host_concentration, host_sizes
 from posada.operators.nested import amenity_pairs
-from posada.operators.nulls import null_counts, null_percentages, shape, structure
-from posada.operators.outliers import between_quantiles, box_stats, threshold_counts, upper_outliers
+from posada.operators.outliers import between_quantiles
 from posada.operators.quantiles import exact_quantiles
-from posada.operators.summaries import (describe_numeric, describe_text, group_medians,
-                                        percentile_list, price_metrics)
 from posada.plans.listings import normalise_prices
+from posada.staging import Stage
 
 PRICE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 
@@ -51,19 +52,59 @@ def night_modes(listings: DataFrame) -> DataFrame:
                         F.max(nights.cast("double")).alias("max"))
 
 
-def profile(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every metric that the columns of the given raw tables allow."""
+def map_points(priced: DataFrame) -> DataFrame:
+    """longitude, latitude, log10_precio"""
+    return priced.select("longitude", "latitude", log10_positive(F.col("precio")).alias("log10_precio"))
+
+
+@dataclass
+class Counted:
+    """What the metrics of a raw table are made from: one read of it has written the narrow table and taken
+    the aggregates `held`, and one read of that has counted its values."""
+
+    name: str
+    schema: StructType
+    held: dict
+    narrow: DataFrame
+    counts: DataFrame
+
+    @property
+    def rows(self) -> int:
+        return self.held["_rows"]
+
+    def has(self, *columns: str) -> bool:
+        return set(columns) <= set(self.narrow.columns)
+
+
+_PRINT = ["_huella_1", "_huella_2"]
+
+
+def count_table(raw: DataFrame, name: str, columns: dict[str, Column], entries: list[Column],
+                lists: dict[str, Column], extra: dict[str, Column], stage: Stage) -> Counted:
+    """columns: the narrow table; entries and lists: what is counted of it; extra: further aggregates
+    over the raw table. Rows are fingerprinted by 128 bits, nulls included, to find whole rows that repeat."""
+    nulls = [F.col(c).isNull() for c in raw.columns]
+    prints = {c: F.xxhash64(F.lit(i), *raw.columns, *nulls) for i, c in enumerate(_PRINT)}
+    measures = {"_rows": F.count(F.lit(1)), **{c: F.count(c) for c in raw.columns}, **extra}
+    # The aggregates sit below the projection, in the same single read of the raw table.
+    seen = Observation()
+    measured = raw.observe(seen, *[c.alias(n) for n, c in measures.items()])
+    narrow = stage.put(measured.select(*[c.alias(n) for n, c in {**columns, **prints}.items()]), f"narrow_{name}")
+    counts = stage.put(counted.count_values(narrow, entries, lists), f"counts_{name}")
+    return Counted(name, raw.schema, seen.get, narrow, counts)
+
+
+def profile(tables: dict[str, DataFrame], stage: Stage | None = None) -> dict[str, DataFrame]:
+    """Every metric that the columns of the given raw tables allow.
+
+    A raw table is read once. Metrics are lazy and read the counted values, except the few that need
+    rows (largest prices, map points, correlations, repeated rows and keys), which read the narrow table. Both lie
+    in `stage`, which must stay open while metrics are read; without one they stay in the staging folder.
+    """
+    made = {"listings": _listing_metrics, "reviews": _review_metrics, "calendar": _calendar_metrics}
     metrics: dict[str, DataFrame] = {}
-    for name, df in tables.items():
-        metrics[f"{name}_forma"] = shape(df, name)
-        metrics[f"{name}_estructura"] = structure(df)
-        metrics[f"{name}_filas_duplicadas"] = duplicate_count(df)
-    if "listings" in tables:
-        metrics |= _listing_metrics(tables["listings"])
-    if "reviews" in tables:
-        metrics |= _review_metrics(tables["reviews"])
-    if "calendar" in tables:
-        metrics |= _calendar_metrics(tables["calendar"])
+    for name, raw in tables.items():
+        metrics |= made[name](raw, stage or Stage(raw.sparkSession))
     return metrics
 
 
@@ -73,94 +114,166 @@ def write_profile(metrics: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").json(f"{root.rstrip('/')}/{name}")
 
 
-def _listing_metrics(raw: DataFrame) -> dict[str, DataFrame]:
-    df = raw
-    if "price" in raw.columns:
-        df = normalise_prices(raw, ["price"]).withColumnRenamed("price", "precio")
-    has = set(df.columns)
-    metrics = {"nulos_listings_pct": null_percentages(raw),
-               "listings_id_duplicados": duplicate_count(raw, ["id"])}
-    if "precio" in has:
+def _general_metrics(table: Counted, spark: SparkSession, null_share: bool) -> dict[str, DataFrame]:
+    held, rows = table.held, table.rows
+    names = [f.name for f in table.schema.fields]
+    shares = sorted(((100 * (rows - held[c]) / rows, c) for c in names if rows and held[c] < rows),
+                    key=lambda x: (-x[0], x[1]))
+    nulls = {f"nulos_{table.name}_pct": spark.createDataFrame([(c, s) for s, c in shares], "columna string, pct double")
+             .select("columna", F.bround("pct", 2).alias("pct"))} if null_share else \
+        {f"{table.name}_nulos": spark.createDataFrame([(c, rows - held[c]) for c in names], "columna string, nulos long")}
+    return {
+        f"{table.name}_forma": spark.createDataFrame([(table.name, rows, len(names))], "tabla string, filas long, columnas long"),
+        f"{table.name}_estructura": spark.createDataFrame(
+            [(i, f.name, f.dataType.simpleString(), held[f.name]) for i, f in enumerate(table.schema.fields)],
+            "orden long, columna string, tipo string, no_nulos long"),
+        f"{table.name}_filas_duplicadas": duplicate_count(table.narrow, _PRINT), **nulls}
+
+
+def _listing_metrics(raw: DataFrame, stage: Stage) -> dict[str, DataFrame]:
+    df = normalise_prices(raw, ["price"]).withColumnRenamed("price", "precio") if "price" in raw.columns else raw
+    numbers = present(df, ["precio", "minimum_nights", "availability_365"])
+    keys = present(df, ["host_id", "host_location", "room_type", "neighbourhood_cleansed", "host_is_superhost"])
+    groups = present(df, ["room_type", "neighbourhood_cleansed"]) if "precio" in numbers else []
+    correlated = present(df, CORRELATED_COLUMNS)
+    wanted = [*numbers, *keys, *correlated, *present(df, ["id", "name", "accommodates", "longitude", "latitude", "amenities"])]
+    parsed = {c: (money(F.col("price")) if not is_numeric(raw, "price") else F.col("price").cast("double"))
+              if c == "precio" else F.col(c) for c in dict.fromkeys(wanted)}
+    lists = {"amenity": raw_list(F.col("amenities"))} if "amenities" in wanted else {}
+    entries = [*[counted.number(c, F.col(c)) for c in numbers], *[counted.key(c, F.col(c)) for c in keys],
+               *[counted.number(f"precio por {c}", F.col("precio"), F.col(c)) for c in groups],
+               *[counted.number("largo", F.size(items)) for items in lists.values()]]
+    table = count_table(raw, "listings", parsed, entries, lists, {}, stage)
+    counts, narrow, rows = table.counts, table.narrow, table.rows
+    metrics = _general_metrics(table, raw.sparkSession, null_share=True)
+    if table.has("id"):
+        metrics["listings_id_duplicados"] = duplicate_count(narrow, ["id"])
+    if "precio" in numbers:
+        prices = counted.numbers(counts, "precio")
         metrics |= {
-            "precio": price_metrics(df, "precio"),
-            "precio_percentiles": percentile_list(df, "precio", PRICE_PROBS),
-            "precio_resumen": describe_numeric(df, ["precio"]),
-            "precio_atipicos": upper_outliers(df, "precio"),
-            "precio_umbrales": threshold_counts(df, "precio", {"mayor_1M": 1e6, "mayor_10M": 1e7}),
-            "precio_mayores": freq.largest(df, "precio", 5, "id").select(
-                *present(df, ["id", "name", "room_type", "accommodates", "precio"])),
-            "precio_histograma": equal_width_bins(df, log10_positive(F.col("precio")), 60),
-            "precio_caja": box_stats(df, "precio"),
+            "precio": counted.metrics_of_price(prices, rows),
+            "precio_percentiles": counted.quantiles(prices, PRICE_PROBS).select(F.inline(F.arrays_zip(
+                F.array(*[F.lit(p) for p in PRICE_PROBS]).alias("prob"), F.col("q").alias("valor")))).toDF("prob", "valor"),
+            "precio_resumen": counted.describe(counts, ["precio"]),
+            "precio_atipicos": counted.upper_outliers(prices, rows),
+            "precio_umbrales": prices.agg(*[counted.rows_where(F.col("v") > limit).alias(name) for name, limit in
+                                            (("mayor_1M", 1e6), ("mayor_10M", 1e7))]),
+            "precio_mayores": freq.largest(narrow, "precio", 5, "id").select(
+                *present(narrow, ["id", "name", "room_type", "accommodates", "precio"])),
+            "precio_histograma": counted.equal_width_bins(prices, log10_positive(F.col("v")), 60),
+            "precio_caja": counted.box_stats(prices),
         }
-    if {"precio", "longitude", "latitude"} <= has:
-        metrics["mapa_precio"] = between_quantiles(df, "precio", 0.01, 0.99).select(
-            "longitude", "latitude", log10_positive(F.col("precio")).alias("log10_precio"))
-    if "minimum_nights" in has:
-        metrics |= {"minimum_nights": night_modes(df),
-                    "minimum_nights_conteos": freq.value_counts(df, "minimum_nights"),
-                    "minimum_nights_resumen": describe_numeric(df, ["minimum_nights"])}
-    if "availability_365" in has:
-        column = F.col("availability_365")
-        metrics |= {"availability_intervalos": fixed_bins(df, "availability_365", AVAILABILITY_EDGES),
-                    "availability_histograma": equal_width_bins(df, column, 37)}
-    if "amenities" in has:
-        metrics |= {"amenities_top": amenity_frequency(df, raw=True),
-                    "amenities_listas": amenity_list_stats(df)}
-    if "host_id" in has:
-        metrics |= {"hosts": host_concentration(df),
-                    "hosts_top": host_sizes(df).orderBy(F.desc("alojamientos"), "host_id").limit(5)}
-    if "host_location" in has:
-        metrics |= {"host_location_top": freq.top_values(df, "host_location", 6),
-                    "texto_bogota": freq.text_matches(
-                        df, "host_location",
-                        {"bogota_sin_tilde": F.col("host_location") == "Bogota, Colombia"})}
-    if {"room_type", "precio"} <= has:
-        metrics |= {"room_type": freq.value_counts(df, "room_type"),
-                    "room_type_mediana": group_medians(df, "precio", "room_type"),
-                    "room_type_caja": box_stats(df, "precio", ["room_type"])}
-    if {"neighbourhood_cleansed", "precio"} <= has:
-        metrics["localidades"] = group_medians(df, "precio", "neighbourhood_cleansed", 50).orderBy(
+    if table.has("precio", "longitude", "latitude"):
+        metrics["mapa_precio"] = map_points(between_quantiles(narrow, "precio", 0.01, 0.99))
+    if "minimum_nights" in numbers:
+        nights = counted.numbers(counts, "minimum_nights")
+        kind = raw.schema["minimum_nights"].dataType
+        metrics |= {
+            "minimum_nights": nights.agg(*[counted.rows_where(F.col("v") == n).alias(f"noches_{n}") for n in (1, 2, 30)],
+                                         F.max("v").alias("max")),
+            "minimum_nights_conteos": nights.select(F.col("v").cast(kind).alias("minimum_nights"), "n"),
+            "minimum_nights_resumen": counted.describe(counts, ["minimum_nights"])}
+    if "availability_365" in numbers:
+        free = counted.numbers(counts, "availability_365")
+        metrics |= {"availability_intervalos": counted.fixed_bins(free, AVAILABILITY_EDGES),
+                    "availability_histograma": counted.equal_width_bins(free, F.col("v"), 37)}
+    if lists:
+        items, lengths = counted.keys(counts, "amenity"), counted.numbers(counts, "largo")
+        metrics |= {
+            "amenities_top": items.orderBy(F.desc("n"), "clave").limit(20).select(
+                F.col("clave").alias("amenity"), "n", (F.col("n") * 100 / F.lit(rows)).alias("pct")),
+            "amenities_listas": lengths.agg(F.max("v").cast("long").alias("maximo")).select(
+                counted.quantiles(lengths, [0.5]).select(F.col("q")[0]).scalar().alias("mediana"), "maximo",
+                items.agg(F.count(F.lit(1))).scalar().alias("distintas"))}
+    if "host_id" in keys:
+        hosts = counted.keys(counts, "host_id")
+        kind = raw.schema["host_id"].dataType
+        metrics |= {"hosts": counted.host_concentration(hosts, rows),
+                    "hosts_top": hosts.select(F.col("clave").cast(kind).alias("host_id"), F.col("n").alias("alojamientos"))
+                    .orderBy(F.desc("alojamientos"), "host_id").limit(5)}
+    if "host_location" in keys:
+        places = counted.keys(counts, "host_location")
+        metrics |= {"host_location_top": places.withColumnRenamed("clave", "host_location").orderBy(F.desc("n"), "host_location").limit(6),
+                    "texto_bogota": places.agg(counted.rows_where(F.col("clave") == "Bogota, Colombia").alias("bogota_sin_tilde"))}
+    if "room_type" in groups:
+        by_type = counted.numbers(counts, "precio por room_type").withColumnRenamed("clave", "room_type")
+        metrics |= {"room_type": counted.keys(counts, "room_type").withColumnRenamed("clave", "room_type"),
+                    "room_type_mediana": _medians(by_type, "room_type"),
+                    "room_type_caja": counted.box_stats(by_type, ["room_type"])}
+    if "neighbourhood_cleansed" in groups:
+        by_area = counted.numbers(counts, "precio por neighbourhood_cleansed").withColumnRenamed("clave", "neighbourhood_cleansed")
+        metrics["localidades"] = _medians(by_area, "neighbourhood_cleansed").where("n >= 50").orderBy(
             F.desc("n"), "neighbourhood_cleansed")
-    correlated = present(df, CORRELATED_COLUMNS)
     if len(correlated) > 1:
-        metrics["correlaciones"] = spearman_pairs(df, correlated)
-    described = [c for c in ("room_type", "neighbourhood_cleansed", "host_is_superhost") if c in has]
+        metrics["correlaciones"] = spearman_pairs(narrow, correlated)
+    described = [c for c in ("room_type", "neighbourhood_cleansed", "host_is_superhost") if c in keys]
     if described:
-        metrics["listings_texto"] = describe_text(df, described)
+        metrics["listings_texto"] = counted.describe_text(counts, described)
     return metrics
 
 
-def _review_metrics(df: DataFrame) -> dict[str, DataFrame]:
-    date = parse_date(F.col("date").cast("string"))
-    years = freq.per_year(df, date)
-    sized = df.withColumn("longitud", F.length("comments"))
-    broken_line = holds(F.col("comments"), "<br")
-    return {
-        "reviews_nulos": null_counts(df),
-        "reviews_id_duplicados": duplicate_count(df, ["id"]),
-        "reviews_resumen": describe_numeric(
-            sized, present(sized, ["listing_id", "reviewer_id", "longitud"])),
-        "reviews_distintos": freq.distinct_counts(df, present(df, ["listing_id", "reviewer_id"])),
-        "reviews_rango": freq.value_range(df, "date"),
+def _medians(values: DataFrame, by: str) -> DataFrame:
+    return counted.quantiles(values, [0.5], [by]).select(by, "n", F.col("q")[0].alias("mediana"))
+
+
+def _review_metrics(raw: DataFrame, stage: Stage) -> dict[str, DataFrame]:
+    broken = holds(F.col("comments"), "<br")
+    opening = F.substring(F.when(broken, F.col("comments")), 1, 200)
+    ids = present(raw, ["listing_id", "reviewer_id"])
+    year = F.year(parse_date(F.col("date").cast("string")))
+    table = count_table(
+        raw, "reviews", {c: F.col(c) for c in ["id", *ids]} | {"longitud": F.length("comments"), "anio": year},
+        [*[counted.number(c, F.col(c)) for c in [*ids, "longitud"]], *[counted.key(c, F.col(c)) for c in ids],
+         counted.key("anio", F.col("anio"))], {},
+        {"_desde": F.min("date"), "_hasta": F.max("date"), "_br": F.count_if(broken),
+         "_ejemplo": F.min_by(opening, F.when(broken, F.col("id")))}, stage)
+    spark, counts, held = raw.sparkSession, table.counts, table.held
+    years = counted.keys(counts, "anio").select(F.col("clave").cast("long").alias("anio"), "n").orderBy("anio")
+    distinct = spark.createDataFrame([(0,)], "cero int").select(
+        *[counted.keys(counts, c).agg(F.count(F.lit(1))).scalar().alias(c) for c in ids])
+    example = [(held["_ejemplo"],)] if held["_br"] else []
+    return _general_metrics(table, spark, null_share=False) | {
+        "reviews_id_duplicados": duplicate_count(table.narrow, ["id"]),
+        "reviews_resumen": counted.describe(counts, [*ids, "longitud"]),
+        "reviews_distintos": distinct,
+        "reviews_rango": spark.createDataFrame([(held["_desde"], held["_hasta"])], "desde string, hasta string"),
         "reviews_por_anio": years,
         "reviews_cambio_anual": freq.year_over_year(years),
-        "comentarios_br": freq.text_matches(df, "comments", {"comentarios_br": broken_line}),
-        "comentario_ejemplo": freq.first_match(df, broken_line, ["id"], "comments", 200),
+        "comentarios_br": spark.createDataFrame([(held["_br"],)], "comentarios_br long"),
+        "comentario_ejemplo": spark.createDataFrame(example, "muestra string"),
     }
 
 
-def _calendar_metrics(df: DataFrame) -> dict[str, DataFrame]:
-    month = year_month(parse_date(F.col("date")))
-    return {
-        "calendar_nulos": null_counts(df),
-        "calendar_clave_duplicados": duplicate_count(df, ["listing_id", "date"]),
-        "calendar_resumen": describe_numeric(df, present(df, ["minimum_nights", "maximum_nights"])),
-        "calendar_rango": freq.value_range(df, "date"),
-        "calendar_distintos": freq.distinct_counts(df, ["listing_id"]),
-        "calendar_dias_por_alojamiento": freq.group_size_range(df, "listing_id"),
-        "calendar_available": freq.value_shares(df, "available"),
-        "calendar_grupos_mes": freq.group_count(df, ["listing_id", month]),
-        "disponibilidad_mensual": freq.availability_rates(df, "mes").orderBy("mes"),
-        "disponibilidad_dia_semana": freq.availability_rates(df, "dia_semana").orderBy("dia_semana"),
-        "disponibilidad_global": freq.availability_rates(df, "total"),
+def _calendar_metrics(raw: DataFrame, stage: Stage) -> dict[str, DataFrame]:
+    limits = present(raw, ["minimum_nights", "maximum_nights"])
+    day, free = F.col("_dia"), F.col("_libre")
+    month = year_month(day)
+    table = count_table(
+        raw, "calendar", {c: F.col(c) for c in ["listing_id", "date", "available", *limits]} | {
+            "_dia": parse_date(F.col("date")), "_libre": certainly(F.col("available") == "t").cast("int")},
+        [*[counted.number(c, F.col(c)) for c in limits], counted.key("available", F.col("available")),
+         counted.key("listing_id", F.col("listing_id")),
+         counted.key("grupo", F.concat(F.col("listing_id").cast("string"), F.lit("|"), month)),
+         counted.number("mes", F.when(day.isNotNull(), free), month),
+         counted.number("dia_semana", F.when(day.isNotNull(), free), F.weekday(day)),
+         counted.number("total", free, F.lit("total"))], {},
+        {"_desde": F.min("date"), "_hasta": F.max("date")}, stage)
+    spark, counts, held = raw.sparkSession, table.counts, table.held
+    sizes = counted.keys(counts, "listing_id")
+    return _general_metrics(table, spark, null_share=False) | {
+        "calendar_clave_duplicados": duplicate_count(table.narrow, ["listing_id", "date"]),
+        "calendar_resumen": counted.describe(counts, limits),
+        "calendar_rango": spark.createDataFrame([(held["_desde"], held["_hasta"])], "desde string, hasta string"),
+        "calendar_distintos": sizes.agg(F.count(F.lit(1)).alias("listing_id")),
+        "calendar_dias_por_alojamiento": sizes.agg(F.min("n").alias("min"), F.max("n").alias("max")),
+        "calendar_available": counted.keys(counts, "available").select(
+            F.col("clave").alias("available"), (F.col("n") / F.lit(held["available"])).alias("proporcion")),
+        "calendar_grupos_mes": counted.keys(counts, "grupo").agg(F.count(F.lit(1)).alias("grupos")),
+        "disponibilidad_mensual": _dated(counted.rates(counts, "mes"), "mes", "string"),
+        "disponibilidad_dia_semana": _dated(counted.rates(counts, "dia_semana"), "dia_semana", "long"),
+        "disponibilidad_global": counted.rates(counts, "total").select("pct"),
     }
+
+
+def _dated(rates: DataFrame, name: str, kind: str) -> DataFrame:
+    return rates.where("clave IS NOT NULL").select(F.col("clave").cast(kind).alias(name), "pct").orderBy(name)

@@ -1,6 +1,6 @@
 """Guest reviews."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posada import audit as steps
@@ -8,9 +8,8 @@ from posada.audit import Audit
 from posada.functions.dates import date_parts, iso_text, parse_date
 from posada.functions.text import clean_text
 from posada.operators.dedup import keep_first
-from posada.operators.membership import orphan_keys, row_total
 
-_DATE, _BAD_DATE = "_fecha", "_fecha_invalida"
+DATE = "_fecha"
 
 
 def unique_reviews(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -22,37 +21,39 @@ def commented(reviews: DataFrame) -> DataFrame:
     return reviews.where(F.col("comments").isNotNull())
 
 
-def enrich(reviews: DataFrame) -> DataFrame:
+def dated(reviews: DataFrame) -> DataFrame:
+    """With the date as a date, so that a staged table has it parsed once."""
+    return reviews.withColumn(DATE, parse_date(F.col("date")))
+
+
+def enrich(dated_reviews: DataFrame) -> DataFrame:
     """Clean text, comment length, ISO date and calendar parts."""
-    clean = reviews.withColumns({"comments": clean_text(F.col("comments")),
-                                 "reviewer_name": clean_text(F.col("reviewer_name")),
-                                 _DATE: parse_date(F.col("date"))})
-    return clean.withColumns({
-        "longitud_comentario": F.length("comments").cast("long"),
-        _BAD_DATE: F.col("date").isNotNull() & F.col(_DATE).isNull(),
-    }).withColumns({"date": iso_text(F.col(_DATE)), **date_parts(F.col(_DATE))}).drop(_DATE)
+    return dated_reviews.withColumns({"comments": clean_text(F.col("comments")),
+                                      "reviewer_name": clean_text(F.col("reviewer_name"))}) \
+        .withColumns({"longitud_comentario": F.length("comments").cast("long"),
+                      "date": iso_text(F.col(DATE)), **date_parts(F.col(DATE))}).drop(DATE)
 
 
 def review_table(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    return enrich(commented(unique_reviews(raw, order_by))).drop(_BAD_DATE)
-
-
-def audit_reviews(audit: Audit, raw: DataFrame, reviews: DataFrame, unique_rows: int,
-                  listings: DataFrame | None = None) -> None:
-    """Steps and findings; `reviews` is the staged output of enrich()."""
-    before = raw.count()
-    counts = reviews.agg(F.count(F.lit(1)).alias("rows"), F.count_if(_BAD_DATE).alias("bad")).first()
-    rows = counts["rows"]
-    audit.step(steps.STEP_DEDUP, "reviews", before, unique_rows,
-               f"clave ['id'], {before - unique_rows} duplicados")
-    audit.step(steps.STEP_NO_COMMENT, "reviews", unique_rows, rows)
+    return enrich(dated(commented(unique_reviews(raw, order_by))))
+
+
+def unique_measures() -> dict[str, Column]:
+    """Aggregates for the audit over dated(unique_reviews), to be taken while it is written."""
+    bad = F.col("comments").isNotNull() & F.col("date").isNotNull() & F.col(DATE).isNull()
+    return {"filas": F.count(F.lit(1)), "con_comentario": F.count("comments"), "fecha_invalida": F.count_if(bad)}
+
+
+def audit_reviews(audit: Audit, raw_rows: int, seen: dict, orphans: int | None) -> None:
+    """Steps and findings: `seen` are the unique_measures, orphans the rows of unknown listings."""
+    unique, rows = seen["filas"], seen["con_comentario"]
+    audit.step(steps.STEP_DEDUP, "reviews", raw_rows, unique,
+               f"clave ['id'], {raw_rows - unique} duplicados")
+    audit.step(steps.STEP_NO_COMMENT, "reviews", unique, rows)
     audit.step(steps.STEP_DATES, "reviews", rows, rows, "columnas ['date']")
-    audit.step(steps.STEP_DATE_PARTS, "reviews", rows, rows,
-               "anio, mes, dia, trimestre, nombre_mes, dia_semana")
-    audit.finding("reviews", "duplicados", before - unique_rows)
-    audit.finding("reviews", "sin comentario", unique_rows - rows)
-    audit.finding("reviews", "fecha inválida", counts["bad"])
-    if listings is not None:
-        orphans = orphan_keys(reviews, "listing_id", listings, "id")
-        audit.finding("reviews", "alojamiento ausente",
-                      row_total(orphans, "n").first()["n"])
+    audit.step(steps.STEP_DATE_PARTS, "reviews", rows, rows, steps.DATE_PARTS)
+    audit.finding("reviews", "duplicados", raw_rows - unique)
+    audit.finding("reviews", "sin comentario", unique - rows)
+    audit.finding("reviews", "fecha inválida", seen["fecha_invalida"])
+    if orphans is not None:
+        audit.finding("reviews", "alojamiento ausente", orphans)

@@ -1,10 +1,13 @@
 """The complete run: read, clean, publish, verify, report."""
 
 import logging
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from posada.audit import Audit
+from posada.operators import frequencies as freq
+from posada.operators.membership import orphan_keys, row_total
 from posada.plans import calendar, listings, reviews
 from posada.sinks.tables import publish, read_tables, write_json
 from posada.sources.store import Store
@@ -15,39 +18,69 @@ log = logging.getLogger(__name__)
 INPUTS = ["listings", "reviews", "calendar"]
 
 
-def all_tables(raw: dict[str, DataFrame], stage: Stage,
-               order_by: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+@dataclass
+class Prepared:
+    """Output tables, not yet written, and what their staging has counted on the way."""
+
+    tables: dict[str, DataFrame]
+    seen: dict[str, dict]
+    listing_columns: list[str] = field(default_factory=list)
+
+
+def prepare_listings(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
+    """listings, hosts and listing_amenities."""
+    unique = listings.unique_listings(raw, order_by)
+    unique, held = stage.put_measured(unique, "listings_unique", listings.unique_measures(unique))
+    measured = listings.measured_listings(unique, stage, held)
+    clean, seen = stage.put_measured(measured, "listings_clean", listings.measures(measured),
+                                     listings.carried(measured))
+    return Prepared(listings.listing_tables(clean), {"listings_unique": held, "listings": seen}, clean.columns)
+
+
+def prepare_reviews(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
+    dated, seen = stage.put_measured(reviews.dated(reviews.unique_reviews(raw, order_by)), "reviews_unique",
+                                     reviews.unique_measures())
+    return Prepared({"reviews": reviews.enrich(reviews.commented(dated))}, {"reviews": seen})
+
+
+def prepare_calendar(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
+    """calendar, calendar_mensual and calendar_semanal."""
+    days, seen = stage.put_measured(calendar.clean_days(raw, order_by), "days", calendar.day_measures())
+    return Prepared(calendar.calendar_tables(days), {"calendar": seen})
+
+
+PREPARE = {"listings": prepare_listings, "reviews": prepare_reviews, "calendar": prepare_calendar}
+
+
+def prepare(raw: dict[str, DataFrame], stage: Stage,
+            order_by: dict[str, list[str]] | None = None) -> Prepared:
     """The seven output tables.
 
     Each raw table goes through one shuffle (duplicates by key); its result is staged and everything
-    else reads the columns it needs from there.
+    else reads the columns it needs from there. All counts for the audit are taken by the stages that
+    write, so that no table is read for them.
     """
-    order_by = order_by or {}
-    unique = stage.put(listings.unique_listings(raw["listings"], order_by.get("listings")),
-                       "listings_unique")
-    clean = stage.put(listings.clean_listings(unique), "listings_clean")
-    commented = reviews.enrich(reviews.commented(
-        stage.put(reviews.unique_reviews(raw["reviews"], order_by.get("reviews")),
-                  "reviews_unique")))
-    days = stage.put(calendar.clean_days(raw["calendar"], order_by.get("calendar")), "days")
-    return {**listings.listing_tables(clean), "reviews": commented.drop("_fecha_invalida"),
-            **calendar.calendar_tables(days)}
-
-
-def audit_tables(raw: dict[str, DataFrame], stage: Stage, published: dict[str, DataFrame],
-                 audit: Audit) -> None:
-    """Steps and findings, from the staged and the published tables."""
-    staged = {n: stage.spark.read.parquet(stage.path(n))
-              for n in ("listings_unique", "listings_clean", "reviews_unique", "days")}
-    listings.audit_listings(audit, raw["listings"], staged["listings_unique"],
-                            staged["listings_clean"], published["hosts"].count(),
-                            published["listing_amenities"])
-    enriched = reviews.enrich(reviews.commented(staged["reviews_unique"]))
-    reviews.audit_reviews(audit, raw["reviews"], enriched, staged["reviews_unique"].count(),
-                          published["listings"])
-    calendar.audit_calendar(audit, raw["calendar"], staged["days"],
-                            published["calendar_mensual"].count(),
-                            published["calendar_semanal"].count())
+    parts = [PREPARE[name](raw[name], stage, (order_by or {}).get(name)) for name in INPUTS]
+    return Prepared({n: df for part in parts for n, df in part.tables.items()},
+                    {n: counts for part in parts for n, counts in part.seen.items()}, parts[0].listing_columns)
+
+
+def all_tables(raw: dict[str, DataFrame], stage: Stage,
+               order_by: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    return prepare(raw, stage, order_by).tables
+
+
+def audit_tables(raw: dict[str, DataFrame], prepared: Prepared, published: dict[str, DataFrame],
+                 written: dict[str, int], audit: Audit) -> None:
+    """Steps and findings once the tables are written; raw rows come from file footers."""
+    rows = {name: df.count() for name, df in raw.items()}
+    kinds = freq.distinct_counts(published["listing_amenities"], ["amenity"]).first()["amenity"]
+    orphans = orphan_keys(published["reviews"], "listing_id", published["listings"], "id")
+    listings.audit_listings(audit, rows["listings"], prepared.seen["listings_unique"], prepared.listing_columns,
+                            prepared.seen["listings"], written["hosts"], written["listing_amenities"], kinds)
+    reviews.audit_reviews(audit, rows["reviews"], prepared.seen["reviews"], row_total(orphans, "n").first()["n"])
+    calendar.audit_calendar(audit, rows["calendar"], prepared.seen["calendar"],
+                            written["calendar_mensual"], written["calendar_semanal"])
 
 
 def run(spark: SparkSession, source_root: str, target_root: str,
@@ -64,13 +97,14 @@ def run(spark: SparkSession, source_root: str, target_root: str,
                 record["rows"] = sum(store.counts(INPUTS).values())
             phase = "transformación"
             with audit.timed(phase):
-                tables = all_tables(raw, stage, order_by)
+                prepared = prepare(raw, stage, order_by)
             phase = "carga"
             with audit.timed(phase):
-                report = publish(spark, tables, target_root, extract_root, audit)
+                report = publish(spark, prepared.tables, target_root, extract_root, audit)
             phase = "auditoría"
             with audit.timed(phase):
-                audit_tables(raw, stage, read_tables(spark, target_root, list(tables)), audit)
+                written = {r["tabla"]: r["esperado"] for r in report.collect()}
+                audit_tables(raw, prepared, read_tables(spark, target_root, prepared.tables), written, audit)
         if report_root:
             root = report_root.rstrip("/")
             write_json(audit.step_table(spark), f"{root}/resumen_transformaciones")
