@@ -2,9 +2,14 @@
 
 from itertools import combinations
 
-from posada.fixed_values import AVAILABILITY_EDGES, MONTH_NAMES, WEEKDAY_NAMES
 from workload.views import sql
 
+# The labels and edges that the tables must carry, stated here anew so that the SQL does not lean on the library.
+MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre", "Octubre",
+               "Noviembre", "Diciembre"]
+WEEKDAY_NAMES = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
+AVAILABILITY_EDGES = [-1, 0, 90, 180, 270, 364, 365]
+
 ORACLES: dict[str, str] = {}
 
 MONEY = "try_cast(replace(replace(price, '$', ''), ',', '') AS DOUBLE)"
@@ -101,6 +106,8 @@ oracle("dup_key_count", """
 SELECT cast(sum(n - 1) AS BIGINT) AS duplicados FROM (
   SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""", views="")
 oracle("dup_row_count", """
+SELECT (SELECT count(*) FROM C) - (SELECT count(*) FROM (SELECT DISTINCT * FROM C)) AS duplicados""", views="C")
+oracle("dup_day_count", """
 SELECT (SELECT count(*) FROM C) - (SELECT count(*) FROM (SELECT DISTINCT listing_id, date, available,
   minimum_nights, maximum_nights FROM C)) AS duplicados""", views="C")
 
@@ -187,6 +194,11 @@ oracle("reviews_per_month_fill",
 # ---------------------------------------------------------------- dates
 SCRAPED = date_of("last_scraped")
 oracle("dates_standardize", f"SELECT id, {iso(SCRAPED)} AS last_scraped FROM L")
+# The date itself, not what a parser makes of its text; day and month are ambiguous up to the twelfth.
+oracle("dates_all_forms", """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 9 THEN strftime(o_orderdate, '%Y-01-01')
+  WHEN o_orderkey % 11 = 10 AND day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%Y-%d-%m')
+  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS fecha FROM orders""", views="")
 oracle("date_parts", f"""
 SELECT id, {iso('f')} AS fecha, {parts('f')}, isoyear(f) AS anio_iso, week(f) AS semana_iso
 FROM (SELECT id, {SCRAPED} AS f FROM L)""")
@@ -237,10 +249,9 @@ oracle("null_counts", "\nUNION ALL ".join(
     for c in ("listing_id", "id", "reviewer_name", "reviewer_id", "date", "comments")), views="R")
 oracle("null_cells", "SELECT cast(sum(" + " + ".join(
     f"({c} IS NULL)::INT" for c in L_COLUMNS) + ") AS BIGINT) AS celdas_nulas FROM L")
-oracle("drop_empty_columns", "SELECT * EXCLUDE (picture_url, host_thumbnail_url, price_raw, "
-       "reviews_per_month) FROM L")
+oracle("drop_empty_columns", "SELECT * EXCLUDE (picture_url, host_thumbnail_url) FROM L")
 oracle("select_by_prefix", "SELECT id, host_id, host_name, host_segment, host_location, "
-       "host_is_superhost FROM L")
+       "host_is_superhost, host_thumbnail_url FROM L")
 
 # ---------------------------------------------------------------- nested cells
 RAW_ITEMS = ("coalesce(CASE WHEN json_valid(amenities) THEN from_json(amenities, '[\"VARCHAR\"]') END, "
@@ -272,9 +283,10 @@ SELECT id, concat('{"id":', id, CASE WHEN room_type IS NOT NULL THEN concat(',"r
 
 # ---------------------------------------------------------------- hosts
 FIRST = "row_number() OVER (PARTITION BY host_id ORDER BY id) = 1"
-oracle("hosts_dimension", "SELECT host_id, host_name, host_segment, host_location, host_is_superhost "
-       f"FROM L QUALIFY {FIRST}")
-oracle("listings_without_hosts", "SELECT id, host_id, room_type, price, availability_365 FROM L")
+oracle("hosts_dimension", "SELECT host_id, host_name, host_segment, host_location, host_is_superhost, "
+       f"host_thumbnail_url FROM L QUALIFY {FIRST}")
+oracle("listings_without_hosts", "SELECT * EXCLUDE (host_name, host_segment, host_location, host_is_superhost, "
+       "host_thumbnail_url) FROM L")
 oracle("host_concentration", """
 SELECT count(*) AS distintos, count(*) FILTER (n = 1) AS con_uno,
   cast(coalesce(sum(n) FILTER (n >= 10), 0) AS BIGINT) AS alojamientos_grandes,
@@ -509,3 +521,121 @@ UNION ALL SELECT 'reviews', count(*), 13 FROM R WHERE comments IS NOT NULL
 UNION ALL SELECT 'calendar', count(*), 15 FROM D
 UNION ALL SELECT 'calendar_mensual', count(*), 8 FROM ({MONTHLY})
 UNION ALL SELECT 'calendar_semanal', count(*), 7 FROM ({WEEKLY})""", DAYS, views="LACR")
+oracle("run_contents", f"SELECT *, true AS igual FROM ({ORACLES['run_all_tables']})", views="")
+for _name, _same in (("listings", "listings_full"), ("hosts", "listings_hosts"), ("reviews", "reviews_clean"),
+                     ("calendar", "calendar_daily"), ("calendar_mensual", "calendar_monthly"),
+                     ("calendar_semanal", "calendar_weekly")):
+    ORACLES[f"run_{_name}"] = ORACLES[_same]
+oracle("run_listing_amenities", f"""
+SELECT DISTINCT id AS listing_id, unnest({ITEMS}) AS amenity FROM A WHERE id IN (SELECT id FROM L)""", views="LA")
+ORACLES["calendar_updated"] = ORACLES["calendar_monthly"]
+oracle("calendar_one_month", f"SELECT * FROM ({ORACLES['calendar_daily']}) WHERE anio = 1996 AND mes = 5", views="")
+oracle("union_widened", """
+SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'k' ELSE '' END || l_orderkey::VARCHAR AS l_orderkey, l_linenumber,
+  CASE WHEN l_linenumber % 2 = 0 THEN trunc(l_quantity) ELSE l_quantity END AS l_quantity FROM lineitem""", views="")
+oracle("quantiles_approximate", """
+SELECT l_returnflag, count(*) AS n, true AS dentro_p10, true AS dentro_p50, true AS dentro_p90
+FROM lineitem GROUP BY 1""", views="")
+oracle("map_points", """
+SELECT longitude, latitude, round(log10(precio), 8) AS log10_precio FROM M
+WHERE precio BETWEEN (SELECT quantile_cont(precio, 0.01) FROM M) AND (SELECT quantile_cont(precio, 0.99) FROM M)""",
+       views="M")
+
+# ---------------------------------------------------------------- audit of listings and reviews
+_CELLS_LEFT = ["room_type", "price", "price_raw", "bathrooms_text", "last_scraped", "amenities",
+               "cotizacion_moneda", "cotizacion_disponible", "cotizacion_descuento", "cotizacion_noches"]
+_CELLS_FILLED = ["bedrooms", "bathrooms", "minimum_nights", "reviews_per_month", "license", "has_availability",
+                 "description", "host_location"]
+_LISTED = (f"T AS (SELECT id, host_id, host_location, room_type, {MONEY} AS price, price_raw, bedrooms, {BATHS} AS bathrooms, "
+           f"bathrooms_text, minimum_nights, reviews_per_month, license, {_tf('has_availability')} AS has_availability, "
+           f"description, {SCRAPED} AS last_scraped, last_scraped AS scraped_text, amenities, {QUOTE_FIELDS} "
+           "FROM L LEFT JOIN A USING (id) LEFT JOIN Q USING (id))")
+
+
+def _nulls(columns: list[str]) -> str:
+    return "(SELECT " + " + ".join(f"count(*) - count({c})" for c in columns) + " FROM T)"
+
+
+_LISTED_COUNTS = (f"N AS (SELECT (SELECT count(*) FROM T) AS filas, {_nulls(_CELLS_LEFT + _CELLS_FILLED)} AS antes, "
+                  f"{_nulls(_CELLS_LEFT)} AS despues, (SELECT count(DISTINCT host_id) FROM T) AS hosts, "
+                  f"(SELECT count(*) FROM P) AS pares, (SELECT count(DISTINCT amenity) FROM P) AS tipos)")
+_PAIRS = f"P AS (SELECT DISTINCT id AS listing_id, unnest({ITEMS}) AS amenity FROM T)"
+oracle("step_audit_listings", """
+SELECT 1::BIGINT AS orden, 'Eliminación de duplicados' AS paso, 'listings' AS tabla, filas AS filas_antes,
+  filas AS filas_despues, 'clave [''id''], 0 duplicados' AS detalle FROM N
+UNION ALL SELECT 2, 'Eliminación de columnas vacías/sin valor', 'listings', filas, filas,
+  '2 columnas: [''picture_url'', ''host_thumbnail_url'']' FROM N
+UNION ALL SELECT 3, 'Normalización de precios', 'listings', filas, filas, 'texto a número' FROM N
+UNION ALL SELECT 4, 'Desanidado de price_quote_raw', 'listings', filas, filas,
+  'moneda, disponibilidad, descuento y noches' FROM N
+UNION ALL SELECT 5, 'Estandarización de fechas a YYYY-MM-DD', 'listings', filas, filas,
+  'columnas [''last_scraped'']' FROM N
+UNION ALL SELECT 6, 'Tratamiento de nulos', 'listings', filas, filas,
+  concat('celdas nulas ', antes, ' -> ', despues) FROM N
+UNION ALL SELECT 7, 'Estandarización de texto', 'listings', filas, filas,
+  'espacios, etiquetas y formato título' FROM N
+UNION ALL SELECT 8, 'Categorización de precios y marcas de atípicos', 'listings', filas, filas,
+  'categoría de precio y marcas' FROM N
+UNION ALL SELECT 9, 'Desanidado de amenities', 'listing_amenities', filas, pares,
+  concat(tipos, ' amenities distintas') FROM N
+UNION ALL SELECT 10, 'Extracción de dimensión hosts', 'hosts', filas, hosts, '4 columnas de anfitrión' FROM N""",
+       _LISTED, _PAIRS, _LISTED_COUNTS, views="LAQ")
+oracle("dq_listings", "\nUNION ALL ".join(
+    f"SELECT 'listings' AS tabla, '{rule}' AS regla, {n} AS n FROM T" for rule, n in (
+        ("duplicados", "0::BIGINT"), ("columnas vacías", "1::BIGINT"), ("imputados en bedrooms", "count(*) - count(bedrooms)"),
+        ("imputados en bathrooms", "count(*) - count(bathrooms)"),
+        ("imputados en minimum_nights", "count(*) - count(minimum_nights)"),
+        ("disponibilidad deducida", "count(*) - count(has_availability)"), ("sin precio", "count(*) - count(price)"),
+        ("amenities ilegibles", f"count(*) FILTER (amenities IS NOT NULL AND len({ITEMS}) = 0 AND amenities <> '[]')"),
+        ("fecha inválida", "count(*) FILTER (scraped_text IS NOT NULL AND last_scraped IS NULL)"))).replace(
+    "0::BIGINT AS n FROM T", "0::BIGINT AS n").replace("1::BIGINT AS n FROM T", "1::BIGINT AS n"), _LISTED, views="LAQ")
+_REVIEWED = (f"T AS (SELECT *, {date_of('date')} AS f FROM R)",
+             "N AS (SELECT count(*) AS unicas, count(comments) AS filas, count(*) + count(*) FILTER (id % 11 = 0) AS antes FROM T)")
+oracle("step_audit_reviews", """
+SELECT 1::BIGINT AS orden, 'Eliminación de duplicados' AS paso, 'reviews' AS tabla, antes AS filas_antes,
+  unicas AS filas_despues, concat('clave [''id''], ', antes - unicas, ' duplicados') AS detalle FROM N
+UNION ALL SELECT 2, 'Eliminación de reseñas sin comentario', 'reviews', unicas, filas, '' FROM N
+UNION ALL SELECT 3, 'Estandarización de fechas a YYYY-MM-DD', 'reviews', filas, filas, 'columnas [''date'']' FROM N
+UNION ALL SELECT 4, 'Variables de fecha derivadas', 'reviews', filas, filas,
+  'anio, mes, dia, trimestre, nombre_mes, dia_semana' FROM N""", *_REVIEWED, views="R")
+oracle("dq_reviews", """
+SELECT 'reviews' AS tabla, 'duplicados' AS regla, antes - unicas AS n FROM N
+UNION ALL SELECT 'reviews', 'sin comentario', unicas - filas FROM N
+UNION ALL SELECT 'reviews', 'fecha inválida', count(*) FROM T WHERE comments IS NOT NULL AND f IS NULL
+UNION ALL SELECT 'reviews', 'alojamiento ausente', count(*) FROM T
+  WHERE comments IS NOT NULL AND listing_id % 7 = 0""", *_REVIEWED, views="R")
+
+# ---------------------------------------------------------------- profile
+def _fields(name: str, columns: list[str], record: str) -> str:
+    """A one-row record as metrica, campo, valor."""
+    return "\nUNION ALL ".join(f"SELECT '{name}' AS metrica, '{c}' AS campo, round(\"{c}\"::DOUBLE, 4) AS valor FROM ({record})"
+                               for c in columns)
+
+
+oracle("profile_listings", "\nUNION ALL ".join([
+    _fields("precio", ["mediana", "media", "q1", "q3", "p99", "max", "limite_iqr", "atipicos_iqr", "mayor_10M", "sin_precio"],
+            ORACLES["price_metrics"]),
+    _fields("minimum_nights", ["noches_1", "noches_2", "noches_30", "max"], ORACLES["min_nights_modes"]),
+    _fields("hosts", ["distintos", "con_uno", "alojamientos_grandes", "max_alojamientos", "proporcion_con_uno",
+                      "proporcion_grandes"], ORACLES["host_concentration"]),
+    _fields("amenities_listas", ["mediana", "maximo", "distintas"],
+            f"""SELECT median(len(i))::DOUBLE AS mediana, max(len(i)) AS maximo,
+              (SELECT count(DISTINCT x) FROM (SELECT unnest({RAW_ITEMS}) AS x FROM W)) AS distintas
+            FROM (SELECT {RAW_ITEMS} AS i FROM W)"""),
+    _fields("listings_id_duplicados", ["duplicados"], "SELECT 0 AS duplicados"),
+    _fields("precio_umbrales", ["mayor_1M", "mayor_10M"],
+            "SELECT count(*) FILTER (precio > 1e6) AS \"mayor_1M\", count(*) FILTER (precio > 1e7) AS \"mayor_10M\" FROM P")]),
+       PRICED, "W AS (SELECT id, amenities FROM L LEFT JOIN A USING (id))", views="LA")
+oracle("profile_listing_groups", "\nUNION ALL ".join(
+    f"SELECT {c} AS grupo, count(precio) AS n, round(median(precio), 4) AS mediana FROM P WHERE {c} IS NOT NULL "
+    f"GROUP BY 1 HAVING count(precio) >= {least}" for c, least in (("room_type", 1), ("neighbourhood_cleansed", 50))), PRICED)
+oracle("profile_reviews", "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS columna, count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std,
+  min(x)::DOUBLE AS min, max(x)::DOUBLE AS max, round(quantile_cont(x, 0.25), 4) AS p25, round(quantile_cont(x, 0.5), 4) AS p50,
+  round(quantile_cont(x, 0.75), 4) AS p75 FROM (SELECT {x}::DOUBLE AS x FROM R)"""
+    for name, x in (("listing_id", "listing_id"), ("reviewer_id", "reviewer_id"), ("longitud", "length(comments)"))), views="R")
+_FREE = "round(100 * avg((available = 't')::INT), 6) AS pct"
+oracle("profile_calendar", f"""
+SELECT 'mes' AS por, strftime(f, '%Y-%m') AS valor, {_FREE} FROM T WHERE f IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'dia_semana', (isodow(f) - 1)::VARCHAR, {_FREE} FROM T WHERE f IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'total', NULL, {_FREE} FROM T""", f"T AS (SELECT *, {date_of('date')} AS f FROM C)", views="C")

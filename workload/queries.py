@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posada.audit import Audit, step_report, verification_report
-from posada.fixed_values import AVAILABILITY_EDGES, HOST_PREFIXES, SHEET_MAX_CHARS
+from posada.fixed_values import (AVAILABILITY_EDGES, HOST_PREFIXES, LOOKUP_COLUMNS, PARTITION_COLUMNS,
+                                 SHEET_MAX_CHARS)
 from posada.functions import dates, documents, flags, numbers, text
 from posada.operators import frequencies as freq
-from posada.operators import nested
+from posada.operators import nested, sketches
 from posada.operators.columns import by_prefix, drop_empty_columns
 from posada.operators.correlation import spearman_pairs
 from posada.operators.dedup import duplicate_count, keep_first
 from posada.operators.histograms import equal_width_bins, fixed_bins
 from posada.operators.hosts import host_concentration, host_sizes, split_hosts
 from posada.operators.impute import impute_group_median
-from posada.operators.membership import matched_keys, orphan_keys
+from posada.operators.membership import matched_keys, orphan_keys, row_total
 from posada.operators.nulls import null_cells, null_counts, null_percentages, shape, structure
 from posada.operators.outliers import (between_quantiles, box_stats, iqr_outlier, threshold_counts,
                                        upper_outliers)
@@ -24,8 +25,10 @@ from posada.operators.quantiles import exact_quantiles
 from posada.operators.summaries import (describe_numeric, describe_text, group_medians,
                                         percentile_list, price_metrics)
 from posada.plans import calendar, listings, profile, reviews
-from posada.plans.run import all_tables
-from posada.sinks.tables import export_extracts, publish, truncate_texts, truncation_counts
+from posada.plans.run import PREPARE, all_tables
+from posada.plans.calendar_update import update_calendar
+from posada.sinks.tables import (export_extracts, publish, read_table, read_tables, truncate_texts, truncation_counts,
+                                 verify_contents, write_table, write_tables)
 from posada.sources.landing import land
 from posada.sources.runlog import log_excerpt, parse_log
 from posada.sources.store import Store, scan, union_batches
@@ -118,7 +121,12 @@ def dup_key_count(spark, sf_dir):
 
 @query
 def dup_row_count(spark, sf_dir):
-    # Whole calendar rows, without the line columns that only serve as an order.
+    return duplicate_count(view(spark, sf_dir, "C"))
+
+
+@query
+def dup_day_count(spark, sf_dir):
+    """Days that repeat in everything but the columns that only serve as an order."""
     return duplicate_count(view(spark, sf_dir, "C").select(
         "listing_id", "date", "available", "minimum_nights", "maximum_nights"))
 
@@ -270,6 +278,12 @@ def dates_standardize(spark, sf_dir):
     return listings.standardise_dates(view(spark, sf_dir, "L")).select("id", "last_scraped")
 
 
+@query
+def dates_all_forms(spark, sf_dir):
+    """Every accepted way to write a date."""
+    return view(spark, sf_dir, "V").select("id", dates.iso_text(dates.parse_date(F.col("escrita"))).alias("fecha"))
+
+
 @query
 def date_parts(spark, sf_dir):
     date = dates.parse_date(F.col("last_scraped"))
@@ -297,7 +311,7 @@ def quote_nights(spark, sf_dir):
 def impute_median_by_group(spark, sf_dir):
     columns = ["bedrooms", "bathrooms", "minimum_nights"]
     df = view(spark, sf_dir, "L").select("id", "room_type", *columns)
-    return impute_group_median(df, columns, "room_type")
+    return impute_group_median(df, columns, "room_type", Stage(spark))
 
 
 @query
@@ -317,15 +331,13 @@ def null_cells_(spark, sf_dir):
 
 @query
 def drop_empty_columns_(spark, sf_dir):
-    return drop_empty_columns(view(spark, sf_dir, "L"), ["picture_url"]).select(
-        "*").drop("price_raw", "reviews_per_month")
+    return drop_empty_columns(view(spark, sf_dir, "L"), ["picture_url"])
 
 
 @query
 def select_by_prefix(spark, sf_dir):
     df = view(spark, sf_dir, "L")
-    return df.select("id", "host_id", *by_prefix(df, HOST_PREFIXES, excluded=("host_id",))).drop(
-        "host_thumbnail_url")
+    return df.select("id", "host_id", *by_prefix(df, HOST_PREFIXES, excluded=("host_id",)))
 
 
 # ---------------------------------------------------------------- nested cells
@@ -383,13 +395,12 @@ def documents_json(spark, sf_dir):
 
 @query
 def hosts_dimension(spark, sf_dir):
-    return split_hosts(view(spark, sf_dir, "L").drop("host_thumbnail_url"))[1]
+    return split_hosts(view(spark, sf_dir, "L"))[1]
 
 
 @query
 def listings_without_hosts(spark, sf_dir):
-    kept = split_hosts(view(spark, sf_dir, "L"))[0]
-    return kept.select("id", "host_id", "room_type", "price", "availability_365")
+    return split_hosts(view(spark, sf_dir, "L"))[0]
 
 
 @query
@@ -533,7 +544,7 @@ def box_stats_overall(spark, sf_dir):
 def box_stats_by_group(spark, sf_dir):
     df = priced(spark, sf_dir).select("room_type",
                                       (F.col("precio") * F.col("precio") / 1e5).alias("precio"))
-    return rounded(box_stats(df, "precio", ["room_type"]),
+    return rounded(box_stats(df, "precio", ["room_type"], stage=Stage(spark)),
                    ["q1", "mediana", "q3", "bigote_inferior", "bigote_superior"], 3)
 
 
@@ -681,24 +692,67 @@ def table_shapes(spark, sf_dir):
     return union_batches(shapes)
 
 
+def calendar_audit(spark, sf_dir):
+    raw, audit = view(spark, sf_dir, "C"), Audit()
+    days, seen = Stage(spark).put_measured(calendar.clean_days(raw, CALENDAR_ORDER), "days", calendar.day_measures())
+    calendar.audit_calendar(audit, raw.count(), seen, calendar.monthly(days).count(), calendar.weekly(days).count())
+    return audit
+
+
+def listings_audit(spark, sf_dir):
+    raw, audit = full_listings(spark, sf_dir), Audit()
+    stage = Stage(spark)
+    unique = listings.unique_listings(raw)
+    unique, held = stage.put_measured(unique, "unique", listings.unique_measures(unique))
+    measured = listings.measured_listings(unique, stage, held)
+    clean, seen = stage.put_measured(measured, "clean", listings.measures(measured), listings.carried(measured))
+    tables = listings.listing_tables(clean)
+    pairs = tables["listing_amenities"]
+    listings.audit_listings(audit, raw.count(), held, clean.columns, seen, tables["hosts"].count(), pairs.count(),
+                            freq.distinct_counts(pairs, ["amenity"]).first()[0])
+    return audit
+
+
+def reviews_audit(spark, sf_dir):
+    """Reviews, some of them twice, of listings of which every seventh is unknown."""
+    raw, audit = view(spark, sf_dir, "R"), Audit()
+    raw = raw.unionByName(raw.where("id % 11 = 0"))
+    unique, seen = Stage(spark).put_measured(reviews.dated(reviews.unique_reviews(raw)), "unique", reviews.unique_measures())
+    table_ = reviews.enrich(reviews.commented(unique))
+    known = raw.where("listing_id % 7 > 0").select(F.col("listing_id").alias("id"))
+    orphans = row_total(orphan_keys(table_, "listing_id", known, "id"), "n").first()["n"]
+    reviews.audit_reviews(audit, raw.count(), seen, orphans)
+    return audit
+
+
 @query
 def step_audit(spark, sf_dir):
-    audit = Audit()
-    raw = view(spark, sf_dir, "C")
-    staged = Stage(spark).put(calendar.clean_days(raw, CALENDAR_ORDER), "days")
-    calendar.audit_calendar(audit, raw, staged, calendar.monthly(staged).count(),
-                            calendar.weekly(staged).count())
-    return audit.step_table(spark)
+    return calendar_audit(spark, sf_dir).step_table(spark)
+
+
+@query
+def step_audit_listings(spark, sf_dir):
+    return listings_audit(spark, sf_dir).step_table(spark)
+
+
+@query
+def step_audit_reviews(spark, sf_dir):
+    return reviews_audit(spark, sf_dir).step_table(spark)
+
+
+@query
+def dq_listings(spark, sf_dir):
+    return listings_audit(spark, sf_dir).finding_table(spark)
+
+
+@query
+def dq_reviews(spark, sf_dir):
+    return reviews_audit(spark, sf_dir).finding_table(spark)
 
 
 @query
 def step_report_(spark, sf_dir):
-    audit = Audit()
-    raw = view(spark, sf_dir, "C")
-    staged = Stage(spark).put(calendar.clean_days(raw, CALENDAR_ORDER), "days")
-    calendar.audit_calendar(audit, raw, staged, calendar.monthly(staged).count(),
-                            calendar.weekly(staged).count())
-    return step_report(audit.step_table(spark))
+    return step_report(calendar_audit(spark, sf_dir).step_table(spark))
 
 
 @query
@@ -729,7 +783,7 @@ def log_excerpt_(spark, sf_dir):
 def listings_full(spark, sf_dir):
     stage = Stage(spark)
     unique = stage.put(listings.unique_listings(full_listings(spark, sf_dir)), "unique")
-    tables = listings.listing_tables(listings.clean_listings(unique))
+    tables = listings.listing_tables(listings.clean_listings(unique, stage))
     return rounded(tables["listings"], ["reviews_per_month"])
 
 
@@ -737,12 +791,148 @@ def listings_full(spark, sf_dir):
 def listings_hosts(spark, sf_dir):
     stage = Stage(spark)
     unique = stage.put(listings.unique_listings(full_listings(spark, sf_dir)), "unique")
-    return listings.listing_tables(listings.clean_listings(unique))["hosts"]
+    return listings.host_table(unique)
 
 
-@query
-def run_all_tables(spark, sf_dir):
+def written_tables(spark, sf_dir):
+    """The seven tables as a run writes them, with the digests of their content, and their folder."""
     raw = {"listings": full_listings(spark, sf_dir), "reviews": view(spark, sf_dir, "R"),
            "calendar": view(spark, sf_dir, "C")}
-    tables = all_tables(raw, Stage(spark), {"calendar": CALENDAR_ORDER})
-    return union_batches([shape(df, name) for name, df in tables.items()])
+    stage = Stage(spark)
+    tables = all_tables(raw, stage, {"calendar": CALENDAR_ORDER})
+    return tables, write_tables(tables, stage.path("out")), stage.path("out")
+
+
+@query
+def run_all_tables(spark, sf_dir):
+    tables, _, root = written_tables(spark, sf_dir)
+    return union_batches([shape(df, name) for name, df in read_tables(spark, root, tables).items()])
+
+
+@query
+def run_contents(spark, sf_dir):
+    """Whether what is read back is what was written, cell by cell, and how many rows that are."""
+    tables, written, root = written_tables(spark, sf_dir)
+    rows = union_batches([shape(df, name) for name, df in read_tables(spark, root, tables).items()])
+    return verify_contents(spark, written, root).select("tabla", "igual").join(rows, "tabla")
+
+
+def stored(source, name, *decimals):
+    """Content of one table, read back from where a run has written it."""
+    def run(spark, sf_dir):
+        stage = Stage(spark)
+        raw = full_listings(spark, sf_dir) if source == "listings" else view(spark, sf_dir, source[0].upper())
+        made = PREPARE[source](raw, stage, CALENDAR_ORDER if source == "calendar" else None).tables[name]
+        write_tables({name: made}, stage.path("out"))
+        return rounded(read_table(spark, stage.path(f"out/{name}"), made.schema), list(decimals))
+    run.__name__ = f"run_{name}"
+    return query(run)
+
+
+stored("listings", "listings", "reviews_per_month")
+stored("listings", "hosts")
+stored("listings", "listing_amenities")
+stored("reviews", "reviews")
+stored("calendar", "calendar")
+stored("calendar", "calendar_mensual", "minimo_noches_promedio", "tasa_no_disponible")
+stored("calendar", "calendar_semanal", "pct_disponible")
+
+
+@query
+def calendar_updated(spark, sf_dir):
+    """The monthly table after a second batch with days of some months of the first."""
+    stage = Stage(spark)
+    raw = view(spark, sf_dir, "C")
+    late = F.coalesce((F.col("l_orderkey") % 3 == 0) & F.col("date").rlike("^1996.0[56]"), F.lit(False))
+    for batch in (raw.where(~late), raw.where(late)):
+        update_calendar(spark, batch, stage.path("out"), stage.path("raw"), CALENDAR_ORDER)
+    schema = calendar.monthly(calendar.clean_days(raw, CALENDAR_ORDER)).schema
+    return rounded(read_table(spark, stage.path("out/calendar_mensual"), schema),
+                   ["minimo_noches_promedio", "tasa_no_disponible"])
+
+
+@query
+def calendar_one_month(spark, sf_dir):
+    """One month of the written daily table: only its folder is read."""
+    stage = Stage(spark)
+    days_ = days(spark, sf_dir)
+    daily = calendar.daily(days_)
+    write_table(daily, stage.path("calendar"), LOOKUP_COLUMNS["calendar"], PARTITION_COLUMNS["calendar"])
+    return read_table(spark, stage.path("calendar"), daily.schema).where("anio = 1996 AND mes = 5")
+
+
+@query
+def union_widened(spark, sf_dir):
+    """Batches in which a column has different types: keys as text and number, quantities whole and real."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    whole = lines.where("l_linenumber % 2 = 0").withColumns({
+        "l_quantity": F.col("l_quantity").cast("long"), "l_linenumber": F.col("l_linenumber").cast("short")})
+    text_ = lines.where("l_linenumber % 2 = 1").withColumn("l_orderkey", F.concat(F.lit("k"), F.col("l_orderkey").cast("string")))
+    return union_batches([whole, text_])
+
+
+@query
+def quantiles_approximate(spark, sf_dir):
+    """Quantiles from merged sketches: whether their rank lies within the stated error of the one asked for."""
+    probs = [0.1, 0.5, 0.9]
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("double").alias("v"))
+    fine = sketches.quantile_sketches(lines, ["v"], ["l_returnflag", "l_linestatus"])
+    found = sketches.sketch_quantiles(sketches.merge_sketches(fine, ["l_returnflag"]), probs)
+    near = [F.count_if(F.col("v") <= F.col("q")[i]) / F.count(F.lit(1)) for i in range(len(probs))]
+    below = [F.count_if(F.col("v") < F.col("q")[i]) / F.count(F.lit(1)) for i in range(len(probs))]
+    slack = 2 * sketches.RANK_ERROR
+    return lines.join(F.broadcast(found.select("l_returnflag", "q")), "l_returnflag").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), *[((low - slack <= p) & (high + slack >= p)).alias(f"dentro_p{p * 100:g}")
+                                        for p, low, high in zip(probs, below, near)])
+
+
+@query
+def map_points(spark, sf_dir):
+    """Points of the price map: coordinates and log price of the rows between two quantiles."""
+    kept = between_quantiles(view(spark, sf_dir, "M"), "precio", 0.01, 0.99)
+    return rounded(profile.map_points(kept), ["log10_precio"], 8)
+
+
+def profiled(spark, sf_dir, source):
+    raw = full_listings(spark, sf_dir) if source == "listings" else view(spark, sf_dir, source[0].upper())
+    return profile.profile({source: raw})
+
+
+def record_values(metrics, names, decimals=4):
+    """metrica, campo, valor: every field of one-row metrics."""
+    rows = [df.select(F.lit(name).alias("metrica"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("campo"), F.round(F.col(c).cast("double"), decimals).alias("valor")) for c in df.columns])))
+        for name, df in ((n, metrics[n]) for n in names)]
+    return union_batches(rows)
+
+
+@query
+def profile_listings(spark, sf_dir):
+    """The records of prices, minimum stays, hosts and amenity lists, out of one read of the listings."""
+    return record_values(profiled(spark, sf_dir, "listings"),
+                         ["precio", "minimum_nights", "hosts", "amenities_listas", "listings_id_duplicados", "precio_umbrales"])
+
+
+@query
+def profile_listing_groups(spark, sf_dir):
+    """Median price and number of priced listings by room type and area."""
+    metrics = profiled(spark, sf_dir, "listings")
+    by_type = metrics["room_type_mediana"].withColumnRenamed("room_type", "grupo")
+    by_area = metrics["localidades"].withColumnRenamed("neighbourhood_cleansed", "grupo")
+    return rounded(union_batches([by_type, by_area]), ["mediana"], 4)
+
+
+@query
+def profile_reviews(spark, sf_dir):
+    return rounded(profiled(spark, sf_dir, "reviews")["reviews_resumen"], ["mean", "std", "min", "max", "p25", "p50", "p75"], 4)
+
+
+@query
+def profile_calendar(spark, sf_dir):
+    """Availability by month, by weekday and overall."""
+    metrics = profiled(spark, sf_dir, "calendar")
+    return rounded(union_batches([
+        metrics["disponibilidad_mensual"].select(F.lit("mes").alias("por"), F.col("mes").alias("valor"), "pct"),
+        metrics["disponibilidad_dia_semana"].select(F.lit("dia_semana").alias("por"), F.col("dia_semana").cast("string").alias("valor"), "pct"),
+        metrics["disponibilidad_global"].select(F.lit("total").alias("por"), F.lit(None).cast("string").alias("valor"), "pct")]),
+        ["pct"])

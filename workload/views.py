@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SPARK = {"FMT2": "format_number({0}, 2)", "ISO": "cast(cast({0} AS date) AS string)",
           "SLASH": "translate(cast(cast({0} AS date) AS string), '-', '/')",
-          "STR": "cast({0} AS string)", "JARR": "to_json(split({0}, ' '))", "DBL": "{0}D"}
+          "STR": "cast({0} AS string)", "JARR": "to_json(split({0}, ' '))", "DBL": "{0}D",
+          **{name: f"date_format({{0}}, '{form}')" for name, form in (
+              ("YMD", "yyyyMMdd"), ("MDY", "MM/dd/yyyy"), ("MDY2", "MM/dd/yy"), ("DMY", "dd/MM/yyyy"),
+              ("WORDS", "MMM d, yyyy"), ("DWORDS", "d MMM yyyy"), ("YEAR", "yyyy"))}}
 _DUCKDB = {"FMT2": "format('{{{{:,.2f}}}}', {0})", "ISO": "strftime({0}, '%Y-%m-%d')",
            "SLASH": "strftime({0}, '%Y/%m/%d')", "STR": "cast({0} AS varchar)",
-           "JARR": "cast(to_json(string_split({0}, ' ')) AS varchar)", "DBL": "{0}::DOUBLE"}
+           "JARR": "cast(to_json(string_split({0}, ' ')) AS varchar)", "DBL": "{0}::DOUBLE",
+           **{name: f"strftime({{0}}, '{form}')" for name, form in (
+               ("YMD", "%Y%m%d"), ("MDY", "%m/%d/%Y"), ("MDY2", "%m/%d/%y"), ("DMY", "%d/%m/%Y"),
+               ("WORDS", "%b %-d, %Y"), ("DWORDS", "%-d %b %Y"), ("YEAR", "%Y"))}}
 
 _LISTINGS = """
 SELECT o_orderkey AS id, o_custkey AS host_id, c_name AS host_name, c_mktsegment AS host_segment,
@@ -82,7 +88,20 @@ SELECT event_id AS pos,
            ELSE concat('evento ', <STR:user_id>) END) AS value
 FROM {events}"""
 
-_TEMPLATES = {"L": _LISTINGS, "C": _CALENDAR, "R": _REVIEWS, "A": _AMENITIES, "Q": _QUOTES, "G": _LOG}
+_MAPPED = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 37 <> 0 THEN o_totalprice END AS precio,
+  (o_orderkey % 997) / <DBL:10000.0> - 74 AS longitude, (o_orderkey % 883) / <DBL:10000.0> + 4 AS latitude
+FROM {orders}"""
+
+# One written form of a date for each remainder of the key.
+_WRITTEN = """
+SELECT o_orderkey AS id, CASE o_orderkey % 11 WHEN 0 THEN <ISO:o_orderdate> WHEN 1 THEN <SLASH:o_orderdate>
+  WHEN 2 THEN <YMD:o_orderdate> WHEN 3 THEN concat(<ISO:o_orderdate>, 'T10:20:30') WHEN 4 THEN concat(<ISO:o_orderdate>, ' 10:20 PM')
+  WHEN 5 THEN <MDY:o_orderdate> WHEN 6 THEN concat('  ', <MDY2:o_orderdate>) WHEN 7 THEN <WORDS:o_orderdate>
+  WHEN 8 THEN <DWORDS:o_orderdate> WHEN 9 THEN <YEAR:o_orderdate> ELSE <DMY:o_orderdate> END AS escrita
+FROM {orders}"""
+
+_TEMPLATES = {"L": _LISTINGS, "C": _CALENDAR, "R": _REVIEWS, "A": _AMENITIES, "Q": _QUOTES, "G": _LOG, "M": _MAPPED, "V": _WRITTEN}
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
            "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
