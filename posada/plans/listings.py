@@ -1,6 +1,6 @@
 """Listings, their hosts and their amenities."""
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posada import audit as steps
@@ -16,11 +16,10 @@ from posada.functions.numbers import first_number, integer_text, money
 from posada.operators.columns import drop_empty_columns, host_columns, is_boolean, is_numeric, present
 from posada.operators.dedup import keep_first
 from posada.operators.hosts import split_hosts
-from posada.operators.impute import fill_group_median
+from posada.operators.impute import filled_quantiles, group_counts, group_medians, with_medians
 from posada.operators.nested import add_amenity_count, amenity_pairs, flatten_quote
 from posada.operators.nulls import null_cells_of_row
 from posada.operators.outliers import fences
-from posada.operators.quantiles import quantile_struct
 from posada.staging import Stage
 
 
@@ -149,11 +148,20 @@ def measured_listings(unique: DataFrame, stage: Stage | None = None, held: dict
     completed = "_bathrooms" if "bathrooms_text" in df.columns else "bathrooms"
     incomplete = [c for c in present(df, IMPUTED_COLUMNS)
                   if held[completed if c == "bathrooms" else c] < rows]
-    df = fill_group_median(df, incomplete, "room_type", stage)
+    df = df.withColumns({c: F.col(c).cast("double") for c in incomplete})
     measured = incomplete + present(df, ["price"])
-    quartiles = quantile_struct(df, measured, [0.25, 0.5, 0.75]).first() if measured else None
-    medians = {c: quartiles[c][1] for c in incomplete if quartiles[c]}
-    df = fill_defaults(df.fillna(medians) if medians else df)
+    quartiles = {}
+    if measured:
+        # One read of the few columns that are needed counts their values; the rest is made from the counts.
+        group = "room_type" if "room_type" in df.columns else None
+        keep = (lambda x, name: x) if stage is None else stage.put
+        counts = keep(group_counts(df, measured, group), "value_counts")
+        medians = keep(group_medians(counts), "medians")
+        quartiles = {r["columna"]: r["q"] for r in
+                     filled_quantiles(counts, medians, incomplete, [0.25, 0.5, 0.75]).collect()}
+        df = with_medians(df, incomplete, group, medians) if group and incomplete else df
+    overall = {c: quartiles[c][1] for c in incomplete if c in quartiles}
+    df = fill_defaults(df.fillna(overall) if overall else df)
     df = df.withColumn(_CELLS_AFTER, null_cells_of_row([c for c in df.columns if c not in carried(df)]))
     return quality_flags(standardise_text(df), _outside_fences(df, quartiles))
 
@@ -173,10 +181,10 @@ def unique_measures(unique: DataFrame) -> dict[str, Column]:
     return {"_rows": F.count(F.lit(1)), **{c: F.count(c) for c in unique.columns}, **after_text}
 
 
-def _outside_fences(df: DataFrame, quartiles: Row | None) -> Column | None:
+def _outside_fences(df: DataFrame, quartiles: dict[str, list[float]]) -> Column | None:
     if "price" not in df.columns:
         return None
-    if not quartiles["price"]:
+    if "price" not in quartiles:
         return F.lit(False)
     low, high = fences(F.lit(quartiles["price"][0]), F.lit(quartiles["price"][2]))
     return certainly((F.col("price") < low) | (F.col("price") > high))
