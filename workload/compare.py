@@ -36,9 +36,12 @@ _TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "V
           "boolean": "BOOLEAN"}
 
 
-def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
-    """Empty when both sides agree, otherwise what differs."""
+def compare(spark: SparkSession, con, sf_dir: str, name: str, forbidden: tuple[str, ...] = ()) -> str:
+    """Empty when both sides agree and the plan has no forbidden node, otherwise what differs."""
     df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if found := [node for node in forbidden if node in plan]:
+        return f"plan has {found}"
     got_columns, got = rows_of([tuple(r) for r in df.collect()], df.columns)
     if name not in ORACLES:
         return ""

@@ -416,7 +416,7 @@ oracle("scan_filter_project", "SELECT event_id, event_type, value FROM events "
        "WHERE event_type IN ('click', 'purchase') AND value >= 10", views="")
 oracle("scan_not_equal", "SELECT event_id, user_id, event_type, value FROM events "
        "WHERE event_type <> 'view' AND user_id < 40", views="")
-oracle("list_collections", "\nUNION ALL ".join(f"SELECT '{t}' AS coleccion" for t in (
+oracle("list_collections", "\nUNION ALL ".join(f"SELECT '{t}' AS coleccion, count(*) AS filas FROM {t}" for t in (
     "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
     "lineitem", "nation", "orders", "pages", "part", "region", "supplier")), views="")
 

@@ -632,8 +632,9 @@ def scan_not_equal(spark, sf_dir):
 
 @query
 def list_collections(spark, sf_dir):
-    names = Store(spark, sf_dir).names()
-    return spark.createDataFrame([(n,) for n in names], "coleccion string")
+    """Every collection of the folder with its rows."""
+    store = Store(spark, sf_dir)
+    return union_batches([shape(store.table(name), name).select(F.col("tabla").alias("coleccion"), "filas") for name in store.names()])
 
 
 # ---------------------------------------------------------------- sources, sinks, audit
