@@ -1,8 +1,8 @@
 """Token counts of whole texts under a byte-level BPE of the tokenizers library, without moving any pre-token.
 
 Two tiers on the map side. First, a compact table of the lengths (in tokens) of frequent pre-tokens, broadcast: it is
-counted on a bounded sample of the texts (the first `TASK_TEXTS` of each of `SAMPLE_TASKS` tasks, which read no further)
-and holds `FREQUENT` entries at most, whatever the input. No text and no pre-token is shuffled.
+counted on a bounded sample of the texts (the first `TASK_TEXTS` of each of `SAMPLE_TASKS` tasks, which read no further and
+send `TASK_PIECES` pre-tokens at most) and holds `FREQUENT` entries at most, whatever the input. No text and no pre-token is shuffled.
 Second, a cache in each worker for pre-tokens outside the table, which the library encodes when first met. Both only
 save work; every text is counted whole. Special strings inside texts count as the library counts them, one token each.
 
@@ -25,7 +25,7 @@ from posada.llm.byte_bpe import Cache
 from posada.llm.common import map_texts, slices, text_or_empty, utf8
 from posada.llm.scan import splitter
 
-SAMPLE_TASKS, TASK_TEXTS = 32, 64
+SAMPLE_TASKS, TASK_TEXTS, TASK_PIECES = 32, 64, 5_000
 FREQUENT = 50_000
 BATCH_BYTES = 4 << 20
 
@@ -85,7 +85,7 @@ def _lengths(sent) -> Lengths:
 
 
 def sample_counts(df: DataFrame, text: str) -> Counter:
-    """Pre-tokens of SAMPLE_TASKS * TASK_TEXTS texts at most, each task's most frequent ones."""
+    """Pre-tokens of SAMPLE_TASKS * TASK_TEXTS texts at most, each task's TASK_PIECES most frequent ones."""
     def count(batches):
         found, left = Counter(), TASK_TEXTS
         if TaskContext.get().partitionId() >= SAMPLE_TASKS:
@@ -98,7 +98,7 @@ def sample_counts(df: DataFrame, text: str) -> Counter:
             left -= min(left, batch.num_rows)
             if not left:
                 break
-        top = found.most_common(FREQUENT)
+        top = found.most_common(TASK_PIECES)
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.binary()),
                                           pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
 

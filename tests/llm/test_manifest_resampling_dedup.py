@@ -7,11 +7,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from posada.llm import exact_dedup, merkle, queries, ranks, resampling
 from posada.llm.common import stage
+from posada.llm.oracles import ORACLES
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -255,3 +257,19 @@ def test_exact_dedup_plan_has_no_python(spark):
     plan = queries.op13_exact_dedup(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for node in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
+
+
+# --- queries --------------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    cursor = con.execute(ORACLES[name])
+    columns = sorted(d[0] for d in cursor.description)
+    order = [[d[0] for d in cursor.description].index(c) for c in columns]
+    want = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=repr)
+    found = queries.QUERIES[name](spark, SF_DIR)
+    assert sorted(found.columns) == columns
+    assert sorted((tuple(r) for r in found.select(*columns).collect()), key=repr) == want
