@@ -1,16 +1,17 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the UTF-8 bytes of a text: h = 2 h + gear[byte], so that it depends on the last 32 bytes only. A
-chunk ends where the hash is the smallest of some `REACH` places in a row; borders thus follow the content, and text that
-is inserted or removed shifts none but the borders near it. No two borders are further apart than REACH. Borders move back
-to the begin of a UTF-8 character.
-
-A border is told by a digest of the `WIDTH` bytes before it. Whatever two places share in REACH + WIDTH + 2 bytes or more
-holds a border with the same digest in both, so no repeat of `LEAST` bytes is missed. The first occurrence of a
-digest, by smallest key and then place, stays. Others are repeats; borders whose bytes touch and that lie as far from their first
-occurrence make a run, and each run is extended at both ends by comparing its bytes with those of the first occurrence. Runs
-that touch make a span, and spans of at least `LEAST` bytes are reported or cut out. Shorter repeats are ordinary phrases
-and stay.
+A gear hash rolls over the UTF-8 bytes of a text: h = 2 h + gear[byte], cut to the last `GEAR` bytes. A place is a border
+where the hash is the smallest of some `REACH` places in a row and the border before it is at least `SHORT` bytes away.
+Both depend on the bytes nearby only, so text that is inserted or removed shifts none but the borders near it. Borders move
+back to the begin of a UTF-8 character. In periodic text, where hashes repeat, the smallest place modulo `TURN` counts.
+
+The variable chunks between borders are deduplicated by their digest. The first occurrence of a digest, by smallest key and then place, stays.
+Others are repeats; chunks that touch and that lie as far from their first occurrence make a run, and each run is extended at
+both ends, by `LEAST` bytes at most, by comparing its bytes with those of the first occurrence. Runs of at least `LEAST` bytes
+count; those that touch make a span, which is reported or cut out. Shorter repeats are ordinary phrases and stay, and so do
+fewer than `SHORT` bytes that a run adds to a longer one (two texts go on with the same letters behind a passage by chance).
+A repeat is missed only if no whole chunk lies in it, or if each of its chunks occurs still earlier elsewhere.
+Where a text repeats itself with overlap (periodic text), its first period stays and the run of chunks behind it goes.
 
 The rows of one digest are pre-aggregated before their shuffle, and the join back is one that Spark splits when skewed, so
 a passage that a third of all documents share does not meet in one task. Its bytes are read once for all its copies.
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 
 from posada.llm.common import mix, slices, stage, text_or_empty, utf8
 
-WIDTH = 64
-REACH = 54
-EDGE = REACH + 8          # no run can be extended further
+GEAR = 16
+REACH = 40
+SHORT = 12
+TURN = 32
 LEAST = 120
 BATCH_BYTES = 4 << 20
 
@@ -55,19 +57,18 @@ def borders(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if not n:
         return np.unique(ends)
     h, width = gear()[data], 1
-    while width < 32:                              # the window doubles: h(i, 2w) = h(i, w) + 2^w h(i - w, w)
+    while width < GEAR:                            # the window doubles: h(i, 2w) = h(i, w) + 2^w h(i - w, w)
         more = h.copy()
         more[width:] += h[:-width] << np.uint32(width)
         h, width = more, 2 * width
-    place = np.arange(1, n + 1, dtype=np.int64)    # of equal hashes, in periodic text, one in about REACH counts
-    order = (h.astype(np.uint64) << np.uint64(31)) | (np.uint64((1 << 31) - 1) - (place & -place & ((1 << 30) - 1)).astype(np.uint64))
+    place = np.arange(n) - np.repeat(ends[:-1], np.diff(ends))
+    order = (h.astype(np.uint64) << np.uint64(8)) | (place % TURN).astype(np.uint64)
     never = np.uint64((1 << 64) - 1)
-    for k in range(WIDTH - 1):                     # the digest must lie within the text
-        at = ends[:-1] + k
-        order[at[at < ends[1:]]] = never
+    order[place < GEAR - 1] = never                # the hash must lie within the text
     pad = np.full(REACH - 1, never)
     least = sliding(np.concatenate([pad, order, pad]), REACH, np.minimum)
-    cuts = np.flatnonzero((sliding(least, REACH, np.maximum) == order) & (order != never)) + 1 if n else ends
+    cuts = np.flatnonzero((sliding(least, REACH, np.maximum) == order) & (order != never)) + 1
+    cuts = cuts[np.diff(cuts, prepend=-SHORT) >= SHORT]
     for _ in range(3):                             # not inside a character
         inside = (cuts < n) & ((data[np.minimum(cuts, n - 1)] & 0xC0) == 0x80)
         if not inside.any():
@@ -76,30 +77,28 @@ def borders(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.union1d(cuts, ends)
 
 
-def runs(data: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
-    """A row for each border with WIDTH bytes of its text before it: text, start of these bytes, digest, and whether the
-    same bytes stand further ahead in the same text."""
+def chunked(data: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
+    """A row for each chunk: text, start, size, digest, and whether the same bytes are a chunk further ahead in the same text."""
     cuts, held = borders(data, ends), data.tobytes()
-    text = np.searchsorted(ends, cuts, side="left") - 1
-    whole = (text >= 0) & (cuts - ends[np.maximum(text, 0)] >= WIDTH)
-    cuts, text = cuts[whole], text[whole]
-    digest = np.array([xxhash.xxh3_64_intdigest(held[c - WIDTH:c]) for c in cuts.tolist()], np.uint64).view(np.int64)
-    order = np.lexsort((cuts, digest, text))
-    again = np.zeros(len(cuts), bool)
+    starts, stops = cuts[:-1], cuts[1:]
+    text = np.searchsorted(ends, stops, side="left") - 1
+    digest = np.array([xxhash.xxh3_64_intdigest(held[a:b]) for a, b in zip(starts.tolist(), stops.tolist())], np.uint64).view(np.int64)
+    order = np.lexsort((starts, digest, text))
+    again = np.zeros(len(starts), bool)
     again[order[1:]] = (text[order[1:]] == text[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
-    return {"text": text, "start": cuts - WIDTH - ends[text], "digest": digest, "again": again}
+    return {"text": text, "start": starts - ends[text], "size": (stops - starts).astype(np.int32), "digest": digest, "again": again}
 
 
 def chunk_table(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The borders of all texts that have a key, with the key in place of the text."""
+    """The chunks of all texts that have a key, with the key in place of the text."""
     def run(batches):
         for batch in slices(batches, BATCH_BYTES, "__text"):
-            found = runs(*utf8(batch.column("__text")))
+            found = chunked(*utf8(batch.column("__text")))
             keys = batch.column("__key").take(pa.array(found.pop("text")))
             yield pa.RecordBatch.from_arrays([keys, *map(pa.array, found.values())], names=["key", *found])
 
     kind = df.schema[key].dataType.simpleString()
-    return keyed(df, key, text).mapInArrow(run, f"key {kind}, start bigint, digest bigint, again boolean")
+    return keyed(df, key, text).mapInArrow(run, f"key {kind}, start bigint, size int, digest bigint, again boolean")
 
 
 def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -112,33 +111,38 @@ def shared(one: bytes, other: bytes) -> int:
     return next((i for i in range(n) if one[i] != other[i]), n)
 
 
-def extended(data: bytes, found: list[dict], least: int) -> list[tuple]:
+def extended(data: bytes, found: list[dict], least: int, edge: int) -> list[tuple]:
     """Spans (start, end, chunks, first) of one text from its runs, each with the bytes around its first occurrence."""
     grown = []
     for x in found:
         a, b = x["a"], x["b"]
-        room = max(0, x["delta"] - (b - a)) if x["own"] else EDGE       # the first occurrence itself stays
-        left = min(room, shared(data[max(0, a - EDGE):a][::-1], (x["before"] or b"")[::-1]))
-        right = min(room - left if x["own"] else EDGE, shared(data[b:b + EDGE], x["after"] or b""))
+        room = max(0, x["delta"] - (b - a)) if x["own"] else 2 * edge    # the first occurrence itself stays
+        left = min(room, shared(data[max(0, a - edge):a][::-1], (x["before"] or b"")[::-1]))
+        right = min(room - left, shared(data[b:b + edge], x["after"] or b""))
         a, b = a - left, b + right
         while a < b and data[a] & 0xC0 == 0x80:
             a += 1
         while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
             b -= 1
-        grown.append((a, b, x["chunks"], x["first"]))
-    out = []
+        if b - a >= least:
+            grown.append((a, b, x["chunks"], x["first"]))
+    out, begin = [], 0
     for a, b, n, first in sorted(grown, key=lambda x: x[:2]):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2] + n, min(first, out[-1][3]))
-        else:
+        if not out or a > out[-1][1]:
             out.append((a, b, n, first))
-    return [x for x in out if x[1] - x[0] >= least]
+            begin = a
+            continue
+        start, end, held, least_first = out[-1]
+        if b - end >= SHORT:
+            start, end = a if a - begin < SHORT and b - a > end - start else start, b
+        out[-1] = (start, end, held + n, min(first, least_first))
+    return out
 
 
 def repeated_spans(df: DataFrame, key: str, text: str = "text", least: int = LEAST) -> DataFrame:
-    """Spans that repeat an earlier place: key, start and end in bytes, chunks (borders that agree), and first_key, the
+    """Spans that repeat an earlier place: key, start and end in bytes, chunks (that agree), and first_key, the
     smallest key of those that hold a part of the span first."""
-    held = stage(df.sparkSession)
+    held, edge = stage(df.sparkSession), max(least, LEAST)
     kind, documents = df.schema[key].dataType.simpleString(), keyed(df, key, text)
     chunks = chunk_table(df, key, text)
     repeated = chunks.groupBy("digest").agg(
@@ -147,10 +151,10 @@ def repeated_spans(df: DataFrame, key: str, text: str = "text", least: int = LEA
     marked = chunks.join(repeated, "digest").where(F.col("again") | (F.col("key") != F.col("first"))) \
         .withColumn("delta", F.col("start") - F.col("first_start"))
     in_row = Window.partitionBy("key", "first", "delta").orderBy("start")
-    found = held.put(marked.withColumn("gap", F.coalesce(F.col("start") - F.lag("start").over(in_row) > WIDTH, F.lit(True)))
+    found = held.put(marked.withColumn("gap", F.coalesce(F.col("start") > F.lag(F.col("start") + F.col("size")).over(in_row), F.lit(True)))
                      .withColumn("island", F.sum(F.col("gap").cast("int")).over(in_row))
                      .groupBy("key", "first", "delta", "island")
-                     .agg(F.min("start").alias("a"), (F.max("start") + WIDTH).alias("b"), F.count("*").alias("chunks"))
+                     .agg(F.min("start").alias("a"), F.max(F.col("start") + F.col("size")).alias("b"), F.count("*").alias("chunks"))
                      .drop("island").withColumn("fa", F.col("a") - F.col("delta")).withColumn("fb", F.col("b") - F.col("delta")), "runs")
 
     def around(batches):
@@ -158,7 +162,7 @@ def repeated_spans(df: DataFrame, key: str, text: str = "text", least: int = LEA
             rows = []
             for name, value, places in zip(*(batch.column(c).to_pylist() for c in ("__key", "__text", "places"))):
                 data = value.encode()
-                rows += [(name, p["fa"], p["fb"], data[max(0, p["fa"] - EDGE):p["fa"]], data[p["fb"]:p["fb"] + EDGE]) for p in places]
+                rows += [(name, p["fa"], p["fb"], data[max(0, p["fa"] - edge):p["fa"]], data[p["fb"]:p["fb"] + edge]) for p in places]
             columns = list(zip(*rows)) or [[]] * 5
             kinds = [batch.column("__key").type, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["first", "fa", "fb", "before", "after"])
@@ -172,7 +176,7 @@ def repeated_spans(df: DataFrame, key: str, text: str = "text", least: int = LEA
         for batch in batches:
             rows = []
             for name, value, own in zip(*(batch.column(c).to_pylist() for c in ("__key", "__text", "own"))):
-                rows += [(name, *x) for x in extended(value.encode(), own, least)]
+                rows += [(name, *x) for x in extended(value.encode(), own, least, edge)]
             columns = list(zip(*rows)) or [[]] * 5
             name = batch.column("__key").type
             kinds = [name, pa.int64(), pa.int64(), pa.int64(), name]

@@ -442,6 +442,28 @@ def test_planted_passages_of_51_to_80_words_are_cut_to_the_byte(spark):
     assert len(found) == len(wanted) and dict(found) == wanted
 
 
+def test_cut_bytes_equal_windows_that_an_earlier_place_holds(spark):
+    draw = random.Random(12)
+    passages = [" ".join(words(draw.randint(30, 90), 900 + i)) for i in range(15)]
+    texts = [" | ".join([" ".join(words(draw.randint(5, 60), 100 + i)), *draw.sample(passages, draw.randint(0, 3)),
+                         " ".join(words(20, 300 + i, "uvwxyz"))]) for i in range(60)]
+    texts += [texts[7], f"{passages[0]} - {passages[0]}", "round and " * 300]
+    spans = chunks.repeated_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "doc_id").collect()
+    seen, size, wanted, held, stray = {}, chunks.LEAST, 0, 0, 0
+    for i, text in enumerate(t.encode() for t in texts):
+        repeated, cut = bytearray(len(text)), bytearray(len(text))
+        for a in range(len(text) - size + 1):
+            doc, place = seen.setdefault(text[a:a + size], (i, a))
+            if (doc, place) != (i, a) and (doc != i or place + size <= a):        # overlap with itself is no repeat
+                repeated[a:a + size] = b"\1" * size
+        for r in spans:
+            if r["doc_id"] == i:
+                cut[r["start"]:r["end"]] = b"\1" * (r["end"] - r["start"])
+        wanted, held = wanted + sum(repeated), held + sum(x & y for x, y in zip(repeated, cut))
+        stray += sum(y & ~x & 1 for x, y in zip(repeated, cut))
+    assert wanted > 10_000 and held >= 0.98 * wanted and stray == 0
+
+
 # --- vectors ------------------------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
