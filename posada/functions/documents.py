@@ -24,9 +24,10 @@ def clean_list(text: Column) -> Column:
     return F.filter(stripped, lambda item: item.isNotNull() & (item != ""))
 
 
-def is_broken_list(text: Column) -> Column:
-    """Text is there, yields no element and is not the empty array."""
-    return text.isNotNull() & (F.size(clean_list(text)) == 0) & (text != "[]")
+def is_broken_list(text: Column, items: Column | None = None) -> Column:
+    """Text is there, yields no element and is not the empty array. items: its clean_list, if there is one."""
+    items = clean_list(text) if items is None else items
+    return text.isNotNull() & (F.size(items) == 0) & (text != "[]")
 
 
 def quote_fields(text: Column) -> dict[str, Column]:

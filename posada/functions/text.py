@@ -13,9 +13,10 @@ SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _BREAK = f"<br[{SPACE_CLASS}]*/?>"
 _BREAK_OR_SPACE = (f"(?U)(?:[{SPACE_CLASS}&&[^ ]]| (?=[{SPACE_CLASS}<])|{_BREAK})"
                    f"(?:{_BREAK}|[{SPACE_CLASS}]++)*+")
-# A word starts after every character that has no case.
+# A word starts after every character that has no case, so the parts of a text are the runs of characters
+# with case and every other character on its own.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
-_WORD_EDGE = f"(?<=[^{_CASED}])|(?=[^{_CASED}])"
+_PARTS = f"[{_CASED}]+|[^{_CASED}]"
 
 
 def clean_text(text: Column) -> Column:
@@ -30,11 +31,21 @@ def strip(text: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """Capital after every character without case: "o'neil santa-fe" -> "O'Neil Santa-Fe"."""
-    return F.array_join(F.transform(F.split(text, _WORD_EDGE), F.initcap), "")
+    # Unlike split, this pattern is compiled once and not for every row.
+    parts = F.regexp_extract_all(text, F.lit(_PARTS), F.lit(0))
+    return F.array_join(F.transform(parts, _capitalised), "")
+
+
+def _capitalised(part: Column) -> Column:
+    """initcap of one part. Signs before the letters stay as they are, and runs of ASCII letters need no word rules."""
+    ascii_ = F.octet_length(part) == F.length(part)
+    plain = F.concat(F.upper(F.substring(part, 1, 1)), F.lower(F.substring(part, 2, 2 ** 31 - 1)))
+    return F.when(part < "A", part).when(ascii_, plain).otherwise(F.initcap(part))
 
 
 def replace_word(text: Column, word: str, replacement: str) -> Column:
-    return F.regexp_replace(text, rf"(?U)\b{word}\b", replacement)
+    # Most texts do not hold the word at all, which takes no pattern to see.
+    return F.when(F.contains(text, F.lit(word)), F.regexp_replace(text, rf"(?U)\b{word}\b", replacement)).otherwise(text)
 
 
 def or_default(text: Column, default: str) -> Column:

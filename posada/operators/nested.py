@@ -1,16 +1,23 @@
 """Unnesting of JSON cells."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from posada.functions.documents import clean_list, quote_fields, raw_list
 
 
+def _items(df: DataFrame) -> Column:
+    """The elements of amenities, which may be read from its text already."""
+    items = F.col("amenities")
+    return items if isinstance(df.schema["amenities"].dataType, ArrayType) else clean_list(items)
+
+
 def add_amenity_count(df: DataFrame) -> DataFrame:
     """amenities -> cantidad_amenities (repeats count, blanks do not)."""
     if "amenities" not in df.columns:
         return df.withColumn("cantidad_amenities", F.lit(0).cast("long"))
-    count = F.size(clean_list(F.col("amenities"))).cast("long")
+    count = F.size(_items(df)).cast("long")
     return df.withColumn("cantidad_amenities", count).drop("amenities")
 
 
@@ -21,8 +28,7 @@ def amenity_pairs(df: DataFrame, unique_ids: bool = False, raw: bool = False) ->
     """
     if "amenities" not in df.columns:
         return df.sparkSession.createDataFrame([], "listing_id long, amenity string")
-    items = F.col("amenities")
-    items = raw_list(items) if raw else clean_list(items)
+    items = raw_list(F.col("amenities")) if raw else _items(df)
     pairs = df.select(F.col("id").alias("listing_id"),
                       F.explode(items if raw else F.array_distinct(items)).alias("amenity"))
     return pairs if raw or unique_ids else pairs.distinct()

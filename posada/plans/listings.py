@@ -10,7 +10,7 @@ from posada.fixed_values import (CLEANED_TEXT_COLUMNS, DEFAULTED_TEXT_COLUMNS, F
                                  PRICE_COLUMNS, VALUELESS_COLUMNS)
 from posada.functions import numbers, text
 from posada.functions.dates import iso_text, parse_date
-from posada.functions.documents import is_broken_list
+from posada.functions.documents import clean_list, is_broken_list
 from posada.functions.flags import certainly, from_tf
 from posada.functions.numbers import first_number, integer_text, money
 from posada.operators.columns import drop_empty_columns, host_columns, is_boolean, is_numeric, present
@@ -104,7 +104,8 @@ def quality_flags(df: DataFrame, price_outlier: Column | None = None) -> DataFra
 
 #: Columns that only the measures of a run read; they are not part of the table.
 _CELLS, _CELLS_AFTER, _BAD_DATES, _BROKEN = "_nulos", "_nulos_despues", "_fechas_malas", "_lista_rota"
-_MISSING = "_falta_"
+_LIST = "_lista"
+_MISSING, _GIVEN = "_falta_", "_dada_"
 
 
 def clean_listings(unique: DataFrame, stage: Stage | None = None) -> DataFrame:
@@ -121,7 +122,13 @@ def clean_listings(unique: DataFrame, stage: Stage | None = None) -> DataFrame:
 def carried(clean: DataFrame) -> list[str]:
     """The columns of measured_listings that are no part of the table."""
     return [c for c in clean.columns
-            if c in (_CELLS, _CELLS_AFTER, _BAD_DATES, _BROKEN) or c.startswith(_MISSING)]
+            if c in (_CELLS, _CELLS_AFTER, _BAD_DATES, _BROKEN, _LIST) or c.startswith(_MISSING)]
+
+
+def with_read_lists(clean: DataFrame) -> DataFrame:
+    """measured_listings with the amenities as they were read from their text, so that a staged table has
+    them read once."""
+    return clean.withColumn("amenities", F.col(_LIST)).drop(_LIST) if _LIST in clean.columns else clean
 
 
 def measured_listings(unique: DataFrame, stage: Stage | None = None, held: dict | None = None) -> DataFrame:
@@ -133,13 +140,16 @@ def measured_listings(unique: DataFrame, stage: Stage | None = None, held: dict
     rows = held["_rows"]
     empty = [c for c in unique.columns if rows and held[c] == 0]
     df = unique.drop(*empty, *VALUELESS_COLUMNS)
-    bad = sum((F.col(c).isNotNull() & parse_date(F.col(c).cast("string")).isNull()).cast("long")
-              for c in present(df, LISTING_DATE_COLUMNS)) if present(df, LISTING_DATE_COLUMNS) else F.lit(0)
-    broken = is_broken_list(F.col("amenities")) if "amenities" in df.columns else F.lit(False)
-    df = df.withColumns({_BAD_DATES: bad, _BROKEN: broken})
-    df = standardise_dates(convert_flags(flatten_quote(normalise_prices(df))))
-    df = convert_bathrooms(df)
-    table = [c for c in df.columns if c not in (_BAD_DATES, _BROKEN)]
+    dates = present(df, LISTING_DATE_COLUMNS)
+    given = {_GIVEN + c: F.col(c).isNotNull() for c in dates}
+    lists = {_LIST: clean_list(F.col("amenities"))} if "amenities" in df.columns else {}
+    df = convert_flags(flatten_quote(normalise_prices(df.withColumns({**given, **lists}))))
+    df = standardise_dates(df)
+    # Texts that were given and are no dates now.
+    bad = sum(((F.col(_GIVEN + c)) & F.col(c).isNull()).cast("long") for c in dates) if dates else F.lit(0)
+    broken = is_broken_list(F.col("amenities"), F.col(_LIST)) if lists else F.lit(False)
+    df = convert_bathrooms(df.withColumns({_BAD_DATES: bad, _BROKEN: broken}).drop(*given))
+    table = [c for c in df.columns if c not in carried(df)]
     watched = present(df, [*IMPUTED_COLUMNS, "has_availability", "price"])
     df = df.withColumns({_CELLS: null_cells_of_row(table),
                          **{_MISSING + c: F.col(c).isNull() for c in watched}})

@@ -10,6 +10,7 @@ from posada.functions.text import clean_text
 from posada.operators.dedup import keep_first
 
 DATE = "_fecha"
+_BAD_DATE = "_fecha_invalida"
 
 
 def unique_reviews(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -38,12 +39,31 @@ def review_table(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame
     return enrich(dated(commented(unique_reviews(raw, order_by))))
 
 
-def unique_measures() -> dict[str, Column]:
+def measured_reviews(dated_reviews: DataFrame) -> DataFrame:
+    """enrich with what each row adds to the measures of the run; a null comment stays null."""
+    return enrich(dated_reviews.withColumn(_BAD_DATE, _bad_date()))
+
+
+def unique_measures(bad: Column | None = None) -> dict[str, Column]:
     """Aggregates for the audit over dated(unique_reviews), to be taken while it is written."""
-    bad = F.col("comments").isNotNull() & F.col("date").isNotNull() & F.col(DATE).isNull()
+    bad = _bad_date() if bad is None else bad
     return {"filas": F.count(F.lit(1)), "con_comentario": F.count("comments"), "fecha_invalida": F.count_if(bad)}
 
 
+def clean_measures() -> dict[str, Column]:
+    """The unique_measures, over measured_reviews."""
+    return unique_measures(F.col(_BAD_DATE))
+
+
+def _bad_date() -> Column:
+    return F.col("comments").isNotNull() & F.col("date").isNotNull() & F.col(DATE).isNull()
+
+
+def carried() -> list[str]:
+    """The columns of measured_reviews that are no part of the table."""
+    return [_BAD_DATE]
+
+
 def audit_reviews(audit: Audit, raw_rows: int, seen: dict, orphans: int | None) -> None:
     """Steps and findings: `seen` are the unique_measures, orphans the rows of unknown listings."""
     unique, rows = seen["filas"], seen["con_comentario"]

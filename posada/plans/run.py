@@ -2,6 +2,7 @@
 
 import logging
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from posada.operators.membership import orphan_keys, row_total
 from posada.plans import calendar, listings, reviews
 from posada.sinks.tables import publish, read_tables, write_json
 from posada.sources.store import Store
-from posada.staging import Stage
+from posada.staging import Stage, at_once
 
 log = logging.getLogger(__name__)
 
@@ -30,17 +31,19 @@ class Prepared:
 def prepare_listings(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
     """listings, hosts and listing_amenities."""
     unique = listings.unique_listings(raw, order_by)
-    unique, held = stage.put_measured(unique, "listings_unique", listings.unique_measures(unique))
-    measured = listings.measured_listings(unique, stage, held)
+    unique, held = stage.put_measured(unique, "listings_unique", listings.unique_measures(unique),
+                                      dictionary=False)
+    measured = listings.with_read_lists(listings.measured_listings(unique, stage, held))
     clean, seen = stage.put_measured(measured, "listings_clean", listings.measures(measured),
-                                     listings.carried(measured))
+                                     listings.carried(measured), dictionary=False)
     return Prepared(listings.listing_tables(clean), {"listings_unique": held, "listings": seen}, clean.columns)
 
 
 def prepare_reviews(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
-    dated, seen = stage.put_measured(reviews.dated(reviews.unique_reviews(raw, order_by)), "reviews_unique",
-                                     reviews.unique_measures())
-    return Prepared({"reviews": reviews.enrich(reviews.commented(dated))}, {"reviews": seen})
+    # Texts are cleaned before they are staged, as the layout of the table reads its input twice.
+    clean, seen = stage.put_measured(reviews.measured_reviews(reviews.dated(reviews.unique_reviews(raw, order_by))),
+                                     "reviews_unique", reviews.clean_measures(), reviews.carried())
+    return Prepared({"reviews": reviews.commented(clean)}, {"reviews": seen})
 
 
 def prepare_calendar(raw: DataFrame, stage: Stage, order_by: list[str] | None = None) -> Prepared:
@@ -60,7 +63,7 @@ def prepare(raw: dict[str, DataFrame], stage: Stage,
     else reads the columns it needs from there. All counts for the audit are taken by the stages that
     write, so that no table is read for them.
     """
-    parts = [PREPARE[name](raw[name], stage, (order_by or {}).get(name)) for name in INPUTS]
+    parts = at_once([partial(PREPARE[name], raw[name], stage, (order_by or {}).get(name)) for name in INPUTS])
     return Prepared({n: df for part in parts for n, df in part.tables.items()},
                     {n: counts for part in parts for n, counts in part.seen.items()}, parts[0].listing_columns)
 

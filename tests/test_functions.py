@@ -67,6 +67,11 @@ def test_title_case_equals_python(column_of):
     assert column_of(samples, text.title_case) == [s.title() for s in samples]
 
 
+def test_title_case_keeps_characters_of_two_code_units(column_of):
+    samples = ["\U0001f600sol y \U0001f600mar", "\U00020000x", None]
+    assert column_of(samples, text.title_case) == ["\U0001f600Sol Y \U0001f600Mar", "\U00020000X", None]
+
+
 def test_whole_word_replacement(column_of):
     got = column_of(["Bogota, Colombia", "Bogotano", "xBogota", "Bogotaé", None],
                     lambda x: text.replace_word(x, "Bogota", "Bogotá"))

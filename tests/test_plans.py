@@ -320,6 +320,28 @@ def test_null_cells_are_counted_around_the_null_treatment(spark):
     assert (seen["bedrooms"], seen["price"], seen["fechas"]) == (2, 2, 1)
 
 
+def test_texts_are_read_once_before_the_tables_are_laid_out(spark):
+    """The layout of a table reads its input twice, so what it reads must hold clean texts and lists."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    given = spark.createDataFrame([(1, 7, "2031-01-02", " a<br/>b ", "x"), (2, 7, "bad", None, "y"), (3, 8, "bad", "c", None)],
+                                  "id long, listing_id long, date string, comments string, reviewer_name string")
+    homes = spark.createDataFrame([(1, 5, '["a", "a", " b "]', "2031/01/02"), (2, 5, "[bad", "no"), (3, 6, None, None)],
+                                  "id long, host_id long, amenities string, last_scraped string")
+    with Stage(spark) as stage:
+        read = run.prepare_reviews(given, stage)
+        table = read.tables["reviews"]
+        assert "regexp_replace" not in plan(table)
+        assert rows_of(table.select("id", "comments", "date", "longitud_comentario")) == [
+            (1, "a b", "2031-01-02", 3), (3, "c", None, 1)]
+        assert read.seen["reviews"] == {"filas": 3, "con_comentario": 2, "fecha_invalida": 1}
+        made = run.prepare_listings(homes, stage)
+        assert not any("from_json" in plan(df) for df in made.tables.values())
+        assert rows_of(made.tables["listing_amenities"]) == [(1, "a"), (1, "b")]
+        assert rows_of(made.tables["listings"].select("id", "cantidad_amenities", "last_scraped")) == [
+            (1, 3, "2031-01-02"), (2, 0, None), (3, 0, None)]
+        assert (made.seen["listings"]["rotas"], made.seen["listings"]["fechas"]) == (1, 1)
+
+
 def test_failed_run_returns_one(spark, tmp_path):
     assert run.run(spark, str(tmp_path / "nowhere"), str(tmp_path / "out")) == 1
 

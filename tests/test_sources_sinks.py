@@ -254,6 +254,16 @@ def test_a_changed_cell_is_told(spark, tables, tmp_path):
     assert verify_contents(spark, {"reviews": written["reviews"]}, root).first()["igual"]
 
 
+def test_digest_is_the_sum_of_the_row_hashes_without_a_decimal_for_every_row(spark):
+    df = spark.range(-500, 500).select("id", F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("t"))
+    row = F.xxhash64("id", "t", F.isnull("id"), F.isnull("t"))
+    want = sum(r[0] for r in df.select(row).collect())
+    digest = df.agg(content_digest(["t", "id"]).alias("digest"))
+    assert digest.first()["digest"] == want
+    assert "as decimal(38,0)))" not in digest._jdf.queryExecution().optimizedPlan().toString()
+    assert df.limit(0).agg(content_digest(df.columns).alias("digest")).first()["digest"] == 0
+
+
 def test_json_reports(spark, tmp_path):
     write_json(spark.createDataFrame([("a", 1)], "tabla string, n long"), str(tmp_path / "r"))
     assert rows_of(spark.read.json(str(tmp_path / "r"))) == [(1, "a")] or \
