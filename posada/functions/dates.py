@@ -32,17 +32,21 @@ _WORDED = "[MMM d, yyyy][MMMM d, yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][MMM
 def parse_date(text: Column) -> Column:
     """Text -> date; unknown shapes and impossible days are null.
 
-    Nearly all rows are already yyyy-mm-dd: they take a cast without any regular expression, and the
-    other shapes are only tried on what is left.
+    Nearly all rows are already yyyy-mm-dd, most others yyyy/mm/dd or yyyy.mm.dd: they take a cast without any
+    regular expression, and the other shapes are only tried on what is left and holds a digit, as every shape does.
     """
-    iso = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-")
-           & (F.substring(text, 8, 1) == "-"))
+    parted = (F.length(text) == 10) & (F.substring(text, 8, 1) == F.substring(text, 5, 1))
+    iso = parted & (F.substring(text, 5, 1) == "-")
+    # The cast also takes a 'T' at the end, which the shapes do not.
+    other_sign = parted & F.substring(text, 5, 1).isin("/", ".") & F.substring(text, 10, 1).between("0", "9")
     full_year = F.regexp_replace(F.regexp_replace(strip(text), _SHORT_1900, "$119$2"), _SHORT_2000, "$120$2")
     rearranged = F.regexp_replace(full_year, _ANY_SHAPE, _YEAR_MONTH_DAY)
-    return F.coalesce(
-        F.when(iso, text.try_cast("date")),
+    any_shape = F.coalesce(
         F.regexp_extract(rearranged, _REARRANGED, 1).try_cast("date"),
         F.when(text.rlike(_MONTH_WORD), F.try_to_date(strip(text), _WORDED)))
+    return F.coalesce(
+        F.when(iso, text.try_cast("date")).when(other_sign, F.translate(text, "/.", "--").try_cast("date")),
+        F.when(F.translate(text, "0123456789", "") != text, any_shape))
 
 
 def iso_text(date: Column) -> Column:

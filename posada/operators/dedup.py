@@ -18,8 +18,20 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str] | None = None
     of the sort without looking at the row.
     """
     order = _nulls_last(order_by or [c for c in df.columns if c not in keys] or keys)
-    window = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(window))
+    return _first(df, [F.xxhash64(*keys), *keys], order)
+
+
+def first_of_ranges(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """One row per key of a table that is already in ranges of the leading keys; the rows come in the order of the keys.
+
+    No row is dropped before the exchange that made the ranges: a key that holds most of the table is sorted by one
+    task, which spills.
+    """
+    return _first(df, keys, _nulls_last(order_by or keys))
+
+
+def _first(df: DataFrame, partition: list, order: list[Column]) -> DataFrame:
+    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*partition).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 

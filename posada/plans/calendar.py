@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from posada import audit as steps
 from posada.audit import Audit
+from posada.fixed_values import LOOKUP_COLUMNS, PARTITION_COLUMNS
 from posada.functions.dates import date_parts, iso_text, iso_week, iso_year, parse_date
 from posada.functions.flags import certainly, from_tf
-from posada.operators.dedup import duplicate_count, keep_first
+from posada.operators.dedup import duplicate_count, first_of_ranges, keep_first
 
 KEYS = ["listing_id", "date"]
 # Carried next to the daily rows until the summaries and the findings are made.
@@ -27,15 +28,35 @@ def clean_days(raw: DataFrame, order_by: list[str] | None = None,
         day = F.coalesce(iso_text(parse_date(F.col("date"))), F.col("date"))
         df = df.withColumn("date", day)
     df = keep_first(df, KEYS, order_by)
-    parsed = df.withColumn(DATE, parse_date(F.col("date")))
+    return _enriched(df.withColumn(DATE, parse_date(F.col("date"))))
+
+
+def _enriched(parsed: DataFrame, ready: dict[str, Column] | None = None) -> DataFrame:
+    """ready: calendar parts that are there already, under other names."""
     flag = from_tf(F.col("available"))
     return (parsed
             .withColumns({"disponible": certainly(flag), _NO_FLAG: flag.isNull(),
                           _BAD_DATE: F.col("date").isNotNull() & F.col(DATE).isNull()})
-            .withColumns({"date": iso_text(F.col(DATE)), **date_parts(F.col(DATE))})
+            .withColumns({"date": iso_text(F.col(DATE)), **date_parts(F.col(DATE)), **(ready or {})})
             .drop("available"))
 
 
+def days_in_layout(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """clean_days in the layout of the stored table: by one exchange into ranges of its columns, and by one sort.
+
+    Rows of one key have one parsed date, so they lie in one range, and the order of the layout followed by the
+    date as written brings them together. Parsed dates have the order of their ISO texts within a month.
+    """
+    parsed = raw.withColumn(DATE, parse_date(F.col("date")))
+    parts = date_parts(F.col(DATE))
+    folders = {c: f"_{c}" for c in PARTITION_COLUMNS["calendar"]}
+    layout = [*folders.values(), *[DATE if c == "date" else c for c in LOOKUP_COLUMNS["calendar"]]]
+    ranges = parsed.withColumns({own: parts[c] for c, own in folders.items()}).repartitionByRange(*layout)
+    unique = first_of_ranges(ranges, [*layout, "date"], order_by or [c for c in raw.columns if c not in KEYS])
+    # The parts keep their order through a new name, so that a writer by folders need not sort again.
+    return _enriched(unique, {c: F.col(own) for c, own in folders.items()}).drop(*folders.values())
+
+
 def daily(days: DataFrame) -> DataFrame:
     return days.drop(*_CARRIED)
 
@@ -69,6 +90,20 @@ def weekly(days: DataFrame) -> DataFrame:
         (F.col("dias_disponibles") * 100 / F.col("dias_registrados")).alias("pct_disponible"))
 
 
+def monthly_of_table(table: DataFrame) -> DataFrame:
+    """monthly from the stored daily table."""
+    return monthly(_dated(table))
+
+
+def weekly_of_table(table: DataFrame) -> DataFrame:
+    """weekly from the stored daily table."""
+    return weekly(_dated(table))
+
+
+def _dated(table: DataFrame) -> DataFrame:
+    return table.withColumn(DATE, F.col("date").try_cast("date"))
+
+
 def calendar_tables(days: DataFrame) -> dict[str, DataFrame]:
     return {"calendar": daily(days), "calendar_mensual": monthly(days),
             "calendar_semanal": weekly(days)}

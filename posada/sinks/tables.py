@@ -1,6 +1,7 @@
 """Publication of the output tables, extracts and verification."""
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import partial
@@ -31,6 +32,14 @@ class Written:
     schema: StructType
 
 
+@dataclass(frozen=True)
+class Summary:
+    """A table that is made from another one, as that is stored."""
+
+    source: str
+    make: Callable[[DataFrame], DataFrame]
+
+
 def content_digest(columns: list[str]) -> Column:
     """Aggregate: a number that depends on every cell, but not on the order of rows and columns.
 
@@ -54,11 +63,12 @@ def laid_out(df: DataFrame, order: list[str], partition_by: list[str]) -> DataFr
 
 
 def write_table(df: DataFrame, path: str, order: list[str] | None = None,
-                partition_by: list[str] | None = None, only_these_partitions: bool = False) -> Written:
-    """Replace the table at path, or only_these_partitions that df has rows for."""
+                partition_by: list[str] | None = None, only_these_partitions: bool = False,
+                in_layout: bool = False) -> Written:
+    """Replace the table at path, or only_these_partitions that df has rows for. in_layout: df is in ranges and sorted."""
     folders = present(df, partition_by or [])
     seen = Observation()
-    counted = laid_out(df, present(df, order or []), folders).observe(
+    counted = (df if in_layout else laid_out(df, present(df, order or []), folders)).observe(
         seen, F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest"))
     writer = counted.write.mode("overwrite")
     if folders:
@@ -69,18 +79,33 @@ def write_table(df: DataFrame, path: str, order: list[str] | None = None,
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, audit: Audit | None = None,
-                 partition_by: dict[str, list[str]] = PARTITION_COLUMNS) -> dict[str, Written]:
-    """Write every table under root in its layout."""
+                 partition_by: dict[str, list[str]] = PARTITION_COLUMNS, in_layout: set[str] = frozenset(),
+                 summaries: dict[str, Summary] | None = None) -> dict[str, Written]:
+    """Write every table under root in its layout, those in `summaries` from their sources as stored.
+
+    in_layout: tables that are in ranges and sorted already.
+    """
     audit = audit or Audit()
+    made = {n: s for n, s in (summaries or {}).items() if n in tables and s.source in tables}
+
+    def path(name: str) -> str:
+        return f"{root.rstrip('/')}/{name}"
 
     def write(name: str) -> Written:
+        df = tables[name]
+        if name in made:
+            source = made[name].source
+            df = made[name].make(read_table(df.sparkSession, path(source), tables[source].schema)).select(*df.columns)
         with audit.timed("carga", name) as record:
-            written = write_table(tables[name], f"{root.rstrip('/')}/{name}", LOOKUP_COLUMNS.get(name),
-                                  partition_by.get(name))
+            written = write_table(df, path(name), LOOKUP_COLUMNS.get(name), partition_by.get(name),
+                                  in_layout=name in in_layout)
             record["rows"] = written.rows
         return written
 
-    return dict(zip(tables, at_once([partial(write, name) for name in tables])))
+    written = {}
+    for names in ([n for n in tables if n not in made], list(made)):
+        written |= zip(names, at_once([partial(write, name) for name in names]))
+    return {name: written[name] for name in tables}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -163,21 +188,25 @@ def verify(spark: SparkSession, expected: dict[str, int | Written], root: str,
 
 def verify_contents(spark: SparkSession, written: dict[str, Written], root: str) -> DataFrame:
     """tabla, escrito, leido, igual: the digest of what was written and of what is read back."""
-    records = []
-    for name, table in written.items():
-        path = f"{root.rstrip('/')}/{name}"
+    def record(name: str) -> tuple:
+        table, path = written[name], f"{root.rstrip('/')}/{name}"
         found = None
         if path_exists(spark, path):
             back = read_table(spark, path, table.schema)
             found = back.agg(content_digest(back.columns).alias("digest")).first()["digest"]
-        records.append((name, table.digest, found, found == table.digest))
-    return spark.createDataFrame(records, CONTENT_SCHEMA)
+        return name, table.digest, found, found == table.digest
+
+    return spark.createDataFrame(at_once([partial(record, name) for name in written]), CONTENT_SCHEMA)
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-            extract_root: str | None = None, audit: Audit | None = None) -> DataFrame:
-    """Write, export (when extract_root is given) and verify; returns the verification table."""
-    written = write_tables(tables, root, audit)
+            extract_root: str | None = None, audit: Audit | None = None,
+            write: Callable[[str, Audit | None], dict[str, Written]] | None = None) -> DataFrame:
+    """Write, export (when extract_root is given) and verify; returns the verification table.
+
+    write: how the tables are written, by default each in its layout.
+    """
+    written = write(root, audit) if write else write_tables(tables, root, audit)
     stored = read_tables(spark, root, tables)
     exported = export_extracts(stored, extract_root, audit=audit) if extract_root else {}
     report = verify(spark, written, root, exported)

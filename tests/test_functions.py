@@ -145,3 +145,11 @@ def test_documents_leave_null_fields_out(spark):
     rows = spark.createDataFrame([(1, None), (2, "a")], "id int, v string")
     got = [r[0] for r in rows.select(documents.as_document(["id", "v"])).collect()]
     assert got == ['{"id":1}', '{"id":2,"v":"a"}']
+
+
+def test_dates_with_other_signs_take_no_pattern_but_give_the_same(column_of):
+    texts = ["2031/01/02", "2031.12.31", "2031/02/30", "2031/01/1T", "2031.01-02", "2031/01/1 ", "fecha-mala", "a/b/c/d/e/", "", None,
+             "Jan 5, 2031", "20310102", "2031/1/2", "1/2/2031"]
+    day = lambda m, d: datetime.date(2031, m, d)
+    assert column_of(texts, dates.parse_date) == [day(1, 2), day(12, 31), None, None, day(1, 2), day(1, 1), None, None, None, None,
+                                            day(1, 5), day(1, 2), day(1, 2), day(1, 2)]

@@ -25,7 +25,7 @@ from posada.operators.quantiles import exact_quantiles
 from posada.operators.summaries import (describe_numeric, describe_text, group_medians,
                                         percentile_list, price_metrics)
 from posada.plans import calendar, listings, profile, reviews
-from posada.plans.run import PREPARE, all_tables
+from posada.plans.run import PREPARE, prepare_and_write
 from posada.plans.calendar_update import update_calendar
 from posada.sinks.tables import (export_extracts, publish, read_table, read_tables, truncate_texts, truncation_counts,
                                  verify_contents, write_table, write_tables)
@@ -800,8 +800,8 @@ def written_tables(spark, sf_dir):
     raw = {"listings": full_listings(spark, sf_dir), "reviews": view(spark, sf_dir, "R"),
            "calendar": view(spark, sf_dir, "C")}
     stage = Stage(spark)
-    tables = all_tables(raw, stage, {"calendar": CALENDAR_ORDER})
-    return tables, write_tables(tables, stage.path("out")), stage.path("out")
+    prepared, written = prepare_and_write(raw, stage, stage.path("out"), {"calendar": CALENDAR_ORDER})
+    return prepared.tables, written, stage.path("out")
 
 
 @query
@@ -823,8 +823,9 @@ def stored(source, name, *decimals):
     def run(spark, sf_dir):
         stage = Stage(spark)
         raw = full_listings(spark, sf_dir) if source == "listings" else view(spark, sf_dir, source[0].upper())
-        made = PREPARE[source](raw, stage, CALENDAR_ORDER if source == "calendar" else None).tables[name]
-        write_tables({name: made}, stage.path("out"))
+        prepared = PREPARE[source](raw, stage, CALENDAR_ORDER if source == "calendar" else None)
+        made = prepared.tables[name]
+        write_tables({name: made}, stage.path("out"), in_layout=set(prepared.layout))
         return rounded(read_table(spark, stage.path(f"out/{name}"), made.schema), list(decimals))
     run.__name__ = f"run_{name}"
     return query(run)
